@@ -9,6 +9,12 @@ those short prefixes are merged, the MATCHES - 1 longest lists of a set are
 skipped and probed by comparing the two signatures. Pairs that reach MATCHES are
 confirmed on the full sets.
 
+A list isn't expanded into all its pairs. Its members meet the one member that
+shares most with others, and links give components. Only members of lists that
+still hold several components meet again, and there the rarest shingles of the
+full sets choose the pairs, so that a large group of half-similar texts costs no
+square.
+
 With similarity 0.8 a coordinate matches with probability 0.8, and fewer than 22
 of 48 match with probability 3.4e-8: that is the chance to lose a link.
 """
@@ -115,6 +121,16 @@ def _sets(width: int):
     return run
 
 
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets as lists of numbers."""
+    for batch in batches:
+        sets = [_unpack(x.as_buffer()) for x in batch.column(1)]
+        size = np.array([len(x) for x in sets], np.int32)
+        ends = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
+        flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.ListArray.from_arrays(ends, pa.array(flat))], ["id", "size", "items"])
+
+
 def _unpack(raw) -> np.ndarray:
     bytes6 = np.frombuffer(raw, np.uint8).reshape(-1, 6)
     out = np.zeros((len(bytes6), 8), np.uint8)
@@ -171,20 +187,49 @@ class InvertedJoin:
     def signed(self, docs: DataFrame) -> DataFrame:
         return self.scratch.cut(docs.select("doc_id", "text").mapInArrow(_sign(self.width), "doc_id long, n_shingles long, k1 long, k2 long, sig array<int>"), "signed")
 
-    def confirmed(self, pairs: DataFrame, sigs: DataFrame, docs: DataFrame) -> DataFrame:
+    def sets_of(self, ids: DataFrame, docs: DataFrame) -> DataFrame:
+        """Full sets (id, items) of the documents with these ids."""
+        texts = docs.select("doc_id", "text").where("text is not null").join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+        return self.scratch.cut(texts.mapInArrow(_sets(self.width), "doc_id long, items binary").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"), "sets", "none")
+
+    def confirmed(self, pairs: DataFrame, sigs: DataFrame, docs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
         """Of pairs (a, b) of ids, those with enough equal coordinates whose full sets are similar enough."""
-        cut = self.scratch.cut
         side = lambda df, c, v: df.select(F.col("id").alias(c), F.col(v).alias(f"{v}_{c}"))
         probed = pairs.join(side(sigs, "a", "sig"), "a").join(side(sigs, "b", "sig"), "b").select("a", "b", "sig_a", "sig_b")
-        probed = cut(probed.mapInArrow(_matching(self.matches), "a long, b long"), "probed")
-        need = probed.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        texts = docs.select("doc_id", "text").where("text is not null").join(need, "doc_id", "left_semi")
-        sets = cut(texts.mapInArrow(_sets(self.width), "doc_id long, items binary").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"), "sets", "none")
+        probed = self.scratch.cut(probed.mapInArrow(_matching(self.matches), "a long, b long"), "probed")
+        if sets is None:
+            sets = self.sets_of(probed.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs)
         full = probed.join(side(sets, "b", "items"), "b").join(side(sets, "a", "items"), "a").select("a", "b", "items_a", "items_b")
-        links = cut(full.mapInArrow(_linked(self.percent), "a long, b long"), "links")
+        links = self.scratch.cut(full.mapInArrow(_linked(self.percent), "a long, b long"), "links")
         self.scratch.drop(sets, probed)
         return links
 
+    def candidates(self, member: DataFrame, sets: DataFrame) -> DataFrame:
+        """Pairs of members (id, c) of different components that may be similar enough, by the rarest shingles of their full sets.
+
+        Signatures can't tell 0.7 from 0.8 in a large group, full sets can. With
+        shingles in the order of their counts, two similar sets share one of the
+        first size - ceil(t size) + 1 of the larger and the first
+        size - ceil(2t / (1 + t) size) + 1 of the smaller, and after the first
+        that they share enough of both must be left.
+        """
+        t = self.percent
+        need = lambda n, x, y: F.floor((n * x + (y - 1)) / y)  # noqa: E731  ceil(n * x / y) in whole numbers
+        items = sets.mapInArrow(_listed, "id long, size int, items array<long>").join(member, "id")
+        each = items.select("id", "c", "size", F.explode("items").alias("g"))
+        counts = each.groupBy("g").agg(F.count("*").alias("n"))
+        order = W.partitionBy("id").orderBy("n", "g")
+        placed = each.join(counts, "g").withColumn("pos", F.row_number().over(order) - 1)
+        first = placed.where((F.col("n") > 1) & (F.col("pos") <= F.col("size") - need(F.col("size"), t, 100)))
+        first = self.scratch.cut(first.select("g", "id", "c", "size", "pos"), "rarest")
+        small = first.where(F.col("pos") <= F.col("size") - need(F.col("size"), 2 * t, 100 + t))
+        x, y = small.alias("x"), first.alias("y")
+        after = (F.col("x.size") < F.col("y.size")) | ((F.col("x.size") == F.col("y.size")) & (F.col("x.id") < F.col("y.id")))
+        left = F.least(F.col("x.size") - F.col("x.pos"), F.col("y.size") - F.col("y.pos"))
+        able = (F.col("x.size") * 100 >= t * F.col("y.size")) & (left * (100 + t) >= t * (F.col("x.size") + F.col("y.size")))
+        met = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.c") != F.col("y.c")) & after & able)
+        return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
     def components(self, docs: DataFrame) -> DataFrame:
         """(doc_id, n_shingles, component_id, kept) for every row of docs."""
         cut = self.scratch.cut
@@ -197,24 +242,21 @@ class InvertedJoin:
         lists = posted.groupBy("key").agg(F.count("*").alias("length")).where("length > 1")
         shared = posted.join(lists, "key")
         by_id = W.partitionBy("id")
-        ranked = shared.withColumn("m", F.count("*").over(by_id)).where(F.col("m") >= self.matches).withColumn("r", F.row_number().over(by_id.orderBy("length", "key")))
-        prefix = cut(ranked.where(F.col("r") <= F.col("m") - self.matches + 1).select("id", "key"), "prefix")
+        ranked = shared.withColumn("m", F.count("*").over(by_id)).where(F.col("m") >= self.matches)
+        ranked = ranked.withColumn("weight", F.sum("length").over(by_id)).withColumn("r", F.row_number().over(by_id.orderBy("length", "key")))
+        prefix = cut(ranked.where(F.col("r") <= F.col("m") - self.matches + 1).select("id", "key", "weight"), "prefix")
         sigs = cut(classes.join(prefix.select("id").distinct(), "id", "left_semi").select("id", "sig"), "sigs")
-        # First every list's members against its least one: that joins most copies, in as many pairs as postings.
-        head = prefix.groupBy("key").agg(F.min("id").alias("a"))
-        star = prefix.join(head, "key").where("a < id").select("a", F.col("id").alias("b")).distinct()
+        # First every list's members against the one that shares most with others: that joins most copies, in as many pairs as postings.
+        head = prefix.groupBy("key").agg(F.max(F.struct("weight", -F.col("id"))).alias("x")).select("key", (-F.col("x")["col2"]).alias("h"))
+        star = prefix.join(head, "key").where("h <> id").select(F.least("h", "id").alias("a"), F.greatest("h", "id").alias("b")).distinct()
         links = self.confirmed(star, sigs, docs)
         joined = components(self.scratch, links)
-        # Then, in each list, members of different components; one component's members need no more comparing.
+        # Then members of lists that hold several components; one component's members need no more comparing.
         member = cut(prefix.join(joined, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c")), "member")
         mixed = member.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-        member = cut(member.join(mixed, "key", "left_semi"), "mixed")
-        blocks = member.select("key", "c").distinct()
-        meets = blocks.select("key", F.col("c").alias("ca")).join(blocks.select("key", F.col("c").alias("cb")), "key").where("ca < cb")
-        of = lambda c: member.select("key", F.col("c").alias(f"c{c}"), F.col("id").alias(c))
-        rest = meets.join(of("a"), ["key", "ca"]).join(of("b"), ["key", "cb"]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        rest = rest.join(star, ["a", "b"], "left_anti")
-        more = self.confirmed(rest, sigs, docs)
+        member = cut(member.join(mixed, "key", "left_semi").select("id", "c").distinct(), "mixed")
+        sets = self.sets_of(member, docs)
+        more = self.confirmed(self.candidates(member, sets), sigs, docs, sets)
         if not more.isEmpty():
             joined = components(self.scratch, links.unionByName(more))
         of_class = classes.select("k1", "k2", "id").join(joined, "id", "left").select("k1", "k2", F.coalesce("component", "id").alias("c"))
