@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes handled at once by the numpy kernels; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 #: Rows handled at once; 12 bits number the rows of a block.
 BLOCK_ROWS = 1 << 12
 
