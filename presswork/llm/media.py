@@ -24,8 +24,8 @@ from presswork.llm.common import Scratch
 
 UNIT, RATE = 64, 8000
 #: Chunk sizes in bytes: none but a last one is smaller than LEAST, none is larger than MOST; a cut comes once in 2 ** BITS bytes.
-LEAST, MOST, BITS = 2048, 32768, 12
-LEVEL = 6
+LEAST, MOST, BITS = 4096, 65536, 13
+LEVEL = 9
 #: Digests that a task remembers, so as not to send a chunk twice.
 REMEMBERED = 50_000
 GEAR = np.random.default_rng(4_096).integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
@@ -169,13 +169,15 @@ class MediaStore:
     def write(self, documents: DataFrame) -> None:
         cut = self.scratch.cut
         self.recipes = cut(documents.select("doc_id", "text").mapInArrow(_recipes, "doc_id long, n_bytes long, media binary, chunks array<binary>"), "recipes")
-        self.uses = cut(self.recipes.groupBy("media").agg(F.first("chunks").alias("chunks")).select("media", F.posexplode("chunks").alias("seq", "digest")), "uses")
+        self.uses = self.recipes.groupBy("media").agg(F.first("chunks").alias("chunks")).select("media", F.posexplode("chunks").alias("seq", "digest"))
+        # only chunks with several places need an owner: the least place keeps the bytes
         place = F.struct(F.col("media"), F.col("seq"))
-        owner = self.uses.groupBy("digest").agg(F.min(place).alias("x"), (F.count("*") > 1).alias("shared")).select("digest", F.col("x.media").alias("owner"), F.col("x.seq").alias("at"), "shared")
+        owner = self.uses.groupBy("digest").agg(F.min(place).alias("x"), F.count("*").alias("n")).where("n > 1").select("digest", F.col("x.media").alias("owner"), F.col("x.seq").alias("at"))
         owner = cut(owner, "owners")
         sent = documents.select("text").mapInArrow(_chunks, "digest binary, media binary, seq int, z binary")
-        kept = sent.join(owner, "digest").where("media = owner and seq = at").dropDuplicates(["digest"])
-        self.store = cut(kept.select("digest", "media", "seq", "shared", "z"), "store", "none")
+        held = sent.join(owner, "digest", "left").where("owner is null or (media = owner and seq = at)").withColumn("shared", F.col("owner").isNotNull())
+        # tasks may have sent the same place of the same file twice
+        self.store = cut(held.dropDuplicates(["digest"]).select("digest", "media", "seq", "shared", "z"), "store", "none")
         # what a file needs and doesn't own
         self.foreign = cut(self.uses.join(owner, "digest").where("media <> owner or seq <> at").select("media", "seq", "digest"), "foreign")
 
