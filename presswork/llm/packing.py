@@ -8,6 +8,8 @@ finds its slot by joining its rank within its length to the plan.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -21,65 +23,114 @@ from pyspark.sql import Window as W
 from presswork.llm.common import Scratch
 
 CAPACITY, END_ID, TOKENIZER = 4096, 1, "word_bpe_49k.json"
-#: A worker's cache of words is emptied beyond this many; longer words aren't kept.
+#: A worker's caches of words and parts are emptied beyond this many, and when long words fill them.
 CACHE_WORDS, CACHE_CHARS = 400_000, 40
 #: Documents of one length are ranked in this many independent parts.
-PARTS = 256
+PARTS = 64
+
+
+class _Numbered(dict):
+    """Words and their numbers; a word that is asked for anew gets the next one."""
+
+    def __init__(self) -> None:
+        super().__init__({"": 0})
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        self.new.append(word)
+        return n
+
+
+def _joined(flat: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of flat with these numbers one after the other, and their lengths; piece k ends at ends[k]."""
+    start = ends[at - 1]
+    n = ends[at] - start
+    place = np.cumsum(n)
+    return flat[np.repeat(start - place + n, n) + np.arange(place[-1])] if len(at) else flat[:0], n
 
 
 class WordTokenizer:
-    """Token ids by the tokenizers library, one call per distinct word.
+    """Token ids by the tokenizers library, asked once for each part of a word.
 
     The tokenizer drops white space and lets no token reach across it, so a text's
     ids are its words' ids in order. Only space, tab and newline are split at;
-    other white space stays inside a word, for the tokenizer to treat.
+    other white space stays inside a word, for the tokenizer to treat. It lowers
+    case and splits a word into runs of letters, single digits and runs of other
+    signs before it looks at them; for words of printable ASCII and Latin-1
+    letters that is done here, and only the parts go to its model. All other
+    words, and those that may hold special tokens, go through it whole.
     """
 
+    ODD = re.compile("[^\n!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]|<[|]").search
+    PARTS = re.compile("\n|'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^\na-z\u00df-\u00f6\u00f8-\u00ff0-9]+").findall
+    #: Bytes that stand for themselves aren't named; the others follow from 256 on, in order.
+    BYTES = {b: 256 + n for n, b in enumerate([*range(33), *range(127, 161), 173])}
+
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch
+        whole = Tokenizer.from_file(path)
+        self.encode, self.model = whole.encode_batch, whole.model.tokenize
+        self.clear_parts()
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {"": 0}
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.ends = np.zeros(1 << 16, np.int64)
+        self.index = _Numbered()
+        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def clear_parts(self) -> None:
+        """Number 1 is the newline between words, which has no id."""
+        self.parts = _Numbered()
+        self.parts["\n"] = 1
+        self.part_flat, self.part_ends = np.zeros(0, np.uint32), np.zeros(2, np.int64)
+
+    def learn_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of ids of each)."""
+        if len(self.parts) > CACHE_WORDS:
+            self.clear_parts()
+        found = self.PARTS("\n".join(words).lower() + "\n")
+        at = np.fromiter(map(self.parts.__getitem__, found), np.int64, len(found))
+        if new := self.parts.new:
+            ids = [[t.id for t in self.model(p.encode().decode("latin-1").translate(self.BYTES))] for p in new]
+            self.part_ends = np.concatenate([self.part_ends, np.cumsum([len(x) for x in ids]) + len(self.part_flat)])
+            self.part_flat = np.concatenate([self.part_flat, np.array([i for x in ids for i in x], np.uint32)])
+            self.parts.new = []
+        flat, n = _joined(self.part_flat, self.part_ends, at)
+        upto = np.cumsum(n)[at == 1]
+        return flat, np.diff(upto, prepend=0)
 
     def learn(self, words: list[str]) -> None:
-        for w, e in zip(words, self.encode(words, add_special_tokens=False)):
-            ids, k = e.ids, len(self.index)
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            if k >= len(self.ends):
-                self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.index[w], self.ends[k] = k, self.used
+        """Ids of the words that were numbered since the last call, in that order."""
+        if not self.ODD("\n".join(words)):
+            flat, n = self.learn_plain(words)
+        else:
+            odd = np.array([bool(self.ODD(w)) for w in words])
+            plain_flat, plain_n = self.learn_plain([w for w, o in zip(words, odd) if not o])
+            ids = [e.ids for e in self.encode([w for w, o in zip(words, odd) if o], add_special_tokens=False)]
+            n = np.zeros(len(words), np.int64)
+            n[~odd], n[odd] = plain_n, [len(x) for x in ids]
+            flat, mine = np.zeros(n.sum(), np.uint32), np.repeat(odd, n)
+            flat[~mine], flat[mine] = plain_flat, [i for x in ids for i in x]
+        self.ends = np.concatenate([self.ends, np.cumsum(n) + len(self.flat)])
+        self.flat = np.concatenate([self.flat, flat])
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        index = self.index
-        new = {w for ws in split for w in ws if w not in index}
-        if new:
-            if len(index) + len(new) > CACHE_WORDS:
-                self.clear()
-                index = self.index
-                new = {w for ws in split for w in ws if w}
-            self.learn(list(new))
-        get, out = index.__getitem__, []
-        for ws in split:
-            at = np.fromiter(map(get, ws), np.int64, len(ws))
-            at = at[at > 0]
-            if not len(at):
-                out.append(np.zeros(0, np.uint32))
-                continue
-            start, end = self.ends[at - 1], self.ends[at]
-            n = end - start
-            place = np.cumsum(n)
-            out.append(self.flat[np.repeat(start - place + n, n) + np.arange(place[-1])])
-        long = [w for w in new if len(w) > CACHE_CHARS] if new else []
-        if sum(map(len, long)) > 1 << 20:  # long words are seldom met again
+        if len(self.index) > CACHE_WORDS:
+            self.clear()
+        get, numbered = self.index.__getitem__, []
+        for t in texts:
+            ws = t.replace("\n", " ").replace("\t", " ").split(" ")
+            numbered.append(np.fromiter(map(get, ws), np.int64, len(ws)))
+        if new := self.index.new:
+            self.learn(new)
+            self.index.new = []
+        out = []
+        for at in numbered:
+            out.append(_joined(self.flat, self.ends, at[at > 0])[0])
+        if new and sum(len(w) for w in new if len(w) > CACHE_CHARS) > 1 << 20:  # long words are seldom met again
+            self.clear_parts()
             self.clear()
         return out
 
@@ -91,8 +142,8 @@ def _pieces(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _TOKENIZERS.get(path) or _TOKENIZERS.setdefault(path, WordTokenizer(path))
         for batch in batches:
-            for at in range(0, batch.num_rows, 250):
-                ids, texts = batch.column(0).slice(at, 250), batch.column(1).slice(at, 250).fill_null("").to_pylist()
+            for at in range(0, batch.num_rows, 500):
+                ids, texts = batch.column(0).slice(at, 500), batch.column(1).slice(at, 500).fill_null("").to_pylist()
                 which, piece, start, length, crc = [], [], [], [], []
                 for i, x in enumerate(tok.ids(texts)):
                     x = np.append(x, np.uint32(end_id)).astype("<u4")
