@@ -160,7 +160,7 @@ def plain_attributes(root: Element) -> Element:
 
 # XPath: steps by / and //, names and *, [n], [@a], [@a="v"], [contains(@a, "v")], [contains(text(), "v")], then text(), //text() or @a; | joins.
 
-_STEP = re.compile(r"(//?|^)([\w*-]+|\.|text\(\)|@[\w-]+)((?:\[[^\]]*\])*)")
+_STEP = re.compile(r"(//?|^)(text\(\)|[\w*-]+|\.|@[\w-]+)((?:\[[^\]]*\])*)")
 _TEST = re.compile(r"""^(?:(\d+)|@([\w-]+)|@([\w-]+)\s*=\s*["'](.*)["']|contains\(\s*(@[\w-]+|text\(\)|\.)\s*,\s*["'](.*)["']\s*\)|text\(\)\s*=\s*["'](.*)["'])$""")
 
 
