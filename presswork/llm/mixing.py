@@ -106,7 +106,8 @@ def selected(scratch: Scratch, docs: DataFrame, passes: DataFrame) -> DataFrame:
     seed and doc_id are taken once more until `rest` words are reached, the last
     one if more than half of it fits. The order's place where `rest` is reached
     is found in two rounds of 4096 slices of the digest, counted in aggregates;
-    only the documents of one slice of 16 million are put in order.
+    only the documents of one slice of 16 million are put in order. Tables of
+    patterns have a row each and came from the driver, so they are broadcast.
     """
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(f":{SEED}")))
     docs = docs.withColumn("key", key).withColumn("s1", F.substring("key", 1, 3)).withColumn("s2", F.substring("key", 4, 3))
@@ -124,12 +125,12 @@ def selected(scratch: Scratch, docs: DataFrame, passes: DataFrame) -> DataFrame:
 
     goal = passes.where("rest > 0").select("pattern", F.col("rest").alias("goal"))
     one = scratch.cut(reached(docs, goal, "s1"), "slice")
-    inside = docs.join(one, null_safe(docs, one)).where("s1 = s1_at").select(docs["pattern"], "s2", "size")
+    inside = docs.join(F.broadcast(one), null_safe(docs, one)).where("s1 = s1_at").select(docs["pattern"], "s2", "size")
     two = scratch.cut(reached(inside, one.select("pattern", "goal"), "s2"), "slice")
     cut = one.select("pattern", "s1_at").join(two.withColumnRenamed("pattern", "p2"), F.col("pattern").eqNullSafe(F.col("p2"))).drop("p2")
     cut = cut.withColumnRenamed("pattern", "p1")
     plan = passes.join(cut, passes["pattern"].eqNullSafe(cut["p1"]), "left").drop("p1").withColumnRenamed("pattern", "p0")
-    marked = docs.join(plan, docs["pattern"].eqNullSafe(plan["p0"])).drop("p0")
+    marked = docs.join(F.broadcast(plan), docs["pattern"].eqNullSafe(plan["p0"])).drop("p0")
     before = (F.col("s1") < F.col("s1_at")) | ((F.col("s1") == F.col("s1_at")) & (F.col("s2") < F.col("s2_at")))
     on = (F.col("s1") == F.col("s1_at")) & (F.col("s2") == F.col("s2_at"))
     marked = marked.withColumn("on", F.coalesce(on, F.lit(False))).withColumn("extra", F.when(F.col("rest") > 0, F.coalesce(before, F.lit(True))).otherwise(F.lit(False)))
@@ -167,7 +168,7 @@ def mix(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """
     _, picked, _, plan = _mixed(spark, documents)
     plan = plan.select(F.col("pattern").alias("p"), "source_size", "target")
-    out = picked.join(plan, picked["pattern"].eqNullSafe(plan["p"]))
+    out = picked.join(F.broadcast(plan), picked["pattern"].eqNullSafe(plan["p"]))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
 
 
