@@ -6,6 +6,7 @@ events a crawl log (`log`), orders ids, lineitem and orders times.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from presswork.operators import crawl, dedup, quality
 from presswork.plans import crawl as plan
 from presswork.plans.builder import Query
 from presswork.sources import readers, sinks
+from presswork.streaming import streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -152,6 +154,11 @@ def url_canonical(spark, d):
     return p.withColumns({"url_hash": urls.url_hash(F.col("canonical_url")), "dedup_key": urls.dedup_key(F.col("canonical_url"), "news:")})
 
 
+@query(f"SELECT page_id, {CANON} || CASE WHEN contains(url, '#') THEN '#' || split_part(url, '#', 2) ELSE '' END AS dedup_url FROM pages")
+def url_dedup_form(spark, d):
+    return table(spark, d, "pages").select("page_id", urls.dedup_url(F.col("url")).alias("dedup_url"))
+
+
 @query("SELECT page_id, split_part(split_part(url, '#', 1), '?', 1) AS bare, CAST(nullif(regexp_extract(url, '/(\\d+)', 1), '') AS BIGINT) AS post_id FROM pages")
 def url_post_id(spark, d):
     return table(spark, d, "pages").select("page_id", urls.without_query(F.col("url")).alias("bare"), urls.post_id(F.col("url"), r"/(\d+)").alias("post_id"))
@@ -189,6 +196,20 @@ def article_fields(spark, d):
     return p.select("page_id", "x.title", "x.content", "x.source", "x.author", "x.published", "x.channel")
 
 
+@query()
+def publish_dates(spark, d):
+    x = article.extract(F.col("html"), F.concat("url", F.lit("?d=2024-01-1"), (F.col("page_id") % 10).cast("string")))
+    return table(spark, d, "pages").select("page_id", x.getField("published").alias("published"))
+
+
+@query()
+def breadcrumbs(spark, d):
+    trail = F.concat(F.lit("<div><a href='/'>Home</a> &gt; <a href='/x'>News "), (F.col("page_id") % 7).cast("string"), F.lit("</a> &gt; </div>"))
+    page = F.regexp_replace("html", F.lit("<article>"), F.concat(trail, F.lit("<article>")))
+    x = article.extract(page, F.col("url"))
+    return table(spark, d, "pages").select("page_id", x.alias("x")).select("page_id", "x.channel", F.size("x.breadcrumb").alias("levels"))
+
+
 @query()
 def page_posts(spark, d):
     gtime = F.lit("2024-03-01 10:00:00").cast("timestamp")
@@ -480,6 +501,18 @@ def keyword_sources(spark, d):
     return table(spark, d, "documents").select(F.col("lang").alias("word")).distinct().unionAll(n.select("n_name")).exceptAll(n.where("n_regionkey = 1").select("n_name"))
 
 
+@query("SELECT DISTINCT 'http://h/' || user_id AS url FROM events")
+def stream_first_seen(spark, d):
+    """The addresses of the events as a stream, each once, in micro-batches that are written and read back."""
+    base = f"{(spark.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints').rstrip('/')}/presswork/stream-{uuid.uuid4().hex}"
+    folder = f"{d}/events.parquet"
+    schema = spark.read.parquet(folder).schema
+    # a stream reads folders; a table that is one file is named by a pattern
+    stream = spark.readStream.schema(schema).parquet(f"{d}/events.parque[t]").select(F.concat(F.lit("http://h/"), F.col("user_id").cast("string")).alias("url"), "ts")
+    streams.run_available(streams.first_seen(stream), sinks.to_batches(f"parquet://{base}/out"), f"{base}/state")
+    return spark.read.parquet(f"{base}/out").select("url")
+
+
 # Text
 
 
