@@ -12,7 +12,8 @@ compared before it counts.
 An anchor's stretch is all its windows' bytes. Where a whole stretch occurs
 again, as it does inside every long repeat, an aggregate of its hash finds that,
 and no bytes are moved. Buckets of more than BUCKET different stretches aren't
-brought together in a task: their windows' hashes are counted one by one.
+sorted: their windows' hashes are counted, in blocks of windows with the anchor at
+the same places, and where even those are too many, one by one.
 """
 
 from __future__ import annotations
@@ -27,7 +28,9 @@ from pyspark.sql import functions as F
 
 from presswork.llm.common import POWERS, Scratch, mix64, prefix_hash, text_blocks
 
-SPAN, GRAM, BUCKET = 200, 50, 256
+SPAN, GRAM = 200, 50
+#: Buckets of up to so many different stretches are sorted; windows of larger ones are counted, by blocks of about BLOCK times SPAN windows.
+BUCKET, BLOCK = 256, 1 << 13
 KEYS = ["k1", "k2"]
 
 
@@ -85,21 +88,21 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(batch.num_rows):
             raw = memoryview(batch.column(2)[i].as_buffer())
             for x in wanted[i].as_py():
-                for c, v in zip(cols, (x["ah"], x["single"], x["hot"], batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), x["a"] - x["first"], x["first"], bytes(raw[x["first"] : x["final"] + SPAN]))):
+                for c, v in zip(cols, (x["ah"], x["single"], x["different"], batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), x["a"] - x["first"], x["first"], bytes(raw[x["first"] : x["final"] + SPAN]))):
                     c.append(v)
-                if sum(map(len, cols[7][-1:])) and len(cols[0]) >= 4000:
+                if len(cols[0]) >= 4000:
                     yield _stretch_batch(cols)
                     cols = [[] for _ in range(8)]
         if cols[0]:
             yield _stretch_batch(cols)
 
 
-STRETCH = "ah long, single boolean, hot boolean, k1 long, k2 long, left int, first int, bytes binary"
-_STRETCH_TYPES = (pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+STRETCH = "ah long, single boolean, different long, k1 long, k2 long, left int, first int, bytes binary"
+_STRETCH_TYPES = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
 
 
 def _stretch_batch(cols: list[list]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _STRETCH_TYPES)], ["ah", "single", "hot", "k1", "k2", "left", "first", "bytes"])
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _STRETCH_TYPES)], ["ah", "single", "different", "k1", "k2", "left", "first", "bytes"])
 
 
 class Suffixes:
@@ -244,19 +247,76 @@ def _sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per stretch of a large bucket, with the hashes of all its windows."""
+    """The hashes of the windows of stretches of large buckets, in a row for each block of `width` places before the anchor.
+
+    Equal windows have their anchor at the same place, so they meet in the same block.
+    """
+    names = ["ah", "block", "single", "k1", "k2", "start", "place", "windows"]
+    types = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
     for batch in batches:
-        out = []
-        for raw in batch.column(batch.schema.get_field_index("bytes")):
+        cols: list[list] = [[] for _ in names]
+        ah, single, k1, k2, left, first, width = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("ah", "single", "k1", "k2", "left", "first", "width"))
+        for i, raw in enumerate(batch.column(batch.schema.get_field_index("bytes"))):
             data = np.frombuffer(raw.as_buffer(), np.uint8)
             h = prefix_hash(data)
             _, down = POWERS.to(len(data) + 1)
             n = len(data) - SPAN + 1
-            out.append(mix64((h[SPAN:] - h[:n]) * down[:n]).view(np.int64))
-        ends = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
-        flat = np.concatenate(out) if out else np.zeros(0, np.int64)
-        cols = [batch.column(batch.schema.get_field_index(c)) for c in ("ah", "single", "k1", "k2", "first")]
-        yield pa.RecordBatch.from_arrays([*cols, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["ah", "single", "k1", "k2", "first", "windows"])
+            w = mix64((h[SPAN:] - h[:n]) * down[:n]).view(np.int64)
+            at = 0
+            while at < n:  # places count down from left to the anchor
+                place = left[i] - at
+                end = min(n, at + place % width[i] + 1)
+                for c, v in zip(cols, (ah[i], place // width[i], single[i], k1[i], k2[i], first[i] + at, place, w[at:end])):
+                    c.append(v)
+                at = end
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
+
+
+WINDOWS = "ah long, block int, single boolean, k1 long, k2 long, start int, place int, windows array<long>"
+
+
+def repeated_runs(starts: np.ndarray, places: np.ndarray, windows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first byte, byte after the last) of the runs of windows of a block that another window there equals."""
+    n = np.array([len(w) for w in windows])
+    row = np.repeat(np.arange(len(n)), n)
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    key = np.concatenate(windows).view(np.uint64) + mix64((places[row] - step).astype(np.uint64))
+    _, which, count = np.unique(key, return_inverse=True, return_counts=True)
+    hit = np.flatnonzero(count[which] > 1)
+    if not len(hit):
+        return hit, hit, hit
+    new = np.concatenate([[True], (row[hit[1:]] != row[hit[:-1]]) | (hit[1:] != hit[:-1] + 1)])
+    head = hit[new]
+    last = hit[np.append(np.flatnonzero(new)[1:], len(hit)) - 1]
+    return row[head], starts[row[head]] + step[head], starts[row[head]] + step[last] + SPAN
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans found in blocks of large buckets, which arrive one after the other."""
+    names = ("ah", "block", "single", "k1", "k2", "start", "place", "windows")
+
+    def run(rows: dict) -> pa.RecordBatch:
+        row, s, e = repeated_runs(np.array(rows["start"], np.int64), np.array(rows["place"], np.int64), rows["windows"])
+        keep = np.array(rows["single"], bool)[row] if len(row) else np.zeros(0, bool)
+        row, s, e = row[keep], s[keep], e[keep]
+        return pa.RecordBatch.from_arrays([pa.array(np.array(rows["k1"], np.int64)[row]), pa.array(np.array(rows["k2"], np.int64)[row]), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32))], ["k1", "k2", "s", "e"])
+
+    held: dict[str, list] = {c: [] for c in names}
+    for batch in batches:
+        got = {c: batch.column(batch.schema.get_field_index(c)).to_pylist() for c in names[:-1]}
+        got["windows"] = [np.asarray(x.values) for x in batch.column(batch.schema.get_field_index("windows"))]
+        key = list(zip(got["ah"], got["block"]))
+        at = 0
+        for i in range(len(key) + 1):
+            if i == len(key) or (i > at and key[i] != key[i - 1]):
+                if held["ah"] and (held["ah"][-1], held["block"][-1]) != key[at]:
+                    yield run(held)
+                    held = {c: [] for c in names}
+                for c in names:
+                    held[c] += got[c][at:i]
+                at = i
+    if held["ah"]:
+        yield run(held)
 
 
 def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -297,19 +357,25 @@ def repeated_spans(scratch: Scratch, documents: DataFrame) -> DataFrame:
     whole = places.join(stretch.where("n > 1").select("ah", "ch"), ["ah", "ch"], "left_semi").select(*KEYS, F.col("first").alias("s"), (F.col("final") + SPAN).alias("e"))
     whole = cut(whole, "whole")
     mixed = stretch.groupBy("ah").agg(F.count("*").alias("different"), F.min("n").alias("least")).where("different > 1 and least = 1")
-    need = stretch.join(mixed, "ah").select("ah", (F.col("n") == 1).alias("single"), (F.col("different") > BUCKET).alias("hot"), "x.*")
-    need = need.groupBy(*KEYS).agg(F.collect_list(F.struct("ah", "single", "hot", "a", "first", "final")).alias("wanted"))
+    need = stretch.join(mixed, "ah").select("ah", (F.col("n") == 1).alias("single"), "different", "x.*")
+    need = need.groupBy(*KEYS).agg(F.collect_list(F.struct("ah", "single", "different", "a", "first", "final")).alias("wanted"))
     once = texts.dropDuplicates(KEYS)
     moved = once.join(need, KEYS).select(*KEYS, F.col("text").cast("binary").alias("text"), "wanted").mapInArrow(_stretches, STRETCH)
     moved = cut(moved, "bytes")
-    few = moved.where("not hot").repartition("ah").sortWithinPartitions("ah").mapInArrow(_sorted, "k1 long, k2 long, s int, e int")
+    spans = "k1 long, k2 long, s int, e int"
+    few = moved.where(F.col("different") <= BUCKET).repartition("ah").sortWithinPartitions("ah").mapInArrow(_sorted, spans)
     few = cut(few, "few")
-    many = cut(moved.where("hot").mapInArrow(_windows, "ah long, single boolean, k1 long, k2 long, first int, windows array<long>"), "windows")
-    each = many.select("ah", "single", *KEYS, "first", F.posexplode("windows").alias("at", "w"))
-    twice = each.groupBy("ah", "w").agg(F.count("*").alias("n")).where("n > 1").select("ah", "w")
-    start = F.col("first") + F.col("at")
-    hot = each.where("single").join(twice, ["ah", "w"], "left_semi").select(*KEYS, start.alias("s"), (start + SPAN).alias("e"))
-    return whole.unionByName(few).unionByName(cut(hot, "hot"))
+    width = F.greatest(F.lit(1), F.least(F.lit(SPAN), F.floor(F.lit(SPAN * BLOCK) / F.col("different")))).cast("int")
+    large = moved.where(F.col("different") > BUCKET).withColumn("width", width)
+    fits = F.col("different") <= SPAN * BLOCK
+    some = large.where(fits).mapInArrow(_windows, WINDOWS).repartition("ah", "block").sortWithinPartitions("ah", "block").mapInArrow(_counted, spans)
+    some = cut(some, "some")
+    # larger still: a window a row, counted by partial aggregates
+    each = large.where(~fits).mapInArrow(_windows, WINDOWS).select("ah", "single", *KEYS, "start", "place", F.posexplode("windows").alias("at", "w"))
+    each = cut(each.select("ah", "single", *KEYS, (F.col("start") + F.col("at")).alias("s"), (F.col("place") - F.col("at")).alias("place"), "w"), "windows")
+    twice = each.groupBy("ah", "place", "w").agg(F.count("*").alias("n")).where("n > 1").select("ah", "place", "w")
+    most = each.where("single").join(twice, ["ah", "place", "w"], "left_semi").select(*KEYS, "s", (F.col("s") + SPAN).alias("e"))
+    return whole.unionByName(few).unionByName(some).unionByName(cut(most, "most"))
 
 
 def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:

@@ -238,9 +238,11 @@ def suffix_cases():
     return rows
 
 
-@pytest.mark.parametrize("bucket", [256, 2])
-def test_suffix_edge_cases(spark, bucket, monkeypatch):
+@pytest.mark.parametrize(("bucket", "block"), [(256, 1 << 13), (2, 1 << 13), (2, 1), (2, 0)])
+def test_suffix_edge_cases(spark, bucket, block, monkeypatch):
+    """With buckets sorted, counted by wide blocks, by narrow ones, and window by window."""
     monkeypatch.setattr(suffix_dedup, "BUCKET", bucket)
+    monkeypatch.setattr(suffix_dedup, "BLOCK", block)
     rows = suffix_cases() + [(15, suffix_cases()[14][1]), (None, "y" * 250)]
     rng = random.Random(4)
     common = "".join(rng.choice("xyzw") for _ in range(230))
