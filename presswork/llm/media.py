@@ -99,9 +99,35 @@ def _recipes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), chunks], ["doc_id", "n_bytes", "media", "chunks"])
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+#: A dictionary of DICTIONARY bytes is trained on the first SAMPLE texts in the order of their hashes, SAMPLE_CHARS of each.
+DICTIONARY, SAMPLE, SAMPLE_CHARS = 1 << 16, 2000, 4096
+
+
+def dictionary(documents: DataFrame) -> bytes:
+    """What chunks are compressed against; empty if the texts are too few to learn from. Chunks and digests don't depend on it."""
+    rows = documents.select(F.substring("text", 1, SAMPLE_CHARS).alias("t")).where(F.length("t") >= 64)
+    got = rows.orderBy(F.xxhash64("t"), "t").limit(SAMPLE).toArrow()["t"].to_pylist()
+    try:
+        return zstandard.train_dictionary(DICTIONARY, [t.encode() for t in got]).as_bytes() if len(got) >= 100 else b""
+    except zstandard.ZstdError:
+        return b""
+
+
+def _dict(raw: bytes) -> dict:
+    return {"dict_data": zstandard.ZstdCompressionDict(raw)} if raw else {}
+
+
+def _chunks(words: bytes):
     """Chunks with their bytes, compressed; a task sends each once, as far as it remembers."""
-    pack, sent = zstandard.ZstdCompressor(level=LEVEL).compress, {}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _packed(batches, zstandard.ZstdCompressor(level=LEVEL, **_dict(words)).compress)
+
+    return run
+
+
+def _packed(batches: Iterator[pa.RecordBatch], pack) -> Iterator[pa.RecordBatch]:
+    sent: dict = {}
     for batch in batches:
         cols: list[list] = [[], [], [], []]
         for _, media in _files(batch.column(0)):
@@ -129,9 +155,16 @@ def feature(samples: bytes) -> str:
 MEDIA = "media binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
-def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _assembled(words: bytes):
     """What the media say, from chunks that arrive file by file and in order."""
-    unpack = zstandard.ZstdDecompressor().decompress
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _joined(batches, zstandard.ZstdDecompressor(**_dict(words)).decompress)
+
+    return run
+
+
+def _joined(batches: Iterator[pa.RecordBatch], unpack) -> Iterator[pa.RecordBatch]:
     key, parts, rows = None, [], []
 
     def close() -> None:
@@ -174,7 +207,9 @@ class MediaStore:
         place = F.struct(F.col("media"), F.col("seq"))
         owner = self.uses.groupBy("digest").agg(F.min(place).alias("x"), F.count("*").alias("n")).where("n > 1").select("digest", F.col("x.media").alias("owner"), F.col("x.seq").alias("at"))
         owner = cut(owner, "owners")
-        sent = documents.select("text").mapInArrow(_chunks, "digest binary, media binary, seq int, z binary")
+        self.words = dictionary(documents)
+        cut(self.scratch.spark.createDataFrame([(bytearray(self.words),)], "dictionary binary"), "dictionary")
+        sent = documents.select("text").mapInArrow(_chunks(self.words), "digest binary, media binary, seq int, z binary")
         held = sent.join(owner, "digest", "left").where("owner is null or (media = owner and seq = at)").withColumn("shared", F.col("owner").isNotNull())
         # tasks may have sent the same place of the same file twice
         self.store = cut(held.dropDuplicates(["digest"]).select("digest", "media", "seq", "shared", "z"), "store", "none")
@@ -186,7 +221,7 @@ class MediaStore:
         own = self.store.select("media", "seq", "z")
         shared = self.store.where("shared").select("digest", "z").join(self.foreign, "digest").select("media", "seq", "z")
         pieces = own.unionByName(shared).repartition("media").sortWithinPartitions("media", "seq")
-        return self.scratch.cut(pieces.select("media", "seq", "z").mapInArrow(_assembled, MEDIA), "media")
+        return self.scratch.cut(pieces.select("media", "seq", "z").mapInArrow(_assembled(self.words), MEDIA), "media")
 
 
 def media_features(spark: SparkSession, documents: DataFrame) -> DataFrame:
