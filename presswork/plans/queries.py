@@ -119,11 +119,14 @@ def http_links(spark, d):
     return plan.links(table(spark, d, "pages")).where(F.contains("detail_url", F.lit("http"))).select("detail_url").distinct()
 
 
-@query("SELECT DISTINCT page_id, url FROM pages WHERE lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) IN (SELECT lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) FROM pages WHERE page_id < 10)")
+HOST = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1))"
+
+
+@query(f"SELECT DISTINCT page_id, url FROM pages WHERE {HOST} IN (SELECT {HOST} FROM pages GROUP BY 1 HAVING count(*) >= 3)")
 def domain_semi_join(spark, d):
     p = table(spark, d, "pages").select("page_id", "url").withColumn("h", urls.host(F.col("url")))
-    allowed = p.where("page_id < 10").select("h").distinct()
-    return p.join(allowed, "h", "left_semi").select("page_id", "url").distinct()
+    busy = p.groupBy("h").agg(F.count("*").alias("n")).where("n >= 3")
+    return p.join(busy, "h", "left_semi").select("page_id", "url").distinct()
 
 
 @query(f"SELECT page_id, round(strlen(array_to_string({LINKTEXTS}, '')) / nullif(strlen(regexp_replace({BODY}, '\\s+', '', 'g')), 0), 6) AS share, coalesce(strlen(array_to_string({LINKTEXTS}, '')) / nullif(strlen(regexp_replace({BODY}, '\\s+', '', 'g')), 0) > 0.6, FALSE) AS is_list FROM pages")
