@@ -24,7 +24,7 @@ from presswork.llm.common import Scratch
 
 CAPACITY, END_ID, TOKENIZER = 4096, 1, "word_bpe_49k.json"
 #: A worker's caches of words and parts are emptied beyond this many, and when long words fill them.
-CACHE_WORDS, CACHE_CHARS = 400_000, 40
+CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 800_000, 500_000, 40
 #: Documents of one length are ranked in this many independent parts.
 PARTS = 64
 
@@ -88,7 +88,7 @@ class WordTokenizer:
 
     def learn_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, number of ids of each)."""
-        if len(self.parts) > CACHE_WORDS:
+        if len(self.parts) > CACHE_PARTS:
             self.clear_parts()
         found = self.PARTS("\n".join(words).lower() + "\n")
         at = np.fromiter(map(self.parts.__getitem__, found), np.int64, len(found))
@@ -126,9 +126,7 @@ class WordTokenizer:
         if new := self.index.new:
             self.learn(new)
             self.index.new = []
-        out = []
-        for at in numbered:
-            out.append(_joined(self.flat, self.ends, at[at > 0])[0])
+        out = [_joined(self.flat, self.ends, at[at > 0])[0] for at in numbered]
         if new and sum(len(w) for w in new if len(w) > CACHE_CHARS) > 1 << 20:  # long words are seldom met again
             self.clear_parts()
             self.clear()
