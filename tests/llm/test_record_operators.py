@@ -319,6 +319,15 @@ def test_wrapper_induction(spark):
     assert wrapper.extract(spark, df.limit(0)).collect() == []
 
 
+def test_names_that_mark_noise():
+    page = """<body class="page has-sidebar"><header><h1>Site</h1></header><div class="layout no-sidebar"><main><article class="post comments-open"><header class="entry-header"><h1>Title</h1></header>
+    <p>Body text.</p><section class="user-comments"><article class="comment"><p>A reader's long comment, longer than the body.</p></article></section><div class="ad-slot">Buy</div>
+    <p hidden>x</p><div role="alert">Notice</div><figure><img src=a><figcaption>Caption</figcaption></figure></article></main></div>
+    <article class="comment"><p>Another comment that is a good deal longer than the article itself is.</p></article></body>"""
+    assert wrapper.main_text(page) == "Title\nBody text.\nCaption"
+    assert wrapper.main_text("<div class='menu'>m</div><div><p>One</p>\n<p>Two &lt;b&gt;</p></div>") == "One\nTwo <b>"
+
+
 def test_fold_is_the_same_in_any_grouping(spark):
     shapes = [wrapper.shape(wrapper.parse(PAGE.format(n=n))) for n in range(9)]
     one = shapes[0]
