@@ -1,7 +1,8 @@
 """Quality classifier: supervised subword embeddings.
 
-A document is the average of the learned vectors of its words and of its
-character n-grams, each hashed into one of BUCKETS rows; a linear layer and a
+A document is the average of the learned vectors of its words, of its character
+n-grams, each hashed into one of BUCKETS rows, and of the word n-grams that end
+in the word they begin with, which share a row by length; a linear layer and a
 softmax over the two classes follow. Vectors and layer are trained together by
 stochastic gradient descent in numpy, on a bounded, documented sample of the
 labelled rows. Scoring covers every byte of every text: with the model fixed, a
@@ -20,10 +21,10 @@ from pyspark.sql import functions as F
 
 from presswork.llm.common import POWERS, mix64, prefix_hash, text_blocks, tune, word_hashes, word_spans
 
-BUCKETS, DIM, NGRAMS = 1 << 18, 12, (3, 4)
-#: At most this many labelled rows are learned from, the first in a seeded order; 2 x 8 000 texts of usual length fit the driver.
+BUCKETS, DIM, NGRAMS, AGAIN = 1 << 18, 12, (3, 4), (1, 2)
+#: At most this many labelled rows are learned from, the first in a seeded order; their texts fit the driver.
 TRAIN_ROWS = 6_000
-EPOCHS, RATE, BATCH, SEED = 6, 0.5, 16, 11
+EPOCHS, RATE, SEED = 6, 0.5, 11
 HELD_OUT_REMAINDER = 1
 
 
@@ -31,7 +32,11 @@ def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Buckets of all features of the rows, with the row of each; case is kept, for it tells shouting from prose."""
     rows = len(offs) - 1
     starts, ends = word_spans(data, offs)
-    out = [(word_hashes(data, starts, ends) >> np.uint64(46), np.searchsorted(offs, starts, "right") - 1)]
+    words, word_row = word_hashes(data, starts, ends), np.searchsorted(offs, starts, "right") - 1
+    out = [(words >> np.uint64(46), word_row)]
+    for gap in AGAIN:  # word n-grams whose ends are the same word share a bucket, whatever the word
+        same = np.flatnonzero((words[gap:] == words[:-gap]) & (word_row[gap:] == word_row[:-gap]))
+        out.append((np.full(len(same), BUCKETS - gap, np.uint64), word_row[same]))
     h = prefix_hash(data)
     _, down = POWERS.to(len(data) + 1)
     of_row = np.repeat(np.arange(rows), np.diff(offs))

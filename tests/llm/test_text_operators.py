@@ -37,7 +37,7 @@ def test_quality_on_held_out_rows(spark, sf):
     accuracy = sum(p == y for p, y in held) / len(held)
     good = [p for p, y in held if y == 1]
     print("held-out accuracy", accuracy, "of good kept", sum(good) / len(good))
-    assert accuracy > 0.95 and sum(good) / len(good) > 0.97
+    assert accuracy > 0.99 and sum(good) / len(good) > 0.97
 
 
 def test_quality_edge_cases(spark):
