@@ -6,6 +6,7 @@ and links that are resolved against a page go through Arrow-batched functions.
 
 from __future__ import annotations
 
+import re
 from urllib.parse import parse_qsl, quote, unquote_to_bytes, urlencode, urljoin, urlsplit, urlunsplit
 
 import pandas as pd
@@ -74,9 +75,8 @@ def canonical_for_dedup(url: str | None) -> str | None:
 
 def _requote(path: str) -> str:
     """Quotes a path anew; an escaped / or ? stays escaped, for it isn't one."""
-    for mark in ("2f", "2F", "3f", "3F"):
-        path = path.replace(f"%{mark}", f"%25{mark.upper()}")
-    return quote(unquote_to_bytes(path), safe="/:;=@&+$,!*'()~.-_%") if "%25" in path else quote(unquote_to_bytes(path), safe="/:;=@&+$,!*'()~.-_")
+    parts = re.split("(%2[fF]|%3[fF])", path)
+    return "".join(p.upper() if k % 2 else quote(unquote_to_bytes(p), safe="/:;=@&+$,!*'()~.-_") for k, p in enumerate(parts))
 
 
 @arrow_function("string")
