@@ -99,14 +99,19 @@ def _recipes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), chunks], ["doc_id", "n_bytes", "media", "chunks"])
 
 
-#: A dictionary of DICTIONARY bytes is trained on the first SAMPLE texts in the order of their hashes, SAMPLE_CHARS of each.
+#: A dictionary of DICTIONARY bytes is trained on the first SAMPLE texts in the order of a hash of their ids, SAMPLE_CHARS of each.
 DICTIONARY, SAMPLE, SAMPLE_CHARS = 1 << 16, 2000, 4096
 
 
 def dictionary(documents: DataFrame) -> bytes:
     """What chunks are compressed against; empty if the texts are too few to learn from. Chunks and digests don't depend on it."""
-    rows = documents.select(F.substring("text", 1, SAMPLE_CHARS).alias("t")).where(F.length("t") >= 64)
-    got = rows.orderBy(F.xxhash64("t"), "t").limit(SAMPLE).toArrow()["t"].to_pylist()
+    h = F.xxhash64("doc_id")
+    # the ids alone say which rows are first; then only those texts leave their tasks
+    last = documents.select(h.alias("h")).orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]
+    if last is None:
+        return b""
+    rows = documents.where(h <= last).select(F.substring("text", 1, SAMPLE_CHARS).alias("t")).where(F.length("t") >= 64)
+    got = sorted(rows.limit(SAMPLE).toArrow()["t"].to_pylist())
     try:
         return zstandard.train_dictionary(DICTIONARY, [t.encode() for t in got]).as_bytes() if len(got) >= 100 else b""
     except zstandard.ZstdError:
