@@ -69,14 +69,33 @@ def anchors(data: np.ndarray, offs: np.ndarray, span: int = SPAN, gram: int = GR
     return row, a - base, first - base, final - base, mix64(g[a]), mix64(stretch ^ mix64(shape))
 
 
+ANCHORS = "k1 long, k2 long, a int, first int, final int, ah long, ch long, n int"
+
+
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each different stretch of a text with its count there. Where a
+    stretch comes again in its text, what the further ones cover is in rows
+    without ah: a text of one line over and over has a few rows, not one a line."""
     for batch in batches:
         for at, _, data, offs in text_blocks(batch.column(2)):
             row, a, first, final, ah, ch = anchors(data, offs)
-            take = pa.array(row + at)
+            key = mix64(ah ^ mix64(ch + mix64(row.astype(np.uint64))))
+            _, one, n = np.unique(key, return_index=True, return_counts=True)
+            more = np.ones(len(key), bool)
+            more[one] = False
+            more = np.flatnonzero(more)
+            # places ascend within a row, so covers that touch follow each other
+            head = np.ones(len(more), bool)
+            head[1:] = (row[more[1:]] != row[more[:-1]]) | (first[more[1:]] > final[more[:-1]] + SPAN)
+            start = more[head]
+            end = more[np.append(np.flatnonzero(head)[1:], len(more)) - 1] if len(more) else more
+            take = pa.array(np.concatenate([row[one], row[start]]) + at)
+            known = np.arange(len(one) + len(start)) >= len(one)
+            whole = lambda x, y, t: pa.array(np.concatenate([x, y]).astype(t))
+            hashes = [pa.array(np.concatenate([x[one], x[start]]).view(np.int64), mask=known) for x in (ah, ch)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), *(pa.array(x.astype(np.int32)) for x in (a, first, final)), pa.array(ah.view(np.int64)), pa.array(ch.view(np.int64))],
-                ["k1", "k2", "a", "first", "final", "ah", "ch"],
+                [batch.column(0).take(take), batch.column(1).take(take), whole(a[one], a[start], np.int32), whole(first[one], first[start], np.int32), whole(final[one], final[end], np.int32), *hashes, whole(n, np.zeros(len(start)), np.int32)],
+                ["k1", "k2", "a", "first", "final", "ah", "ch", "n"],
             )
 
 
@@ -347,11 +366,12 @@ def repeated_spans(scratch: Scratch, documents: DataFrame) -> DataFrame:
     """(k1, k2, s, e): stretches of each text, by its keys, that occur elsewhere in strings of SPAN bytes or more; they may overlap."""
     cut = scratch.cut
     texts = documents.select(*text_keys(), "text").where(F.octet_length("text") >= SPAN)
-    found = cut(texts.mapInArrow(_anchors, "k1 long, k2 long, a int, first int, final int, ah long, ch long"), "anchors")
-    again = found.groupBy("ah").agg(F.count("*").alias("n")).where("n > 1").select("ah")
+    found = cut(texts.mapInArrow(_anchors, ANCHORS), "anchors")
+    inside = cut(found.where("ah is null").select(*KEYS, F.col("first").alias("s"), (F.col("final") + SPAN).alias("e")).distinct(), "inside")
+    again = found.where("ah is not null").groupBy("ah").agg(F.sum("n").alias("n")).where("n > 1").select("ah")
     held = found.join(again, "ah", "left_semi")
     # rows of one text's copies are one place with a count
-    places = cut(held.groupBy("k1", "k2", "a", "first", "final", "ah", "ch").agg(F.count("*").alias("n")), "places")
+    places = cut(held.groupBy("k1", "k2", "a", "first", "final", "ah", "ch").agg(F.sum("n").alias("n")), "places")
     scratch.drop(found)
     stretch = cut(places.groupBy("ah", "ch").agg(F.sum("n").alias("n"), F.min(F.struct(*KEYS, "a", "first", "final")).alias("x")), "stretches")
     whole = places.join(stretch.where("n > 1").select("ah", "ch"), ["ah", "ch"], "left_semi").select(*KEYS, F.col("first").alias("s"), (F.col("final") + SPAN).alias("e"))
@@ -375,7 +395,7 @@ def repeated_spans(scratch: Scratch, documents: DataFrame) -> DataFrame:
     each = cut(each.select("ah", "single", *KEYS, (F.col("start") + F.col("at")).alias("s"), (F.col("place") - F.col("at")).alias("place"), "w"), "windows")
     twice = each.groupBy("ah", "place", "w").agg(F.count("*").alias("n")).where("n > 1").select("ah", "place", "w")
     most = each.where("single").join(twice, ["ah", "place", "w"], "left_semi").select(*KEYS, "s", (F.col("s") + SPAN).alias("e"))
-    return whole.unionByName(few).unionByName(some).unionByName(cut(most, "most"))
+    return whole.unionByName(inside).unionByName(few).unionByName(some).unionByName(cut(most, "most"))
 
 
 def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
