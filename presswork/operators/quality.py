@@ -75,11 +75,20 @@ def run_summary(log: DataFrame, time: str = "ts") -> DataFrame:
     return run_counters(log).join(span, "config_id").withColumn("finished", done)
 
 
-def field_failures(log: DataFrame, total: str = "total_data_num") -> DataFrame:
-    """(field, ratio): failures of each field, "fails/new/total"."""
-    totals = log.agg(F.count("*").alias("new"), F.count_if(F.col("status") == OK).alias("total"))
-    fails = log.select(F.explode("empty_fields").alias("field")).groupBy("field").agg(F.count("*").alias("fails"))
-    return fails.join(F.broadcast(totals)).select("field", F.format_string("%d/%d/%d", "fails", "new", "total").alias("ratio"))  # one row of totals
+def field_failures(log: DataFrame) -> DataFrame:
+    """(field, ratio): failures of each field, "fails/new/total".
+
+    Totals are counted as two more fields in the same aggregate; the window
+    above it sees a row a field.
+    """
+    from pyspark.sql import Window as W
+
+    none = F.array().cast("array<string>")
+    marks = F.concat(F.array(F.lit("*new")), F.when(F.col("status") == OK, F.array(F.lit("*total"))).otherwise(none), F.coalesce("empty_fields", none))
+    counts = log.select(F.explode(marks).alias("field")).groupBy("field").agg(F.count("*").alias("n"))
+    of = lambda name: F.coalesce(F.max(F.when(F.col("field") == name, F.col("n"))).over(W.partitionBy(F.lit(1))), F.lit(0))
+    out = counts.withColumns({"new": of("*new"), "total": of("*total")}).where(~F.startswith("field", F.lit("*")))
+    return out.select("field", F.format_string("%d/%d/%d", "n", "new", "total").alias("ratio"))
 
 
 def never_parsed(log: DataFrame, fields: list[str]) -> DataFrame:
