@@ -58,21 +58,25 @@ def page_status(body: Column, gone_pattern: str, post_id: Column, *fields: Colum
     return F.when(F.coalesce(body.rlike(gone_pattern), F.lit(False)), "gone").when(post_id.isNull(), "no_id").when(empty, DOWNLOAD_FAILED).otherwise(OK)
 
 
-def run_counters(log: DataFrame) -> DataFrame:
-    """(config_id, new_count, parse_success_num, parse_failed_num, download_failed_num)."""
-    return log.groupBy("config_id").agg(
+def _counters() -> list[Column]:
+    return [
         F.count("*").alias("new_count"),
         F.count_if(F.col("status") == OK).alias("parse_success_num"),
         F.count_if(F.col("status") == PARSE_FAILED).alias("parse_failed_num"),
         F.count_if(F.col("status") == DOWNLOAD_FAILED).alias("download_failed_num"),
-    )
+    ]
+
+
+def run_counters(log: DataFrame) -> DataFrame:
+    """(config_id, new_count, parse_success_num, parse_failed_num, download_failed_num)."""
+    return log.groupBy("config_id").agg(*_counters())
 
 
 def run_summary(log: DataFrame, time: str = "ts") -> DataFrame:
-    """run_counters with start and end in seconds, and whether the run is complete."""
-    span = log.groupBy("config_id").agg(F.min(F.unix_seconds(F.col(time).cast("timestamp"))).alias("start_time"), F.max(F.unix_seconds(F.col(time).cast("timestamp"))).alias("end_time"))
+    """run_counters with start and end in seconds, and whether the run is complete, from one aggregate."""
+    second = F.unix_seconds(F.col(time).cast("timestamp"))
     done = F.col("new_count") == F.col("parse_success_num") + F.col("parse_failed_num") + F.col("download_failed_num")
-    return run_counters(log).join(span, "config_id").withColumn("finished", done)
+    return log.groupBy("config_id").agg(*_counters(), F.min(second).alias("start_time"), F.max(second).alias("end_time")).withColumn("finished", done)
 
 
 def field_failures(log: DataFrame) -> DataFrame:
