@@ -23,7 +23,7 @@ from presswork.llm.common import POWERS, mix64, prefix_hash, text_blocks, tune,
 
 BUCKETS, DIM, NGRAMS, AGAIN = 1 << 18, 12, (3, 4), (1, 2)
 #: At most this many labelled rows are learned from, the first in a seeded order; their texts fit the driver.
-TRAIN_ROWS = 6_000
+TRAIN_ROWS = 3_000
 EPOCHS, RATE, SEED = 6, 0.5, 11
 HELD_OUT_REMAINDER = 1
 
