@@ -158,6 +158,29 @@ def _mixed(spark: SparkSession, documents: DataFrame) -> tuple[Scratch, DataFram
     return scratch, picked, sums, plan
 
 
+def mix_overlapping(spark: SparkSession, documents: DataFrame, quotas: dict[str, int]) -> DataFrame:
+    """(doc_id, size, copies) of documents(doc_id, text, sources), whose sources are an array, for words wanted of each source.
+
+    Documents of the same set of sources are one pattern; the flow says how many
+    words each pattern gives, and a document counts for any of its sources.
+    Sources without a quota, and nulls among them, are left out of the sets; a
+    document without any is taken no time. The number of patterns must fit the
+    driver.
+    """
+    scratch = Scratch(spark, "overlap")
+    mine = F.array_sort(F.array_distinct(F.filter(F.coalesce("sources", F.array().cast("array<string>")), lambda s: s.isin(*quotas))))
+    sized = scratch.cut(documents.select("doc_id", mine.alias("_s"), word_count("text").alias("size")).withColumn("pattern", F.to_json("_s")), "sized")
+    sums = {r.pattern: (tuple(r.s), r.n) for r in sized.groupBy("pattern").agg(F.first("_s").alias("s"), F.sum("size").alias("n")).collect()}
+    flow = min_cost_flow({s: n for s, n in sums.values() if s}, quotas)
+    rows = []
+    for pattern, (s, n) in sums.items():
+        words = sum(flow[s].values()) if s else 0
+        whole = min(words // n, REPEATS) if n else 0
+        rows.append((pattern, int(whole), int(words - whole * n)))
+    plan = scratch.cut(spark.createDataFrame(rows, "pattern string, whole int, rest long"), "plan")
+    return selected(scratch, sized.select("doc_id", "pattern", "size"), plan).select("doc_id", "size", "copies")
+
+
 def mix(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, taken) for every row of documents.
 

@@ -203,6 +203,18 @@ def test_flow_over_overlapping_sources():
     assert mixing.min_cost_flow({("a",): 3}, {"a": 50})[("a",)]["a"] == 6
 
 
+def test_mix_of_overlapping_sources(spark):
+    rows = [(i, "w " * 10, ["a"] if i < 30 else ["b", "a", "a"] if i < 50 else ["b"] if i < 60 else [None, "z"] if i < 65 else None) for i in range(70)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, sources array<string>")
+    got = {r.doc_id: r for r in mixing.mix_overlapping(spark, df, {"a": 300, "b": 250}).collect()}
+    words = lambda lo, hi: sum(got[i].size * got[i].copies for i in range(lo, hi))
+    assert words(0, 60) == 550 and words(60, 70) == 0 and all(r.copies <= 1 for r in got.values())
+    got = {r.doc_id: r for r in mixing.mix_overlapping(spark, df, {"a": 900, "b": 300}).collect()}
+    assert words(0, 60) == 1100 or words(0, 60) == 1200  # all there is, or both quotas
+    assert words(0, 30) == 600 and max(r.copies for r in got.values()) == 2
+    assert mixing.mix_overlapping(spark, df.limit(0), {"a": 5}).collect() == []
+
+
 # suffix dedup
 
 
