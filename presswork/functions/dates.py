@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
 def offset() -> Column:
     """How far local time is ahead of UTC."""
     return F.expr("INTERVAL 8 HOURS")
@@ -71,12 +72,24 @@ def local_datetime(text: Column, now: Column) -> Column:
     Blank text, and text without a date, give now. A hit that isn't in the
     calendar gives null, where a caller may fall back.
     """
-    x = normalized(text)
-    out = None
-    for pattern, parts in FORMATS:
-        found = F.regexp_extract(x, pattern, 1)
-        out = F.when(found != "", _built(found, parts, now)) if out is None else out.when(found != "", _built(found, parts, now))
-    return F.when(F.coalesce(F.trim(text), F.lit("")) == "", now).otherwise(out.otherwise(now))
+
+    def by_format(x: Column) -> Column:
+        out = None
+        for pattern, parts in FORMATS:
+            built = _bound(F.regexp_extract(x, pattern, 1), _builder(parts, now))
+            out = F.when(x.rlike(pattern), built) if out is None else out.when(x.rlike(pattern), built)
+        return out.otherwise(now)
+
+    return F.when(F.coalesce(F.trim(text), F.lit("")) == "", now).otherwise(_bound(normalized(text), by_format))
+
+
+def _builder(parts: str, now: Column):
+    return lambda value: _built(value, parts, now)
+
+
+def _bound(value: Column, f) -> Column:
+    """f(value), with the value computed once however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
 def utc_datetime(text: Column, now_utc: Column) -> Column:
