@@ -73,8 +73,8 @@ def test_lookup_and_windows(spark):
 
 def test_envelope(spark):
     p = spark.createDataFrame([("t", None, "0401", "<p>"), ("", "own", "01", "<b>")], "title string, site string, info_flag string, html string")
-    out = crawl.with_config(crawl.enveloped(p, site="s", spider_id="9"), {"a": "1"})
-    assert [(r.site, r.spider_id, r.config_info) for r in out.collect()] == [("s", "9", {"a": "1"}), ("own", "9", {"a": "1"})]
+    out = crawl.with_config(crawl.enveloped(p, site="s", worker_id="9"), {"a": "1"})
+    assert [(r.site, r.worker_id, r.config_info) for r in out.collect()] == [("s", "9", {"a": "1"}), ("own", "9", {"a": "1"})]
     assert crawl.with_title(p).count() == 1
     packed = crawl.packed_page(p).collect()
     assert packed[0].html == "<p>" and packed[0].html_base64 is None and packed[1].html == "" and packed[1].html_base64
@@ -156,7 +156,7 @@ def test_sinks(spark, tmp_path):
     assert sorted(r.end_time for r in sinks.run_log(log, log.limit(0), 2).collect()) == [3, 4]
     m = spark.createDataFrame([(i,) for i in range(4)], "seq int")
     assert sinks.monitor_log(m, m.limit(1), 3).count() == 1 and sinks.monitor_log(m, m.limit(1), 4).count() == 5 and sinks.monitor_log(m, m.limit(1), 3, keep=True).count() == 4
-    assert "_message" in sinks.log_rows(spark.createDataFrame([("m",)], "message string"), spider_id="3").first().value
+    assert "_message" in sinks.log_rows(spark.createDataFrame([("m",)], "message string"), worker_id="3").first().value
 
 
 def test_pages_to_posts(spark):
