@@ -184,13 +184,13 @@ def html_round_trip(spark, d):
     p = table(spark, d, "pages").select("page_id", F.col("html").alias("page"), "html", F.when(F.col("page_id") % 5 == 0, "0401").otherwise("01").alias("info_flag"))
     packed = crawl.packed_page(p)
     back = F.coalesce(text.page_from_base64(F.col("html_base64")), F.col("html"))
-    return packed.select("page_id", (back == F.col("page")).alias("same"), F.length("html").alias("html_left"))
+    return packed.select("page_id", (back == F.col("page")).alias("same"), F.length("html").cast("long").alias("html_left"))
 
 
 @query("SELECT page_id, length(html) + length(url) AS item_size, '01' AS info_flag, CASE WHEN page_id % 2 = 0 THEN 'own' ELSE 'site' END AS site FROM pages")
 def envelope(spark, d):
     p = table(spark, d, "pages").withColumn("site", F.when(F.col("page_id") % 2 == 0, "own"))
-    return crawl.enveloped(p, site="site", info_flag="01").select("page_id", crawl.item_size("html", "url", "site").alias("_s"), "info_flag", "site", (crawl.item_size("html", "url")).alias("item_size")).drop("_s")
+    return crawl.enveloped(p, site="site", info_flag="01").select("page_id", crawl.item_size("html", "url", "site").alias("_s"), "info_flag", "site", crawl.item_size("html", "url").cast("long").alias("item_size")).drop("_s")
 
 
 @query()
