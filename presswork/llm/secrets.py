@@ -29,14 +29,17 @@ MIN_ASSIGN, MIN_ACCESS = 12, 18
 #: Words that an ASSIGN match starts with; a text without any of them has none.
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "api")
 
-#: Credential words with a value behind them, and user:value in an address.
+#: Credential words with a value behind them, and user:value in an address. A value ends at white space, a quote or an
+#: angle bracket, and in an address at @; neither it nor the user has a longest length.
 CONTEXT = re.compile(
-    r"""(?:\b(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|auth|credentials?|login|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret)["']?\x20*(?:[:=]|\bis\b)\x20*["']?|://[^\s/:@"'<>]{1,64}:)([^\s"'<>,;@]{6,200})""",
+    r"""(?:\b(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|auth|credentials?|login|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret)["']?\x20*(?:[:=]|\bis\b)\x20*["']?([^\s"'<>]{6,})|://[^\s/:@"'<>]+:([^\s"'<>@]{6,}))""",
     re.I | re.A,
 )
 CONTEXT_WORDS = ("pass", "pwd", "pin", "secret", "token", "auth", "credential", "login", "key", "://")
 #: From ten to this power guesses on, a value counts as a secret and not as a word of the language or a weak example.
 GUESSES = 10.0
+#: The scan doesn't tell costs from this on apart: guess_cost() leaves a value there.
+ENOUGH = 100.0
 
 #: Common passwords and words in credentials, the most frequent first.
 WORDS = (
@@ -57,6 +60,7 @@ DATES = (
     re.compile(r"(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)?\d\d"),
     re.compile(r"(?:19|20)\d\d"),
 )
+ORDERINGS = [math.log10(math.factorial(k)) for k in range(21)]
 DATE_COST = (math.log10(365 * 100 * 5), math.log10(365 * 100 * 5), math.log10(150))
 
 
@@ -65,58 +69,112 @@ def _classes(s: str) -> int:
     return max(n + 33 * any(not c.isalnum() and c < "\x80" for c in s) + 100 * any(c >= "\x80" for c in s), 10)
 
 
-def spans_of(value: str) -> list[tuple[int, int, float]]:
-    """(start, end, log10 of guesses) of all spans that aren't brute force."""
-    low, n = value.lower(), len(value)
-    plain = low.translate(LEET)
-    out = []
-    for i in range(n):
+class _Spans:
+    """Spans of a value that aren't brute force, by their start; starts are asked in ascending order, so that a run is read once."""
+
+    def __init__(self, value: str):
+        self.value, self.low = value, value.lower()
+        self.plain = self.low.translate(LEET)
+        self.ends: dict = {}  # of the run last read, by unit or kind of walk
+
+    def walks(self, i: int) -> list[tuple[str, int, int]]:
+        """(kind, end, base) of the walks from i; each j from i + 3 to end closes a span of base * (j - i) guesses."""
+        value, low, n = self.value, self.low, len(self.value)
+        out = []
+        k = self.ends.get("keys", 0)
+        if k <= i:
+            k = i + 1
+            while k < n and low[k - 1 : k + 1] in NEXT:
+                k += 1
+            self.ends["keys"] = k
+        if k - i >= 3:
+            out.append(("keys", k, len(NEXT)))
+        k = self.ends.get("abc", 0)
+        if k <= i + 1:
+            k = i + 1
+            while k < n and ord(value[k]) - ord(value[k - 1]) in (1, -1) and value[k].isalnum() and ord(value[k]) - ord(value[k - 1]) == ord(value[i + 1]) - ord(value[i]):
+                k += 1
+            self.ends["abc"] = k
+        if k - i >= 3:  # abc, 321: a walk along the alphabet
+            out.append(("abc", k, 26 * 2))
+        return out
+
+    def others(self, i: int, room: float = math.inf) -> list[tuple[int, float]]:
+        """(end, log10 of guesses) of the words, repeats and dates from i; a repeat that costs more than room may be left out."""
+        value, low, plain, n = self.value, self.low, self.plain, len(self.value)
+        out = []
         for j in range(i + 2, min(n, i + LONGEST) + 1):
             if rank := RANK.get(low[i:j]) or RANK.get(plain[i:j]):
                 part = value[i:j]
                 turns = (2 if part != low[i:j] else 1) * (2 if low[i:j] != plain[i:j] else 1)
-                out.append((i, j, math.log10(rank * turns + 1)))
-        k = i + 1
-        while k < n and low[k - 1 : k + 1] in NEXT:
-            k += 1
-        if k - i >= 3:
-            out.extend((i, j, math.log10(len(NEXT) * (j - i))) for j in range(i + 3, k + 1))
-        k = i + 1
-        while k < n and ord(value[k]) - ord(value[k - 1]) in (1, -1) and value[k].isalnum() and ord(value[k]) - ord(value[k - 1]) == ord(value[i + 1]) - ord(value[i]):
-            k += 1
-        if k - i >= 3:  # abc, 321: a walk along the alphabet
-            out.extend((i, j, math.log10(26 * 2 * (j - i))) for j in range(i + 3, k + 1))
-        for size in range(1, (n - i) // 2 + 1 if n <= 64 else 5):  # repeats of a unit
-            k = i + size
-            while k < n and value[k] == value[k - size]:
-                k += 1
+                out.append((j, math.log10(rank * turns + 1)))
+        most = (n - i) // 2 if n <= 64 else 4
+        for size in range(1, int(min(most, room)) + 1):  # repeats of a unit; a unit costs a power of ten a character at least
+            k = self.ends.get(size, 0)
+            if k <= i + size:
+                k = i + size
+                while k < n and value[k] == value[k - size]:
+                    k += 1
+                self.ends[size] = k
             times = (k - i) // size
             if times >= 2 and (times * size >= 3):
-                out.append((i, i + times * size, math.log10(_classes(value[i : i + size])) * size + math.log10(times)))
-    for rx, cost in zip(DATES, DATE_COST):
-        for i in range(n):
+                out.append((i + times * size, math.log10(_classes(value[i : i + size])) * size + math.log10(times)))
+        for rx, cost in zip(DATES, DATE_COST):
             if m := rx.match(value, i):
-                out.append((i, m.end(), cost))
+                out.append((m.end(), cost))
+        return out
+
+
+def spans_of(value: str) -> list[tuple[int, int, float]]:
+    """(start, end, log10 of guesses) of all spans that aren't brute force."""
+    spans = _Spans(value)
+    out = []
+    for i in range(len(value)):
+        out.extend((i, j, math.log10(base * (j - i))) for _, end, base in spans.walks(i) for j in range(i + 3, end + 1))
+        out.extend((i, j, cost) for j, cost in spans.others(i))
     return out
 
 
-def guess_cost(value: str) -> float:
-    """log10 of the guesses for the cheapest split of value; 0 for an empty one."""
-    n = len(value)
-    ending: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-    for i, j, cost in spans_of(value):
-        ending[j].append((i, cost))
+def guess_cost(value: str, enough: float = math.inf) -> float:
+    """log10 of the guesses for the cheapest split of value, or enough, if every split costs that or more; 0 for an empty value.
+
+    Costs only grow along a split, so a split that has reached enough is left,
+    and the programme ends when none is below; the rest of the value isn't read.
+    """
+    n, spans = len(value), _Spans(value)
     letter = math.log10(_classes(value)) if value else 0.0
-    # best[k] after each position: least cost with k spans that aren't single letters of brute force
-    best: list[dict[int, float]] = [{0: 0.0}]
-    for j in range(1, n + 1):
-        here = {k: c + letter for k, c in best[j - 1].items()}
-        for i, cost in ending[j]:
-            for k, c in best[i].items():
-                if c + cost < here.get(k + 1, math.inf):
-                    here[k + 1] = c + cost
-        best.append(dict(sorted(here.items(), key=lambda x: x[1])[:8]))
-    return min(c + math.log10(math.factorial(min(k, 20))) for k, c in best[n].items())
+    # after each position: least cost with k spans that aren't single letters of brute force
+    best: dict[int, dict[int, float]] = {0: {0: 0.0}}
+    walked: dict = {}  # the end of each kind's last walk, and the states that took it
+
+    def reach(j: int, k: int, cost: float) -> None:
+        k = min(k, 20)
+        if cost + ORDERINGS[k] < enough and cost < best.setdefault(j, {}).get(k, math.inf):
+            best[j][k] = cost
+
+    for i in range(n):
+        if not best:
+            return enough
+        here = sorted(best.pop(i, {}).items(), key=lambda x: x[1])[:8]
+        if not here:
+            continue
+        for k, c in here:
+            reach(i + 1, k, c + letter)
+        for j, cost in spans.others(i, enough - here[0][1]):
+            for k, c in here:
+                reach(j, k + 1, c + cost)
+        for kind, end, base in spans.walks(i):
+            if walked.get(kind, (0,))[0] != end:
+                walked[kind] = (end, [])
+            took = walked[kind][1]
+            # a walk that began earlier, with no more spans, and is cheaper three steps on stays cheaper
+            fresh = [(k, c) for k, c in here if not any(p <= k and d + math.log10((3 + i - at) / 3) <= c for at, p, d in took)]
+            took.extend((i, k, c) for k, c in fresh)
+            for j in range(i + 3, end + 1) if fresh else ():
+                cost = math.log10(base * (j - i))
+                for k, c in fresh:
+                    reach(j, k + 1, c + cost)
+    return min((c + ORDERINGS[k] for k, c in best.get(n, {}).items()), default=enough)
 
 
 def scan(text: str, guesses: float = GUESSES) -> list[tuple[int, int, int, float]]:
@@ -130,9 +188,10 @@ def scan(text: str, guesses: float = GUESSES) -> list[tuple[int, int, int, float
     out += [(m.start(), 2, m.end(), 0.0) for m in HEX.finditer(text)]
     if any(w in low for w in CONTEXT_WORDS):
         for m in CONTEXT.finditer(text):
-            value = m[1].rstrip(".!?)")
-            if len(value) >= 6 and (cost := guess_cost(value)) >= guesses and re.search(r"[^a-zà-ÿ]", value[1:]):
-                out.append((m.start(1), 3, m.start(1) + len(value), cost))
+            at = m.start(m.lastindex)
+            value = m[m.lastindex].rstrip(".!?),;")
+            if len(value) >= 6 and (cost := guess_cost(value, max(guesses, ENOUGH))) >= guesses and re.search(r"[^a-zà-ÿ]", value[1:]):
+                out.append((at, 3, at + len(value), cost))
     return sorted(out)
 
 
@@ -159,7 +218,8 @@ def find_secrets(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, guess_cost) for every row.
 
     Positions are code points. A null or empty text has no span, and the hash of
-    the empty string. guess_cost is the highest among the row's guess spans.
+    the empty string. guess_cost is the highest among the row's guess spans,
+    and ENOUGH stands for all costs from there on; spans have their whole length.
     Rows that repeat are each scanned; other columns are not read.
     """
     tune(spark)

@@ -97,6 +97,18 @@ def test_secret_edge_cases(spark):
     assert secrets.find_secrets(spark, docs_of(spark, [])).collect() == []
 
 
+def test_secrets_have_their_whole_length():
+    rng = random.Random(5)
+    for n in (199, 201, 1000, 200_000):
+        value = "".join(rng.choices("abcdefghijkmnopqrstuvwxyzABCDEFGHIJKLMNPQRSTUVWXYZ23456789@,;#", k=n)) + "Z"
+        for head in ("auth=", "pwd: ", "private_key='"):
+            assert secrets.redact(f"a {head}{value} b") == f"a {head}[SECRET] b", (head, n)
+        pw = re.sub("[@,;]", "x", value)
+        assert secrets.redact(f"a ftp://{'u' * n}:{pw}@host/ b") == f"a ftp://{'u' * n}:[SECRET]@host/ b"
+    assert secrets.redact("pwd: P@9x,Lq;7vR#2mZ, then") == "pwd: [SECRET], then"
+    assert secrets.redact("pwd: " + "as" * 50_000) == "pwd: " + "as" * 50_000  # long, but a walk
+
+
 def test_guess_cost_orders_values():
     cost = secrets.guess_cost
     assert cost("") == 0
