@@ -3,15 +3,17 @@
 The patterns' matches (kinds assign, access, hex) always stay. To these the
 method adds spans of kind guess: the values that follow a credential word, when
 guessing them is dear. The cost of a value is that of its cheapest split into
-spans of five sorts, each with its number of guesses: dictionary words, dates,
-repeats, keyboard walks and brute force. A dynamic programme over the value's
-positions finds the split, as the least sum of logarithms; a split's number of
-spans adds the logarithm of its orderings.
+spans of five sorts, each with its number of guesses: dictionary words by their
+rank among frequent ones, dates, repeats, keyboard walks and brute force. A
+dynamic programme over the value's positions finds the split, as the least sum
+of logarithms; a split's number of spans adds the logarithm of its orderings.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import json
 import math
 import re
 from collections.abc import Iterator
@@ -42,14 +44,28 @@ GUESSES = 10.0
 ENOUGH = 100.0
 
 #: Common passwords and words in credentials, the most frequent first.
-WORDS = (
+FIRST = (
     "password pass word admin root user test guest login welcome letmein secret master default changeme example sample demo dummy "
     "hello dragon monkey shadow sunshine princess football baseball superman batman trustno qwerty abc love summer winter spring autumn "
     "the and your here token key value string null none true false api access private public client server database prod dev stage local "
     "my new old temp please enter insert redacted xxx placeholder"
 ).split()
-RANK = {w: i + 1 for i, w in enumerate(WORDS)}
-LONGEST = max(map(len, WORDS))
+#: The tokenizer whose whole words follow, by id; its merges, and so its ids, were learned the most frequent first.
+TOKENIZER = "word_bpe_49k.json"
+
+
+@functools.cache
+def ranks() -> tuple[dict[str, int], int]:
+    """The rank of each word in lower case, and the length of the longest."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(TOKENIZER), encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
+    words = (w.removesuffix("</w>") for w in sorted(vocab, key=vocab.get) if w.endswith("</w>"))
+    rank = {w: i + 1 for i, w in enumerate(dict.fromkeys([*FIRST, *(w for w in words if len(w) > 1 and w.isascii() and w.isalpha())]))}
+    return rank, max(map(len, rank))
+
+
 LEET = str.maketrans("@4831!0$57", "aabeiiosst")
 #: Rows of a keyboard, for walks along them.
 ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
@@ -103,8 +119,9 @@ class _Spans:
         """(end, log10 of guesses) of the words, repeats and dates from i; a repeat that costs more than room may be left out."""
         value, low, plain, n = self.value, self.low, self.plain, len(self.value)
         out = []
-        for j in range(i + 2, min(n, i + LONGEST) + 1):
-            if rank := RANK.get(low[i:j]) or RANK.get(plain[i:j]):
+        words, longest = ranks()
+        for j in range(i + 2, min(n, i + longest) + 1):
+            if rank := words.get(low[i:j]) or words.get(plain[i:j]):
                 part = value[i:j]
                 turns = (2 if part != low[i:j] else 1) * (2 if low[i:j] != plain[i:j] else 1)
                 out.append((j, math.log10(rank * turns + 1)))
@@ -190,7 +207,7 @@ def scan(text: str, guesses: float = GUESSES) -> list[tuple[int, int, int, float
         for m in CONTEXT.finditer(text):
             at = m.start(m.lastindex)
             value = m[m.lastindex].rstrip(".!?),;")
-            if len(value) >= 6 and (cost := guess_cost(value, max(guesses, ENOUGH))) >= guesses and re.search(r"[^a-zà-ÿ]", value[1:]):
+            if len(value) >= 6 and (cost := guess_cost(value, max(guesses, ENOUGH))) >= guesses:
                 out.append((at, 3, at + len(value), cost))
     return sorted(out)
 

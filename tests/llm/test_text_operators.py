@@ -109,6 +109,13 @@ def test_secrets_have_their_whole_length():
     assert secrets.redact("pwd: " + "as" * 50_000) == "pwd: " + "as" * 50_000  # long, but a walk
 
 
+def test_secrets_in_lower_case():
+    for value in ("qzjxkvbwmtplhr", "correcthorsebatterystaple", "Vkwpqhzmxrtjd"):
+        assert secrets.redact(f"pwd: {value} x") == "pwd: [SECRET] x", value
+    for text in ("the token is necessary.", "password is incorrect, login is required", "secret is internationally known", "pin: administrator", "password is different"):
+        assert secrets.redact(text) == text
+
+
 def test_guess_cost_orders_values():
     cost = secrets.guess_cost
     assert cost("") == 0
