@@ -4,7 +4,9 @@ An archive is a row (archive, data): the bytes of a file of gzip members, one a
 record. Spark writes such rows to any store as Parquet and reads real files of
 the same kind with the binaryFile source. The reader checks every member and
 record; where a check fails it searches for the next member that opens, or the
-next version line, goes on from there, and logs the bytes between as a gap.
+next version line, goes on from there, and logs the bytes between as a gap. In
+a member it does so on the decompressed bytes, of which a damaged member has
+those before the damage.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ARCHIVE_BYTES, LEVEL = 4 << 20, 5
 MAGIC = b"\x1f\x8b\x08"
 _VERSION_LINE = re.compile(rb"WARC/[01]\.\d+\r?\n")
+NO_END = "gzip: the member has no end"
 #: Bytes tried at first when a member is opened during a search.
 PROBE = 512
 
@@ -92,10 +95,27 @@ def _member(data: bytes, at: int) -> tuple[bytes, int]:
     except zlib.error as e:
         raise Bad(f"gzip: {e}") from None
     if not z.eof:
-        raise Bad("gzip: the member has no end")
+        raise Bad(NO_END)
     return out, min(end, len(data)) - len(z.unused_data)
 
 
+def _prefix(data: bytes, at: int, most: int = 0) -> tuple[bytes, int]:
+    """What the gzip member at `at` holds, as far as it can be decompressed, or its first `most` bytes; and where they have been read."""
+    z, parts, step, n = zlib.decompressobj(31), [], 1 << 16, 0
+    while at < len(data) and not z.eof and not (most and n >= most):
+        before, piece = z.copy(), data[at : at + step]
+        try:
+            parts.append(z.decompress(piece, most and most - n))
+        except zlib.error:
+            if step == 1:
+                break
+            z, step = before, 256 if step > 256 else 1
+            continue
+        at += len(piece) - len(z.unconsumed_tail)
+        n += len(parts[-1])
+    return b"".join(parts), at
+
+
 def _opens(data: bytes, at: int) -> bool:
     """Whether a gzip member whose content starts with a version line begins here."""
     try:
@@ -104,8 +124,8 @@ def _opens(data: bytes, at: int) -> bool:
         return False
 
 
-def _parse(raw: bytes, at: int) -> tuple[dict, bytes, int]:
-    """Header fields in lower case, block and end of the record at `at`; digests are checked."""
+def _parse(raw: bytes, at: int, proof: bool = False) -> tuple[dict, bytes, int]:
+    """Header fields in lower case, block and end of the record at `at`; digests are checked, and with proof one is asked for."""
     if not (m := _VERSION_LINE.match(raw, at)):
         raise Bad("no version line")
     end = raw.find(b"\r\n\r\n", m.end() - 2)
@@ -124,40 +144,94 @@ def _parse(raw: bytes, at: int) -> tuple[dict, bytes, int]:
     if body + int(size) + 4 > len(raw) or raw[body + int(size) : body + int(size) + 4] != b"\r\n\r\n":
         raise Bad("the block doesn't end where its length says")
     block = raw[body : body + int(size)]
-    if (d := head.get("warc-block-digest", "")).startswith("sha1:") and d[5:] != base32_sha1(block):
-        raise Bad("block digest")
-    if head.get("warc-type") == "response" and (d := head.get("warc-payload-digest", "")).startswith("sha1:") and d[5:] != base32_sha1(block.partition(b"\r\n\r\n")[2]):
-        raise Bad("payload digest")
+    if (d := head.get("warc-block-digest", "")).startswith("sha1:"):
+        proof = False
+        if d[5:] != base32_sha1(block):
+            raise Bad("block digest")
+    if head.get("warc-type") == "response" and (d := head.get("warc-payload-digest", "")).startswith("sha1:"):
+        proof = False
+        if d[5:] != base32_sha1(block.partition(b"\r\n\r\n")[2]):
+            raise Bad("payload digest")
+    if proof:
+        raise Bad("no digest, in a member that fails its check")
     return head, block, body + int(size) + 4
 
 
+def _records(raw: bytes, proof: bool) -> Iterator[tuple[int, int, dict | None, bytes, str]]:
+    """(start, end, fields, block, "") of each good record of a member's content,
+    and (start, end, None, b"", reason) of each gap."""
+    at, gap, why = 0, None, ""
+    while at < len(raw):
+        try:
+            head, block, end = _parse(raw, at, proof)
+        except Bad as e:
+            if gap is None:
+                gap, why = at, str(e)
+            at = m.start() if (m := _VERSION_LINE.search(raw, at + 1)) else len(raw)
+            continue
+        if gap is not None:
+            yield gap, at, None, b"", why
+            gap = None
+        yield at, end, head, block, ""
+        at = end
+    if gap is not None:
+        yield gap, len(raw), None, b"", why
+
+
+def _salvage_member(data: bytes, at: int) -> tuple[list[tuple[dict | None, bytes, str]], int, str]:
+    """(fields, block, "") and (None, b"", reason) of the records and gaps in the gzip member at `at`,
+    where to go on, and why no record was good, if so.
+
+    A record of a member that fails its check needs a digest of its own, but not
+    if the member is only cut off. Digests cover blocks; the fields of such a
+    record are as they were read, and the log names the member.
+    """
+    broken = ""
+    try:
+        raw, end = _member(data, at)
+    except Bad as e:
+        raw, end, broken = _prefix(data, at)[0], 0, str(e)
+    rows = list(_records(raw, broken not in ("", NO_END)))
+    done = max((stop for _, stop, head, _, _ in rows if head is not None), default=0)
+    if broken:
+        if rows and rows[-1][2] is None:
+            rows.pop()
+        end = _next(data, max(at + 1, _prefix(data, at, done)[1]) if done else at + 1)
+    if not done:
+        return [], end, broken or (rows[0][4] if rows else "an empty member")
+    out = [(head, block, why and f"{why} (bytes {start} to {stop} of the member's content)") for start, stop, head, block, why in rows]
+    if broken:
+        out.append((None, b"", f"{broken} (the member's content from byte {done} on)"))
+    return out, end, ""
+
+
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, bytes, str]]:
     """(offset, length, fields, block, "") of each good record, and (offset,
-    length, None, b"", reason) of each gap of bytes that no good record holds."""
+    length, None, b"", reason) of each gap of bytes that no good record holds.
+
+    Offset and length are those of the member, if a record or gap is in one that
+    has good records; the reason of such a gap names its bytes of the content.
+    """
     at, gap, why = 0, None, ""
     while at < len(data):
-        try:
-            if data.startswith(MAGIC, at):
-                raw, end = _member(data, at)
-                records, inner = [], 0
-                while inner < len(raw):
-                    head, block, inner = _parse(raw, inner)
-                    records.append((head, block))
-                if not records:
-                    raise Bad("an empty member")
-            else:
+        if data.startswith(MAGIC, at):
+            found, end, bad = _salvage_member(data, at)
+        else:
+            try:
                 head, block, end = _parse(data, at)
-                records = [(head, block)]
-        except Bad as e:
+                found, bad = [(head, block, "")], ""
+            except Bad as e:
+                found, end, bad = [], _next(data, at + 1), str(e)
+        if not found:
             if gap is None:
-                gap, why = at, str(e)
-            at = _next(data, at + 1)
+                gap, why = at, bad
+            at = end
             continue
         if gap is not None:
             yield gap, at - gap, None, b"", why
             gap = None
-        for head, block in records:
-            yield at, end - at, head, block, ""
+        for head, block, reason in found:
+            yield at, end - at, head, block, reason
         at = end
     if gap is not None:
         yield gap, len(data) - gap, None, b"", why

@@ -71,6 +71,43 @@ def test_salvage_of_members():
     assert salvaged(b"") == ([], []) and salvaged(b"no archive") == ([], [(0, 10)])
 
 
+@pytest.mark.parametrize("level", [0, 6])
+def test_salvage_inside_a_member(level):
+    rng = random.Random(7)
+    parts = [warc.record(i, f"http://h/{i}", rng.randbytes(3000).hex().encode()) for i in range(8)]
+
+    def packed(raw):
+        z = zlib.compressobj(level, zlib.DEFLATED, 31)
+        return z.compress(raw) + z.flush()
+
+    raw, last = b"".join(parts), member(9, "last")
+    whole = packed(raw)
+    assert salvaged(whole + last) == ([*range(8), 9], [])
+    bad = bytearray(raw)
+    bad[len(parts[0]) * 3 - 100] ^= 1  # one record fails, the member doesn't
+    data = packed(bytes(bad))
+    assert salvaged(data + last) == ([0, 1, 3, 4, 5, 6, 7, 9], [(0, len(data))])
+    assert salvaged(packed(b"junk" + raw) + last)[0] == [*range(8), 9]
+    hurt = bytearray(whole)
+    hurt[len(whole) // 2] ^= 0x55  # the member fails its check
+    ids, gaps = salvaged(bytes(hurt) + last)
+    assert ids[:3] == [0, 1, 2] and ids[-1] == 9 and len(set(ids)) == len(ids) and gaps == [(0, len(whole))] * len(gaps) != []
+    crc = bytearray(whole)
+    crc[-6] ^= 1
+    assert salvaged(bytes(crc) + last) == ([*range(8), 9], [(0, len(whole))])
+    for cut in (len(whole) // 2, len(whole) - 4):
+        ids, gaps = salvaged(whole[:cut])
+        assert ids == list(range(len(ids))) and len(ids) >= 3 and sum(n for _, n in gaps) == cut
+        ids, gaps = salvaged(whole[:cut] + last)
+        assert ids == [*range(len(ids) - 1), 9] and len(ids) >= 4 and sum(n for _, n in gaps) == cut
+    bare = b"".join(b"WARC/1.1\r\nWARC-Record-ID: <urn:x:%d>\r\nContent-Length: 900\r\n\r\n%s\r\n\r\n" % (i, rng.randbytes(450).hex().encode()) for i in range(4))
+    whole = packed(bare)
+    assert salvaged(whole) == ([0, 1, 2, 3], [])
+    assert salvaged(whole[:-1]) == ([0, 1, 2, 3], [(0, len(whole) - 1)])
+    if level:  # nothing proves these records
+        assert salvaged(whole[:-6] + b"\0" + whole[-5:]) == ([], [(0, len(whole))])
+
+
 def test_salvage_of_plain_records():
     parts = [warc.record(i, "http://h/", f"text {i}".encode()) for i in range(4)]
     whole = b"".join(parts)
