@@ -91,7 +91,8 @@ class _Spans:
     def __init__(self, value: str):
         self.value, self.low = value, value.lower()
         self.plain = self.low.translate(LEET)
-        self.ends: dict = {}  # of the run last read, by unit or kind of walk
+        self.ends: dict[str, int] = {}  # of the walk last read, by kind
+        self.repeats: dict[int, tuple[int, float]] = {}  # end of the run last read and cost of its unit, by the unit's size
 
     def walks(self, i: int) -> list[tuple[str, int, int]]:
         """(kind, end, base) of the walks from i; each j from i + 3 to end closes a span of base * (j - i) guesses."""
@@ -125,17 +126,18 @@ class _Spans:
                 part = value[i:j]
                 turns = (2 if part != low[i:j] else 1) * (2 if low[i:j] != plain[i:j] else 1)
                 out.append((j, math.log10(rank * turns + 1)))
-        most = (n - i) // 2 if n <= 64 else 4
-        for size in range(1, int(min(most, room)) + 1):  # repeats of a unit; a unit costs a power of ten a character at least
-            k = self.ends.get(size, 0)
+        for size in range(1, int(min((n - i) // 2, room)) + 1):  # repeats of a unit; a unit costs a power of ten a character at least
+            k, unit = self.repeats.get(size, (0, 0.0))
             if k <= i + size:
                 k = i + size
                 while k < n and value[k] == value[k - size]:
                     k += 1
-                self.ends[size] = k
+                # all units of a run have the same characters
+                unit = math.log10(_classes(value[i : i + size])) * size if k >= i + 2 * size else 0.0
+                self.repeats[size] = (k, unit)
             times = (k - i) // size
             if times >= 2 and (times * size >= 3):
-                out.append((i + times * size, math.log10(_classes(value[i : i + size])) * size + math.log10(times)))
+                out.append((i + times * size, unit + math.log10(times)))
         for rx, cost in zip(DATES, DATE_COST):
             if m := rx.match(value, i):
                 out.append((m.end(), cost))
@@ -158,26 +160,35 @@ def guess_cost(value: str, enough: float = math.inf) -> float:
     Costs only grow along a split, so a split that has reached enough is left,
     and the programme ends when none is below; the rest of the value isn't read.
     """
-    n, spans = len(value), _Spans(value)
-    letter = math.log10(_classes(value)) if value else 0.0
+    if not value:
+        return 0.0
+    n, spans, letter = len(value), _Spans(value), math.log10(_classes(value))
     # after each position: least cost with k spans that aren't single letters of brute force
     best: dict[int, dict[int, float]] = {0: {0: 0.0}}
     walked: dict = {}  # the end of each kind's last walk, and the states that took it
 
     def reach(j: int, k: int, cost: float) -> None:
+        nonlocal enough
         k = min(k, 20)
-        if cost + ORDERINGS[k] < enough and cost < best.setdefault(j, {}).get(k, math.inf):
+        if cost + ORDERINGS[k] >= enough:
+            return
+        if j == n:
+            enough = cost + ORDERINGS[k]  # from now on only cheaper splits count
+        elif cost < best.setdefault(j, {}).get(k, math.inf):
             best[j][k] = cost
 
     for i in range(n):
         if not best:
             return enough
-        here = sorted(best.pop(i, {}).items(), key=lambda x: x[1])[:8]
-        if not here:
+        if not (states := best.pop(i, None)):
             continue
+        here: list[tuple[int, float]] = []
+        for k, c in sorted(states.items()):  # more spans must cost less
+            if not here or c < here[-1][1]:
+                here.append((k, c))
         for k, c in here:
             reach(i + 1, k, c + letter)
-        for j, cost in spans.others(i, enough - here[0][1]):
+        for j, cost in spans.others(i, enough - here[-1][1]):
             for k, c in here:
                 reach(j, k + 1, c + cost)
         for kind, end, base in spans.walks(i):
@@ -191,7 +202,7 @@ def guess_cost(value: str, enough: float = math.inf) -> float:
                 cost = math.log10(base * (j - i))
                 for k, c in fresh:
                     reach(j, k + 1, c + cost)
-    return min((c + ORDERINGS[k] for k, c in best.get(n, {}).items()), default=enough)
+    return enough
 
 
 def scan(text: str, guesses: float = GUESSES) -> list[tuple[int, int, int, float]]:

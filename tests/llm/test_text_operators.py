@@ -1,6 +1,7 @@
 """Quality classifier, secrets, media and packing against plain Python."""
 
 import hashlib
+import math
 import random
 import re
 import struct
@@ -116,6 +117,22 @@ def test_secrets_in_lower_case():
         assert secrets.redact(text) == text
 
 
+def test_guess_cost_is_the_least_at_every_length():
+    for times in (12, 14, 500, 20_000):
+        assert secrets.guess_cost("xyz12" * times, 100.0) < 10 + math.log10(times), times
+        assert secrets.redact("pwd: " + "xyz12" * times) == "pwd: " + "xyz12" * times if times < 100 else True
+    rng, letter = random.Random(9), math.log10(26)
+    for _ in range(20):  # against a programme over all numbers of spans
+        value = "".join(rng.choices(["qwer", "love", "my", "aaa", "abcd", "zx", "dragon"], k=25))
+        best = [{0: 0.0}] + [{} for _ in value]
+        steps = [*((i, i + 1, letter, 0) for i in range(len(value))), *((*s, 1) for s in secrets.spans_of(value))]
+        for i, j, c, one in sorted(steps):
+            for k, x in best[i].items():
+                best[j][k + one] = min(best[j].get(k + one, math.inf), x + c)
+        least = min(c + math.log10(math.factorial(min(k, 20))) for k, c in best[-1].items())
+        assert abs(secrets.guess_cost(value) - least) < 1e-9 and abs(secrets.guess_cost(value, 100.0) - min(least, 100.0)) < 1e-9
+
+
 def test_guess_cost_orders_values():
     cost = secrets.guess_cost
     assert cost("") == 0
