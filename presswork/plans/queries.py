@@ -17,6 +17,7 @@ from presswork.operators import crawl, dedup, quality
 from presswork.plans import crawl as plan
 from presswork.plans.builder import Query
 from presswork.sources import readers, sinks
+from presswork.storage import dropped_at_exit, shared_folder
 from presswork.streaming import streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -507,12 +508,13 @@ def keyword_sources(spark, d):
 @query("SELECT DISTINCT 'http://h/' || user_id AS url FROM events")
 def stream_first_seen(spark, d):
     """The addresses of the events as a stream, each once, in micro-batches that are written and read back."""
-    base = f"{(spark.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints').rstrip('/')}/presswork/stream-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/presswork/stream-{uuid.uuid4().hex}"
     folder = f"{d}/events.parquet"
     schema = spark.read.parquet(folder).schema
     # a stream reads folders; a table that is one file is named by a pattern
     stream = spark.readStream.schema(schema).parquet(f"{d}/events.parque[t]").select(F.concat(F.lit("http://h/"), F.col("user_id").cast("string")).alias("url"), "ts")
     streams.run_available(streams.first_seen(stream), sinks.to_batches(f"parquet://{base}/out"), f"{base}/state")
+    dropped_at_exit(spark, base)
     return spark.read.parquet(f"{base}/out").select("url")
 
 
