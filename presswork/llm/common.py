@@ -5,28 +5,50 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presswork.storage import dropped_at_exit, shared_folder
+
 #: Text bytes handled at once by the numpy kernels; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 18
 #: Rows handled at once; 12 bits number the rows of a block.
 BLOCK_ROWS = 1 << 12
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings that hold while a table is cut: a finished cut's shuffle files go at once, and Arrow batches are small.
+WHILE_CUTTING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tune(spark: SparkSession) -> None:
-    """Small Arrow batches: a batch of long texts must fit a worker's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session's settings are these for a while, and then as they were."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of so many rows, for functions that hold Python objects of a whole batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 class Scratch:
@@ -34,22 +56,20 @@ class Scratch:
 
     A lost executor costs a task, not the chain of joins before it. Shuffle
     files of a finished cut are dropped at once, since its result is on disk.
+    Results are lazy and may read the tables, so these go when the application
+    ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        tune(spark)
-        base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
-        self.spark, self.root, self.made = spark, f"{base.rstrip('/')}/presswork/{name}-{uuid.uuid4().hex}", 0
+        self.spark, self.root, self.made = spark, f"{shared_folder(spark)}/presswork/{name}-{uuid.uuid4().hex}", 0
 
     def cut(self, df: DataFrame, name: str = "t", codec: str = "zstd") -> DataFrame:
         self.made += 1
         path = f"{self.root}/{self.made}-{name}"
-        before = self.spark.conf.get(CLEANUP, "false")
-        self.spark.conf.set(CLEANUP, "true")
-        try:
+        with settings(self.spark, WHILE_CUTTING):
             df.write.option("compression", codec).parquet(path)
-        finally:
-            self.spark.conf.set(CLEANUP, before)
+        if self.made == 1:
+            dropped_at_exit(self.spark, self.root)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *frames: DataFrame) -> None:

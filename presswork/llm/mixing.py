@@ -134,10 +134,16 @@ def selected(scratch: Scratch, docs: DataFrame, passes: DataFrame) -> DataFrame:
     before = (F.col("s1") < F.col("s1_at")) | ((F.col("s1") == F.col("s1_at")) & (F.col("s2") < F.col("s2_at")))
     on = (F.col("s1") == F.col("s1_at")) & (F.col("s2") == F.col("s2_at"))
     marked = marked.withColumn("on", F.coalesce(on, F.lit(False))).withColumn("extra", F.when(F.col("rest") > 0, F.coalesce(before, F.lit(True))).otherwise(F.lit(False)))
+    # equal rows are one row with a count, so that no window holds a document's repeats
+    at = ["pattern", "key", "doc_id", "size", "whole", "rest", "goal"]
     order = W.partitionBy("pattern").orderBy("key", "doc_id", "size")
-    edge = marked.where("on").withColumn("upto", F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0)))
-    edge = edge.withColumn("extra", (F.col("rest") > 0) & (F.col("upto") - F.col("size") / 2 <= F.col("goal"))).drop("upto")
-    out = marked.where("not on").unionByName(edge)
+    edge = marked.where("on").groupBy(*at).agg(F.count("*").alias("n"))
+    edge = edge.withColumn("before", F.sum(F.col("size") * F.col("n")).over(order.rowsBetween(W.unboundedPreceding, 0)) - F.col("size") * F.col("n"))
+    more = F.expr("if(rest <= 0 or goal is null, 0, if(size = 0, if(before <= goal, n, 0), least(n, greatest(0, (2 * (goal - before) + size) div (2 * size)))))")
+    edge = edge.withColumn("m", more.cast("long")).select(*at, F.explode(F.array(F.struct(F.lit(True).alias("extra"), F.col("m").alias("c")), F.struct(F.lit(False).alias("extra"), (F.col("n") - F.col("m")).alias("c")))).alias("x"))
+    edge = edge.where("x.c > 0").withColumn("lot", F.explode(F.expr("sequence(0, (x.c - 1) div 4096)"))).repartition("pattern", "key", "lot")
+    edge = edge.withColumn("one", F.explode(F.expr("sequence(1, least(4096, x.c - lot * 4096))"))).withColumn("extra", F.col("x.extra")).select("doc_id", "pattern", "size", "whole", "extra")
+    out = marked.where("not on").select("doc_id", "pattern", "size", "whole", "extra").unionByName(edge)
     return out.withColumn("copies", F.col("whole") + F.col("extra").cast("int")).select("doc_id", "pattern", "size", "copies")
 
 
@@ -196,11 +202,17 @@ def mix(spark: SparkSession, documents: DataFrame) -> DataFrame:
 
 
 def mixture(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    """The documents of the mix, each as often as it is taken; rows that repeat a doc_id are taken as often as the first."""
+    """The documents of the mix, each as often as it is taken; rows that repeat a doc_id are taken as often as the first.
+
+    Texts count whole, whatever their length; a null or empty one is taken no
+    more often than its source. All columns come back as they were, whatever
+    their names; an empty table gives an empty mix.
+    """
     scratch, picked, _, _ = _mixed(spark, documents)
-    copies = scratch.cut(picked.groupBy("doc_id").agg(F.max("copies").alias("_copies")), "copies").withColumnRenamed("doc_id", "_id")
-    joined = documents.join(copies, documents["doc_id"].eqNullSafe(copies["_id"]))
-    return joined.where("_copies > 0").withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(documents.columns)
+    copies = scratch.cut(picked.groupBy("doc_id").agg(F.max("copies").alias("copies")).where("copies > 0"), "copies")
+    rows = documents.select(F.struct(*(documents[f"`{c}`"] for c in documents.columns)).alias("row"))
+    joined = rows.join(copies, rows["row.doc_id"].eqNullSafe(copies["doc_id"]))
+    return joined.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
 
 #: The same mix in SQL: sources by weight, water-filling by rounds, and the seeded order as one window.

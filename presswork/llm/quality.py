@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm.common import POWERS, mix64, prefix_hash, text_blocks, tune, word_hashes, word_spans
+from presswork.llm.common import POWERS, mix64, prefix_hash, text_blocks, word_hashes, word_spans
 
 BUCKETS, DIM, NGRAMS, AGAIN = 1 << 18, 12, (3, 4), (1, 2)
 #: At most this many labelled rows are learned from, the first in a seeded order; their texts fit the driver.
@@ -146,7 +146,6 @@ def classify(spark: SparkSession, documents: DataFrame, labels: DataFrame, rows:
     from. A null doc_id is not held out. Ties at one half go to class 1. Rows
     that repeat are each scored; other columns are not read.
     """
-    tune(spark)
     model = learn(documents, labels, rows, remainder() != HELD_OUT_REMAINDER)
     out = scored(documents, model)
     held = F.coalesce(remainder() == HELD_OUT_REMAINDER, F.lit(False))
@@ -169,5 +168,4 @@ def _accept(weights: np.ndarray, offset: float):
 
 def accepted(spark: SparkSession, documents: DataFrame, model: Model) -> DataFrame:
     """The rows that the model doesn't reject, unchanged."""
-    tune(spark)
     return documents.mapInArrow(_accept(model.weights, model.offset), documents.schema)

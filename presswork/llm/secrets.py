@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from presswork.llm.common import tune
+from presswork.llm.common import sliced
 
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -231,7 +231,7 @@ def listed(spans: list) -> str:
 
 
 def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         cols: list[list] = [[] for _ in range(6)]
         for text in batch.column(1).fill_null("").to_pylist():
             spans = scan(text)
@@ -250,7 +250,6 @@ def find_secrets(spark: SparkSession, documents: DataFrame) -> DataFrame:
     and ENOUGH stands for all costs from there on; spans have their whole length.
     Rows that repeat are each scanned; other columns are not read.
     """
-    tune(spark)
     return documents.select("doc_id", "text").mapInArrow(_report, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, guess_cost double")
 
 
@@ -265,7 +264,7 @@ def redact(text: str, mark: str = "[SECRET]") -> str:
 
 
 def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         i, j = (batch.schema.get_field_index(c) for c in ("text", "n_chars"))
         texts = [None if t is None else redact(t) for t in batch.column(i).to_pylist()]
         cols = batch.columns
@@ -277,5 +276,4 @@ def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def without_secrets(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """All documents, with their secrets replaced and n_chars counted anew."""
-    tune(spark)
     return documents.mapInArrow(_redacted, documents.schema)
