@@ -1,9 +1,11 @@
 """Quality classifier: supervised subword embeddings.
 
-A document is the average of the learned vectors of its words, of its character
-n-grams, each hashed into one of BUCKETS rows, and of the word n-grams that end
-in the word they begin with, which share a row by length; a linear layer and a
-softmax over the two classes follow. Vectors and layer are trained together by
+A document is the average of the learned vectors of its words, of its word
+n-grams and of its words' character n-grams, whose ends are marked, each hashed
+into one of BUCKETS rows; a linear layer and a softmax over the two classes
+follow. A word n-gram has two vectors, one for its words and one for which of
+them are equal: words never met in training have only the latter, and without it
+a word said over and over can't be told. Vectors and layer are trained together by
 stochastic gradient descent in numpy, on a bounded, documented sample of the
 labelled rows. Scoring covers every byte of every text: with the model fixed, a
 feature adds one number (its vector times the difference of the two classes'
@@ -21,32 +23,56 @@ from pyspark.sql import functions as F
 
 from presswork.llm.common import POWERS, mix64, prefix_hash, text_blocks, word_hashes, word_spans
 
-BUCKETS, DIM, NGRAMS, AGAIN = 1 << 18, 12, (3, 4), (1, 2)
-#: At most this many labelled rows are learned from, the first in a seeded order; their texts fit the driver.
-TRAIN_ROWS = 3_000
+#: Features are hashed into 2 ** BITS rows of DIM numbers: words, n-grams of so many words, and n-grams of so many characters of a word.
+BITS, DIM, WORDS, CHARACTERS = 18, 12, (2, 3), (2, 3, 4)
+BUCKETS = 1 << BITS
+#: Stands before and after a word; no character.
+MARK = 0xFFFFFFFF
+#: The first labelled rows in a seeded order are learned from: at most so many, of at most so many bytes in all.
+TRAIN_ROWS, TRAIN_BYTES = 3_000, 48 << 20
 EPOCHS, RATE, SEED = 6, 0.5, 11
 HELD_OUT_REMAINDER = 1
 
 
+def spelled(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of the rows' words, with a mark before and after each word, and the row of each."""
+    lead = (data & 0xC0) != 0x80
+    row = np.repeat(np.arange(len(offs) - 1), np.diff(offs))[lead]
+    code = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+    inside = ~((code == 32) | ((code >= 9) & (code <= 13)))
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1] | (row[1:] != row[:-1])
+    word = np.cumsum(begins)[inside]  # from 1 on
+    out = np.full(len(word) + 2 * int(begins.sum()), MARK, np.uint32)
+    out[np.arange(len(word)) + 2 * word - 1] = code[inside]
+    return out, np.repeat(row[begins], np.bincount(word, minlength=1)[1:] + 2)
+
+
 def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all features of the rows, with the row of each; case is kept, for it tells shouting from prose."""
-    rows = len(offs) - 1
     starts, ends = word_spans(data, offs)
     words, word_row = word_hashes(data, starts, ends), np.searchsorted(offs, starts, "right") - 1
-    out = [(words >> np.uint64(46), word_row)]
-    for gap in AGAIN:  # word n-grams whose ends are the same word share a bucket, whatever the word
-        same = np.flatnonzero((words[gap:] == words[:-gap]) & (word_row[gap:] == word_row[:-gap]))
-        out.append((np.full(len(same), BUCKETS - gap, np.uint64), word_row[same]))
-    h = prefix_hash(data)
-    _, down = POWERS.to(len(data) + 1)
-    of_row = np.repeat(np.arange(rows), np.diff(offs))
-    for n in NGRAMS:
-        if len(data) < n:
+    out = [(words, word_row)]
+    for n in WORDS:
+        at = np.flatnonzero(word_row[n - 1 :] == word_row[: len(words) - n + 1]) if len(words) >= n else np.zeros(0, np.int64)
+        gram, same = np.full(len(at), n, np.uint64), np.full(len(at), n, np.uint64)
+        for k in range(n):
+            gram = mix64(gram + words[at + k])
+            for j in range(k):
+                same = same << np.uint64(1) | (words[at + j] == words[at + k])
+        out += [(gram, word_row[at]), (mix64(same), word_row[at])]
+    code, row = spelled(data, offs)
+    h = prefix_hash(code)
+    _, down = POWERS.to(len(code) + 1)
+    marks = np.concatenate([[0], np.cumsum(code == MARK)])
+    for n in CHARACTERS:
+        if len(code) < n:
             continue
-        at = np.flatnonzero(of_row[n - 1 :] == of_row[: len(data) - n + 1])
-        gram = (h[at + n] - h[at]) * down[at] + np.uint64(n)
-        out.append((mix64(gram) >> np.uint64(46), of_row[at]))
-    return np.concatenate([x for x, _ in out]).astype(np.int64), np.concatenate([r for _, r in out])
+        # an n-gram lies in one word: its marks are at its ends, and one at least is a letter
+        at = np.arange(len(code) - n + 1)
+        at = at[(marks[at + n - 1] == marks[at + 1]) & (marks[at + n] - marks[at] < n)]
+        out.append((mix64((h[at + n] - h[at]) * down[at] + np.uint64(n)), row[at]))
+    return (np.concatenate([x for x, _ in out]) >> np.uint64(64 - BITS)).astype(np.int64), np.concatenate([r for _, r in out])
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -75,7 +101,7 @@ class Model:
         layer, bias = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)
         docs = []
         for text in texts:
-            raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+            raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
             idx, n = np.unique(features(raw, np.array([0, len(raw)]))[0], return_counts=True)
             docs.append((idx.astype(np.int32), (n / max(n.sum(), 1)).astype(np.float32)))
         y = np.asarray(labels, np.int64)
@@ -115,22 +141,32 @@ def remainder() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
 
 
-def learn(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, where: F.Column | None = None) -> Model:
+def learn(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, where: F.Column | None = None, size: int = TRAIN_BYTES) -> Model:
     """A model of labels.quality over documents.text.
 
     A document's label is the most frequent one of its rows in labels (1 on a
     tie); rows with nulls teach nothing. At most `rows` documents are taken, in
-    the order of a seeded hash of doc_id: a sample of fixed size, whatever the
-    table's.
+    the order of a seeded hash of doc_id, leaving out those whose text would
+    bring the sum above `size` bytes: a sample of bounded size, whatever the
+    table's and however long the texts. A taken text is learned from whole.
     """
     known = labels.select("doc_id", "quality").where("doc_id is not null and quality in (0, 1)")
     known = known.where(where) if where is not None else known
     known = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("quality"))
+    order = F.xxhash64(F.lit(SEED), "doc_id"), F.col("doc_id")
     # twice the rows, since labels may name documents that aren't there
-    picked = known.orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(2 * rows)
-    found = documents.select("doc_id", "text").where("text is not null").join(F.broadcast(picked), "doc_id")
-    chosen = found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality"))
-    got = chosen.orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(rows).toArrow()
+    picked = known.orderBy(*order).limit(2 * rows)
+    named = lambda ids: documents.select("doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id")
+    sizes = named(picked).groupBy("doc_id").agg(F.max(F.octet_length("text")).alias("n")).orderBy(*order).limit(rows).collect()
+    taken, left = [], size
+    for r in sizes:
+        if r.n <= left:
+            taken.append((r.doc_id,))
+            left -= r.n
+    spark = documents.sparkSession
+    chosen = named(picked.join(F.broadcast(spark.createDataFrame(taken, "doc_id long")), "doc_id"))
+    chosen = chosen.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality"))
+    got = chosen.orderBy(*order).toArrow()
     return Model.train(got["text"].to_pylist(), got["quality"].to_pylist())
 
 
@@ -143,8 +179,11 @@ def classify(spark: SparkSession, documents: DataFrame, labels: DataFrame, rows:
     """(doc_id, held_out, score, predicted) for every row of documents.
 
     held_out rows (crc32 of doc_id as text leaves 1 modulo 3) are never learned
-    from. A null doc_id is not held out. Ties at one half go to class 1. Rows
-    that repeat are each scored; other columns are not read.
+    from. A null doc_id is not held out, and scored. A null text is an empty
+    one; without a word it gets the model's prior. Every word of a text of any
+    length counts. Ties at one half go to class 1. Rows that repeat are each
+    scored; other columns, whatever their names, are not read. An empty table
+    gives no row; without labels every score is one half.
     """
     model = learn(documents, labels, rows, remainder() != HELD_OUT_REMAINDER)
     out = scored(documents, model)
@@ -167,5 +206,9 @@ def _accept(weights: np.ndarray, offset: float):
 
 
 def accepted(spark: SparkSession, documents: DataFrame, model: Model) -> DataFrame:
-    """The rows that the model doesn't reject, unchanged."""
+    """The rows that the model doesn't reject (score one half or more), unchanged, with all their columns.
+
+    A null or empty text has the model's prior; a text of any length is scored
+    whole; rows that repeat stay or go together; an empty table gives no row.
+    """
     return documents.mapInArrow(_accept(model.weights, model.offset), documents.schema)
