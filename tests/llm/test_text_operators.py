@@ -247,13 +247,45 @@ def test_media_edge_cases(spark):
     assert len(got) == 10
     for r in got:
         assert tuple(r)[1:-1] == media_by_hand("a" if r.doc_id is None else texts[r.doc_id])
-    digests = [r.digest for r in store.store.select("digest").collect()]
-    assert len(digests) == len(set(digests)) == store.uses.select("digest").distinct().count()
-    shared = store.uses.groupBy("digest").count().where("count > 1").count()
-    assert shared > 5  # the edited copy shares most chunks with the first
+    stored = [r.digest for r in store.store.where("digest is not null").collect()]
+    uses = store.uses.groupBy("digest").count().where("count > 1")
+    assert len(stored) == len(set(stored)) and set(stored) == {r.digest for r in uses.collect()}
+    assert len(stored) > 100  # the edited copy shares most chunks with the first
+    held = sum(len(r.sizes) - len(r.shared) for r in store.store.where("media is not null").collect()) + len(stored)
+    assert held == store.uses.select("digest").distinct().count()
     assert media.media_features(spark, docs_of(spark, [])).collect() == []
 
 
+def test_chunks_are_small_and_shared():
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdefgh ,.") for _ in range(4096)).encode() for _ in range(200)]
+    counts = [len(media.cuts(media.payload(t))) for t in texts]
+    assert sum(counts) / len(counts) > 4 and min(counts) >= 2 and sum(c >= 3 for c in counts) > 190
+    same, chunks = texts[0] + texts[1], []
+    for tail in (texts[2], texts[3][:1000]):
+        x, at = media.payload(same + tail), 0
+        chunks.append(set())
+        for end in media.cuts(x):
+            chunks[-1].add(media.digest(x[at:end]))
+            at = end
+    assert len(chunks[0] & chunks[1]) >= 5
+
+
+def test_a_lost_or_changed_chunk_is_found(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(9000)) for _ in range(3)]
+    store = media.MediaStore(spark)
+    store.write(docs_of(spark, [(i, t + texts[0]) for i, t in enumerate(texts)]))
+    whole = store.store
+    assert store.read().count() == 3
+    for broken in (whole.where("digest is null"), whole.withColumn("head", F.expr("case when media is not null then encode('RIFX', 'utf-8') end"))):
+        store.store = broken
+        with pytest.raises(Exception, match="don't give its digest"):
+            store.read()
+
+
 def test_gear_cuts():
     rng = random.Random(5)
     data = bytes(rng.randrange(256) for _ in range(100_000))
