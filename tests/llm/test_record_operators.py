@@ -156,20 +156,42 @@ def test_topk_edge_cases(spark):
     assert topk.search(spark, df.limit(0)).collect() == []
 
 
-def test_bounds_hold_and_reading_stops_early():
+def test_topk_of_huge_components(spark):
+    rows = [(50, [1e16, 1e16]), (1, [3e16, 3e16]), (2, [3e16, 3e16 + 4]), (3, [1.0, 2.0]), (100, [-1e300, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.query_id, r.vec_id) for r in sorted(topk.search(spark, df, k=3).collect())]
+    assert got == [(50, 2), (50, 1), (50, 3), (100, 3), (100, 50), (100, 1)]
+
+
+@pytest.mark.parametrize("kind", [np.float32, np.float64])
+@pytest.mark.parametrize("resolve", [1, 64])
+def test_bounds_hold_and_reading_stops_early(kind, resolve, monkeypatch):
+    monkeypatch.setattr(topk, "RESOLVE", resolve)
     rng = np.random.default_rng(2)
-    x = np.floor(rng.normal(0, 20, (300, 6)))
-    q = np.floor(rng.normal(0, 20, (40, 6)))
-    order = np.argsort(x, axis=0, kind="stable")
-    ranks = np.argsort(order, axis=0, kind="stable")
-    for depth in (5, 100, 250):
-        lower, upper = topk.bounds(q, x, order, ranks, depth)
-        assert (lower <= q @ x.T).all() and (q @ x.T <= upper).all()
-    a, c, s = topk.best(np.arange(40), q, np.arange(300) + 1000, x, 5, np.full(40, -np.inf))
-    for i in range(40):
-        exact = sorted(q[i] @ x.T)[-5:]
-        assert sorted(s[a == i])[-5:] == exact
-    assert len(a) < 40 * 100
+    for n in (3, 300, 70_000):
+        x = np.floor(rng.normal(0, 20, (n, 6))).astype(kind)
+        x[: n // 3] = x[0]  # ties
+        lists, none = topk.Lists(x), np.zeros(n, bool)
+        read = 0
+        for q in np.floor(rng.normal(0, 20, (20, 6))).astype(kind):
+            for depth in (np.zeros(6, int), np.full(6, n), rng.integers(0, n + 1, 6), np.full(6, n // 2)):
+                for rows in (np.arange(n), np.arange(0, n, 3)):
+                    lower, upper = lists.bounds(q, depth, rows)
+                    assert (lower <= x[rows] @ q).all() and (x[rows] @ q <= upper).all()
+                    if depth.min() == n:
+                        assert (lower == upper).all()
+            rows, scores, entries = lists.best(q, none, 5)
+            assert sorted(scores)[-5:] == sorted(x @ q)[-5:] and entries <= x.size
+            assert set(np.flatnonzero(x @ q >= sorted(x @ q)[-min(5, n)])) <= set(rows)
+            read += entries
+        if n > 300 and resolve > 1:
+            assert read < 0.9 * 20 * x.size  # few dimensions: most lists needn't be read to their ends
+
+
+def test_shares_read(spark, sf):
+    got = topk.shares_read(spark, spark.read.parquet(f"{sf}/embeddings.parquet")).collect()
+    print("entries read", sum(r.read for r in got) / sum(r.entries for r in got))
+    assert len(got) == 10 and all(0 <= r.read <= r.entries == 500 * 64 for r in got)
 
 
 # mixing
