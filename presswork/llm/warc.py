@@ -63,7 +63,7 @@ def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def archive() -> pa.RecordBatch:
         data = b"".join(parts)
-        return pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(data).hexdigest()]), pa.array([data], pa.binary())], ["archive", "data"])
+        return pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(data).hexdigest()]), pa.array([len(parts)], pa.int64()), pa.array([data], pa.binary())], ["archive", "records", "data"])
 
     for batch in batches:
         ids, urls, pages, firsts, again = batch.columns
@@ -83,6 +83,26 @@ class Bad(Exception):
     """A check that a member or record fails."""
 
 
+class Finder:
+    """Where patterns come next in bytes that are read forward. A place found is
+    kept until it is passed, so that damaged bytes are searched once and not once a damage."""
+
+    def __init__(self, data: bytes):
+        self.data, self.held = data, {}
+
+    def next(self, pattern: bytes | re.Pattern, at: int) -> int:
+        """The first place from `at` on, or the end."""
+        since, place = self.held.get(pattern, (0, -1))
+        if not since <= at <= place:
+            if isinstance(pattern, bytes):
+                place = self.data.find(pattern, at)
+            else:
+                place = m.start() if (m := pattern.search(self.data, at)) else -1
+            place = len(self.data) if place < 0 else place
+            self.held[pattern] = (at, place)
+        return place
+
+
 def _member(data: bytes, at: int) -> tuple[bytes, int]:
     """What the gzip member at `at` holds, and where it ends; its length and CRC are checked."""
     z = zlib.decompressobj(31)
@@ -124,13 +144,16 @@ def _opens(data: bytes, at: int) -> bool:
         return False
 
 
-def _parse(raw: bytes, at: int, proof: bool = False) -> tuple[dict, bytes, int]:
+def _parse(find: Finder, at: int, proof: bool = False) -> tuple[dict, bytes, int]:
     """Header fields in lower case, block and end of the record at `at`; digests are checked, and with proof one is asked for."""
+    raw = find.data
     if not (m := _VERSION_LINE.match(raw, at)):
         raise Bad("no version line")
-    end = raw.find(b"\r\n\r\n", m.end() - 2)
-    if end < 0:
+    end = find.next(b"\r\n\r\n", m.end() - 2)
+    if end == len(raw):
         raise Bad("the header has no end")
+    if find.next(_VERSION_LINE, m.end()) < end:
+        raise Bad("a version line in the header")
     head = {}
     for line in raw[m.end() : end].decode("utf-8", "replace").split("\r\n"):
         k, colon, v = line.partition(":")
@@ -160,14 +183,14 @@ def _parse(raw: bytes, at: int, proof: bool = False) -> tuple[dict, bytes, int]:
 def _records(raw: bytes, proof: bool) -> Iterator[tuple[int, int, dict | None, bytes, str]]:
     """(start, end, fields, block, "") of each good record of a member's content,
     and (start, end, None, b"", reason) of each gap."""
-    at, gap, why = 0, None, ""
+    at, gap, why, find = 0, None, "", Finder(raw)
     while at < len(raw):
         try:
-            head, block, end = _parse(raw, at, proof)
+            head, block, end = _parse(find, at, proof)
         except Bad as e:
             if gap is None:
                 gap, why = at, str(e)
-            at = m.start() if (m := _VERSION_LINE.search(raw, at + 1)) else len(raw)
+            at = find.next(_VERSION_LINE, at + 1)
             continue
         if gap is not None:
             yield gap, at, None, b"", why
@@ -178,7 +201,7 @@ def _records(raw: bytes, proof: bool) -> Iterator[tuple[int, int, dict | None, b
         yield gap, len(raw), None, b"", why
 
 
-def _salvage_member(data: bytes, at: int) -> tuple[list[tuple[dict | None, bytes, str]], int, str]:
+def _salvage_member(find: Finder, at: int) -> tuple[list[tuple[dict | None, bytes, str]], int, str]:
     """(fields, block, "") and (None, b"", reason) of the records and gaps in the gzip member at `at`,
     where to go on, and why no record was good, if so.
 
@@ -186,7 +209,7 @@ def _salvage_member(data: bytes, at: int) -> tuple[list[tuple[dict | None, bytes
     if the member is only cut off. Digests cover blocks; the fields of such a
     record are as they were read, and the log names the member.
     """
-    broken = ""
+    data, broken = find.data, ""
     try:
         raw, end = _member(data, at)
     except Bad as e:
@@ -196,7 +219,7 @@ def _salvage_member(data: bytes, at: int) -> tuple[list[tuple[dict | None, bytes
     if broken:
         if rows and rows[-1][2] is None:
             rows.pop()
-        end = _next(data, max(at + 1, _prefix(data, at, done)[1]) if done else at + 1)
+        end = _next(find, max(at + 1, _prefix(data, at, done)[1]) if done else at + 1)
     if not done:
         return [], end, broken or (rows[0][4] if rows else "an empty member")
     out = [(head, block, why and f"{why} (bytes {start} to {stop} of the member's content)") for start, stop, head, block, why in rows]
@@ -212,16 +235,16 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, bytes, str]]:
     Offset and length are those of the member, if a record or gap is in one that
     has good records; the reason of such a gap names its bytes of the content.
     """
-    at, gap, why = 0, None, ""
+    at, gap, why, find = 0, None, "", Finder(data)
     while at < len(data):
         if data.startswith(MAGIC, at):
-            found, end, bad = _salvage_member(data, at)
+            found, end, bad = _salvage_member(find, at)
         else:
             try:
-                head, block, end = _parse(data, at)
+                head, block, end = _parse(find, at)
                 found, bad = [(head, block, "")], ""
             except Bad as e:
-                found, end, bad = [], _next(data, at + 1), str(e)
+                found, end, bad = [], _next(find, at + 1), str(e)
         if not found:
             if gap is None:
                 gap, why = at, bad
@@ -237,13 +260,12 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, bytes, str]]:
         yield gap, len(data) - gap, None, b"", why
 
 
-def _next(data: bytes, at: int) -> int:
+def _next(find: Finder, at: int) -> int:
     """The first place from `at` on where a member opens or a version line stands, or the end."""
-    line = m.start() if (m := _VERSION_LINE.search(data, at)) else len(data)
-    k = data.find(MAGIC, at, line)
-    while k >= 0 and not _opens(data, k):
-        k = data.find(MAGIC, k + 1, line)
-    return k if k >= 0 else line
+    line, k = find.next(_VERSION_LINE, at), find.next(MAGIC, at)
+    while k < line and not _opens(find.data, k):
+        k = find.next(MAGIC, k + 1)
+    return min(k, line)
 
 
 READ = "archive string, offset long, length long, reason string, page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
@@ -281,13 +303,15 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def write_archives(spark: SparkSession, pages: DataFrame, least: int = 0) -> DataFrame:
-    """Archives (archive, data) of all rows of pages(page_id, url, html).
+    """Archives (archive, records, data) of all rows of pages(page_id, url, html).
 
     Of rows with equal payloads of at least `least` bytes, the one with the
     smallest page_id is a response and the others revisit it. A null html is an
-    empty payload; rows without page_id are responses, unless another page has
-    their payload; rows that repeat the smallest page_id and its payload are
-    responses too.
+    empty payload, a null url an empty address; rows without page_id are
+    responses, unless another page has their payload; rows that repeat the
+    smallest page_id and its payload are responses too. A page of any length is
+    one record. Other columns, whatever their names, are not read. An empty
+    table gives no archive.
     """
     text = F.coalesce("html", F.lit(""))
     payload = F.encode(text, "utf-8")
@@ -295,7 +319,7 @@ def write_archives(spark: SparkSession, pages: DataFrame, least: int = 0) -> Dat
     same = rows.where(F.col("n") >= least).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies")).where("copies > 1").select("digest", "first_id")
     joined = rows.join(same, "digest", "left")
     again = F.coalesce(F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id")), F.lit(False))
-    return joined.select("page_id", "url", "html", "first_id", again.alias("again")).mapInArrow(_write, "archive string, data binary")
+    return joined.select("page_id", "url", "html", "first_id", again.alias("again")).mapInArrow(_write, "archive string, records long, data binary")
 
 
 def read_archives(spark: SparkSession, archives: DataFrame) -> DataFrame:
@@ -309,9 +333,27 @@ def quarantine(records: DataFrame) -> DataFrame:
     return records.where("reason is not null").select("archive", "offset", "length", "reason")
 
 
+class Incomplete(Exception):
+    """Archives that don't give back what was written to them."""
+
+
 def round_trip(spark: SparkSession, pages: DataFrame, least: int = 0) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every page, from archives written and read back."""
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every page, from archives written and read back.
+
+    Raises Incomplete, with the number of records and the first gaps of the
+    quarantine log, if a record that was written isn't read.
+    """
     scratch = Scratch(spark, "warc")
     archives = scratch.cut(write_archives(spark, pages, least), "archives", "none")
-    back = read_archives(spark, archives)
-    return back.where("reason is null").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return verified(scratch, archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def verified(scratch: Scratch, archives: DataFrame) -> DataFrame:
+    """The records of archives(archive, records, data), all that were written."""
+    back = scratch.cut(read_archives(scratch.spark, archives).drop("payload"), "records")
+    written = archives.agg(F.sum("records")).first()[0] or 0
+    got = back.agg(F.count_if(F.col("reason").isNull()).alias("read"), F.count("reason").alias("gaps")).first()
+    if got.read != written or got.gaps:
+        log = [f"{r.archive} {r.offset}+{r.length}: {r.reason}" for r in quarantine(back).limit(5).collect()]
+        raise Incomplete(f"{written} records written, {got.read} read, {got.gaps} gaps: {log}")
+    return back

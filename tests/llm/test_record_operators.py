@@ -128,6 +128,28 @@ def test_read_logs_gaps(spark):
     assert [(r.archive, r.offset, r.length) for r in warc.quarantine(got).collect()] == [("a", len(parts[0]), 30)]
 
 
+def test_what_was_written_must_be_read(spark):
+    pages = spark.createDataFrame([(i, "u", f"page {i} " * 40) for i in range(30)], "page_id long, url string, html string")
+    scratch = Scratch(spark, "t")
+    archives = scratch.cut(warc.write_archives(spark, pages), "archives")
+    assert warc.verified(scratch, archives).count() == 30
+    rows = [(r.archive, r.records, bytearray(r.data[:100] + b"#" + r.data[101:])) for r in archives.collect()]
+    with pytest.raises(warc.Incomplete, match="30 records written"):
+        warc.verified(scratch, spark.createDataFrame(rows, archives.schema))
+
+
+@pytest.mark.parametrize("junk", [b"WARC/1.1\r\n", b"WARC/1.1\r\nContent-Length: 7\r\n\r\n", b"\x1f\x8b\x08", b"\x1f\x8b\x08\x00WARC/1.0\n"])
+def test_damaged_files_are_searched_once(junk):
+    import time
+
+    good = warc.record(1, "http://h/", b"kept")
+    data = good + junk * (1_000_000 // len(junk)) + member(2, "kept too")
+    began = time.perf_counter()
+    ids, gaps = salvaged(data)
+    assert ids == [1, 2] and gaps == [(len(good), len(junk) * (1_000_000 // len(junk)))]
+    assert time.perf_counter() - began < 20
+
+
 # top-k
 
 
