@@ -412,6 +412,87 @@ def test_wrapper_induction(spark):
     assert wrapper.extract(spark, df.limit(0)).collect() == []
 
 
+def neutral_page(n, rng, extra=""):
+    """A page without semantic tags or telling classes; its frame is longer than its story."""
+    words = lambda k: " ".join(rng.choice("alpha beta gamma delta epsilon zeta eta theta iota kappa".split()) for _ in range(k))
+    story = [f"Story {n}: {words(12)}."] + [f"{words(rng.randint(10, 30))} {n}." for _ in range(rng.randint(2, 6))]
+    frame = "This long text of the house stands on every page, says who prints it, for whom, and under which rules. " * 12
+    links = "".join(f"<div><a href=/{rng.randrange(999)}>{words(4)}</a></div>" for _ in range(rng.randint(0, 8)))
+    body = "".join(f"<div>{t}</div>" for t in story[1:])
+    html = f"<html><body><div>{frame}</div>{extra}<div><div>{links}</div><div><h2>{story[0]}</h2><div>Share this with your friends</div>{body}</div></div><div><div>{frame}</div></div></body></html>"
+    return html, "\n".join(story)
+
+
+def induced(pages):
+    t = None
+    for p in pages:
+        x = wrapper.shape(wrapper.parse(p))
+        t = wrapper.fold(t, x) if t else x
+    return t
+
+
+def test_slots_choose_the_content(spark):
+    rng = random.Random(3)
+    made = [neutral_page(n, rng, "<div>Today: all trains are late</div>" if n % 5 == 2 else "") for n in range(40)]
+    got = {r.page_id: r.text for r in wrapper.extract(spark, spark.createDataFrame([(n, "http://h/", p) for n, (p, _) in enumerate(made)], "page_id long, url string, html string")).collect()}
+    assert all(got[n] == want for n, (_, want) in enumerate(made))
+    alone = [wrapper.main_text(p) for p, _ in made]
+    assert not any(a == want for a, (_, want) in zip(alone, made))  # without the template the frame wins
+
+
+def test_no_limit_of_children_or_texts():
+    rng = random.Random(4)
+    pages = []
+    for n in range(30):
+        rows = "".join(f"<div>row {rng.randrange(10**9)}</div>{'<p>Follow us on every channel</p>' if k == 699 else ''}" for k in range(700 + rng.randrange(3)))
+        pages.append(f"<body><section><h2>Head {n}</h2>{rows}</section></body>")
+    t = induced(pages)
+    for p in pages:
+        text = wrapper.main_text(p, t)
+        assert text.count("\n") >= 700 and "Follow us" not in text and text.startswith("Head ")
+    # a text that four fifths of the pages have is found among any number of others, whatever the order
+    counts = {}
+    for n in rng.sample(range(500), 500):
+        counts = wrapper.counted(counts, {"same" if n % 10 < 8 else f"x{n}": 1})
+    assert wrapper.constant(["p", 500, counts, [], {}], {"same": 1}) and not wrapper.constant(["p", 500, counts, [], {}], {"x9": 1})
+
+
+def test_near_copies_keep_their_text():
+    story = "".join(f"<p>Paragraph {k} of the story that all pages tell in the same words.</p>" for k in range(20))
+    pages = [f"<body><div><h1>Headline {n}</h1>{story}<p>Only here: {n}</p></div></body>" for n in range(9)]
+    text = wrapper.main_text(pages[3], induced(pages))
+    assert text.count("\n") == 21 and "Paragraph 7" in text and "Only here: 3" in text
+
+
+def test_all_articles_and_blocks_stay():
+    page = """<body><article><h1>One</h1><p>First text.</p><div class="legal side">A legal side of the matter.</div><div class="tags">Tagged text</div><fieldset>Set</fieldset><label>Labelled</label>
+    <math><mi>x</mi></math></article><article><h1>Two</h1><p>Second.</p></article><dialog>Hidden</dialog></body>"""
+    assert wrapper.main_text(page) == "One\nFirst text.\nA legal side of the matter.\nTagged text\nSet\nLabelled x\nTwo\nSecond."
+
+
+@pytest.mark.parametrize("unit", ['<a b="c', "<a b='c>", "<a ", "<", "<div>", "<p>x", "</p", '<a b="', "<!-", "<li><td>"])
+def test_parsing_is_linear(unit):
+    import time
+
+    began = time.perf_counter()
+    wrapper.main_text(unit * (1_000_000 // len(unit)))
+    assert time.perf_counter() - began < 15
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_common_subsequence(seed):
+    rng = random.Random(seed)
+    for _ in range(60):
+        x, y = ([rng.choice([*"abcd", None]) for _ in range(rng.randrange(12))] for _ in range(2))
+        pairs = wrapper.common(x, y)
+        assert all(x[i] == y[j] is not None for i, j in pairs) and all(p < q and r < s for (p, r), (q, s) in zip(pairs, pairs[1:]))
+        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for i, a in enumerate(x):
+            for j, b in enumerate(y):
+                best[i + 1][j + 1] = best[i][j] + 1 if a == b is not None else max(best[i][j + 1], best[i + 1][j])
+        assert len(pairs) == best[-1][-1]
+
+
 def test_names_that_mark_noise():
     page = """<body class="page has-sidebar"><header><h1>Site</h1></header><div class="layout no-sidebar"><main><article class="post comments-open"><header class="entry-header"><h1>Title</h1></header>
     <p>Body text.</p><section class="user-comments"><article class="comment"><p>A reader's long comment, longer than the body.</p></article></section><div class="ad-slot">Buy</div>
