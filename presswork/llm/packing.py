@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -25,8 +26,6 @@ from presswork.llm.common import Scratch
 CAPACITY, END_ID, TOKENIZER = 4096, 1, "word_bpe_49k.json"
 #: A worker's caches of words and parts are emptied beyond this many, and when long words fill them.
 CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 800_000, 500_000, 40
-#: Documents of one length are ranked in this many independent parts.
-PARTS = 64
 
 
 class _Numbered(dict):
@@ -160,6 +159,25 @@ def _pieces(path: str, capacity: int, end_id: int):
     return run
 
 
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+
+
+def _ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces in the order of their lengths, with the number of their part and their rank in it among those of their length."""
+    part, length, done = TaskContext.get().partitionId(), None, 0
+    for batch in batches:
+        n = np.asarray(batch.column(batch.schema.get_field_index("length")))
+        if not len(n):
+            continue
+        head = np.concatenate([[0], np.flatnonzero(n[1:] != n[:-1]) + 1])
+        runs = np.diff(np.append(head, len(n)))
+        rank = np.arange(len(n)) - np.repeat(head, runs)
+        if n[0] == length:
+            rank[: runs[0]] += done
+        length, done = n[-1], int(rank[-1]) + 1
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(n), part, np.int32)), pa.array(rank)], [*batch.schema.names, "part", "r"])
+
+
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
     """Best fit decreasing over counts: (length, first rank, rank after the last,
     first sequence, pieces a sequence, offset) of runs of slots.
@@ -209,30 +227,31 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
 def pack(spark: SparkSession, documents: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for every piece of every row.
 
-    A null or empty text is the end id alone, one piece of length 1. Rows that
-    repeat are packed one by one. Other columns are not read. An empty table
-    gives no piece.
+    A null or empty text is the end id alone, one piece of length 1; a text of
+    any length is cut into as many pieces as it takes. Rows that repeat, or have
+    no doc_id, are packed one by one. Other columns, whatever their names, are
+    not read. An empty table gives no piece.
     """
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path(TOKENIZER)
     scratch = Scratch(spark, "packing")
-    made = documents.select("doc_id", "text").mapInArrow(_pieces(path, capacity, end_id), "doc_id long, piece int, start long, length long, ids_crc32 long")
-    part = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(PARTS)).cast("int")
-    pieces = scratch.cut(made.withColumn("part", part), "pieces")
-    counts = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
+    made = documents.select("doc_id", "text").mapInArrow(_pieces(path, capacity, end_id), PIECES)
+    pieces = scratch.cut(made.withColumn("row", F.xxhash64(F.monotonically_increasing_id())), "pieces")
+    histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most capacity rows
+    slots = scratch.cut(spark.createDataFrame(plan(histogram, capacity), "length long, lo long, hi long, first long, per long, at long"), "plan")
+    # ranges of (length, row): a length that many pieces have is dealt to as many tasks as it takes
+    ranked = pieces.repartitionByRange("length", "row").sortWithinPartitions("length", "row").drop("row").mapInArrow(_ranked, f"{PIECES}, part int, r long")
+    ranked = scratch.cut(ranked, "ranked")
+    # a row for each part and, where parts meet inside a length, one more: it has a bound, as the plan has
+    counts = ranked.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    counts = scratch.cut(counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))), "counts")  # at most capacity * PARTS rows
-    histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most capacity rows
-    slots = plan(histogram, capacity)
-    slots = scratch.cut(spark.createDataFrame(slots, "length long, lo long, hi long, first long, per long, at long"), "plan")
-    order = W.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = pieces.withColumn("r", F.row_number().over(order) - 1).join(counts.select("length", "part", "base"), ["length", "part"])
-    ranked = ranked.withColumn("rank", F.col("r") + F.col("base"))
-    # a length has few runs of slots; the rank falls into one of them
+    base = scratch.cut(counts.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "base")
     by_length = slots.groupBy("length").agg(F.array_sort(F.collect_list(F.struct("lo", "hi", "first", "per", "at"))).alias("runs"))
-    placed = ranked.join(by_length, "length").withColumn("x", F.filter("runs", lambda s: (s["lo"] <= F.col("rank")) & (F.col("rank") < s["hi"]))[0])
+    placed = ranked.join(F.broadcast(base), ["length", "part"]).join(F.broadcast(by_length), "length").withColumn("rank", F.col("r") + F.col("base"))
+    # a length has few runs of slots; the rank falls into one of them
+    placed = placed.withColumn("x", F.filter("runs", lambda s: (s["lo"] <= F.col("rank")) & (F.col("rank") < s["hi"]))[0])
     inner = F.col("rank") - F.col("x.lo")
     return placed.select(
         "doc_id",
