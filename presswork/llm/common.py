@@ -130,17 +130,17 @@ class Powers:
         return self.up[:n], self.down[:n]
 
 
-#: The base of the prefix polynomials: odd, and without a pattern in its bits.
-POWERS = Powers(0x9E3779B97F4A7C15 | 5)
+#: The bases of the prefix polynomials: odd, and without a pattern in their bits.
+POWERS, MORE_POWERS = Powers(0x9E3779B97F4A7C15 | 5), Powers(0xC2B2AE3D27D4EB4F | 5)
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
+def prefix_hash(data: np.ndarray, powers: Powers = POWERS) -> np.ndarray:
     """H with H[j] - H[i] = the polynomial of data[i:j], times base**i."""
-    up, _ = POWERS.to(len(data) + 1)
+    up, _ = powers.to(len(data) + 1)
     out = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=out[1:])
     return out
@@ -161,9 +161,9 @@ def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, np.flatnonzero(word & ~after) + 1
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    h = prefix_hash(data)
-    _, down = POWERS.to(len(data) + 1)
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers = POWERS) -> np.ndarray:
+    h = prefix_hash(data, powers)
+    _, down = powers.to(len(data) + 1)
     return mix64((h[ends] - h[starts]) * down[starts])
 
 

@@ -5,9 +5,10 @@ posted under each pair (coordinate, value). Two sets with at least MATCHES equal
 coordinates share MATCHES lists, so whatever order the lists have, they meet in
 one of the first m - MATCHES + 1 of each set's m lists that hold anyone else
 (lists of one come first and can hold no partner). Lists are ordered by length:
-those short prefixes are merged, the MATCHES - 1 longest lists of a set are
-skipped and probed by comparing the two signatures. Pairs that reach MATCHES are
-confirmed on the full sets.
+those short prefixes are merged and a pair's collisions counted, the MATCHES - 1
+longest lists of a set are skipped, and probed by comparing the two signatures
+for pairs that the count leaves below MATCHES. Pairs that reach MATCHES are
+confirmed on the full sets, of 128 bits a shingle.
 
 A list isn't expanded into all its pairs. Its members meet the one member that
 shares most with others, and links give components. Only members of lists that
@@ -29,47 +30,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from presswork.llm.common import Scratch, mix64, per_row, text_blocks, word_hashes, word_spans, LOWER
+from presswork.llm.common import LOWER, MORE_POWERS, POWERS, Scratch, mix64, per_row, text_blocks, word_hashes, word_spans
 from presswork.llm.graph import components
 
 COORDINATES, MATCHES = 48, 22
 _RNG = np.random.default_rng(20_240_607)
 MULTIPLY = _RNG.integers(0, 1 << 31, COORDINATES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 ADD = _RNG.integers(0, 1 << 32, COORDINATES, dtype=np.uint64).astype(np.uint32)
-#: A shingle is a number of this many bits; the other bits hold the row in its block while sorting.
-SHINGLE_BITS = 52
+#: Bytes of a shingle in a full set: two independent hashes of 64 bits, which stand for its words.
+ITEM = 16
+#: Links of one document that a task confirms at most; a document with more has several tasks.
+LINKS = 4096
 
 
 def shingles(data: np.ndarray, offs: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The rows' distinct shingles, sorted within each row, and where each row's begin."""
+    """The rows' distinct shingles, sorted within each row, as pairs of hashes, and where each row's begin."""
     rows = len(offs) - 1
+    low = LOWER[data]
     starts, ends = word_spans(data, offs)
-    words = word_hashes(LOWER[data], starts, ends)
     first = per_row(starts, offs)
     count = np.diff(first)
     row = np.repeat(np.arange(rows), count)
-    left = first[1:][row] - np.arange(len(words))  # words from this one to the row's end
+    left = first[1:][row] - np.arange(len(starts))  # words from this one to the row's end
     total = count[row]
-    m = np.uint64(0xD6E8FEB86659FD93)
-    h = words.copy()
-    for k in range(1, width):
-        nxt = np.zeros_like(words)
-        nxt[:-k] = words[k:] if k <= len(words) else 0
-        grow = (left > k) if len(words) else np.zeros(0, bool)
-        h = np.where(grow, h * m + nxt, h)
     keep = (left >= width) | ((total < width) & (left == total))
-    h = mix64(h[keep] ^ mix64(np.minimum(total[keep], width).astype(np.uint64)))
-    row = row[keep].astype(np.uint64)
-    key = np.sort((row << np.uint64(SHINGLE_BITS)) | (h >> np.uint64(64 - SHINGLE_BITS)))
-    if len(key):
-        key = key[np.concatenate([[True], key[1:] != key[:-1]])]
-    bounds = np.searchsorted(key, np.arange(rows + 1).astype(np.uint64) << np.uint64(SHINGLE_BITS))
-    return key & np.uint64((1 << SHINGLE_BITS) - 1), bounds.astype(np.int64)
+    grows = [left > k for k in range(1, width)]
+    last = mix64(np.minimum(total[keep], width).astype(np.uint64))
+    pair = []
+    for powers, m in ((POWERS, np.uint64(0xD6E8FEB86659FD93)), (MORE_POWERS, np.uint64(0xA0761D6478BD642F))):
+        words = word_hashes(low, starts, ends, powers)
+        h = words.copy()
+        for k, grow in enumerate(grows, 1):
+            nxt = np.zeros_like(words)
+            nxt[:-k] = words[k:] if k <= len(words) else 0
+            h = np.where(grow, h * m + nxt, h)
+        pair.append(mix64(h[keep] ^ last))
+    row = row[keep].astype(np.uint16)  # a block has at most BLOCK_ROWS rows
+    order = np.argsort(pair[0], kind="stable")
+    order = order[np.argsort(row[order], kind="stable")]
+    out, row = np.stack(pair, axis=1)[order], row[order]
+    if len(out):
+        new = np.concatenate([[True], (out[1:] != out[:-1]).any(axis=1) | (row[1:] != row[:-1])])
+        out, row = out[new], row[new]
+    return out, np.searchsorted(row, np.arange(rows + 1)).astype(np.int64)
 
 
 def signatures(items: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """(rows with items, COORDINATES) minima; the caller leaves out empty rows."""
-    x = (items & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    x = (items[:, 0] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     out = np.empty((len(bounds), COORDINATES), np.uint32)
     for k in range(COORDINATES):
         out[:, k] = np.minimum.reduceat(x * MULTIPLY[k] + ADD[k], bounds)
@@ -88,9 +96,8 @@ def _sign(width: int):
                 if len(full):
                     heads = bounds[:-1][full]
                     sig = signatures(items, heads)
-                    mixed = mix64(items)
-                    keys[full, 0] = np.add.reduceat(mixed, heads).view(np.int64)
-                    keys[full, 1] = np.add.reduceat(mix64(mixed ^ np.uint64(0x5851F42D4C957F2D)), heads).view(np.int64)
+                    for k in (0, 1):
+                        keys[full, k] = np.add.reduceat(mix64(items[:, k] ^ np.uint64(0x5851F42D4C957F2D)), heads).view(np.int64)
                 none = n == 0
                 ends = np.concatenate([[0], np.cumsum(np.where(none, 0, COORDINATES))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -108,23 +115,22 @@ def _sign(width: int):
 
 
 def _sets(width: int):
-    """Full sets, 6 bytes a shingle."""
+    """Full sets, ITEM bytes a shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, end, data, offs in text_blocks(batch.column(1)):
                 items, bounds = shingles(data, offs, width)
-                raw = np.ascontiguousarray((items & np.uint64((1 << 48) - 1)).view(np.uint8).reshape(-1, 8)[:, :6])
-                held = pa.Array.from_buffers(pa.binary(), end - at, [None, pa.py_buffer((bounds * 6).astype(np.int32)), pa.py_buffer(raw)])
+                held = pa.Array.from_buffers(pa.binary(), end - at, [None, pa.py_buffer((bounds * ITEM).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(items))])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, end - at), held], ["doc_id", "items"])
 
     return run
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sets as lists of numbers."""
+    """Sets as lists of numbers, a shingle's first hash each."""
     for batch in batches:
-        sets = [_unpack(x.as_buffer()) for x in batch.column(1)]
+        sets = [_unpack(x.as_buffer())[:, 0] for x in batch.column(1)]
         size = np.array([len(x) for x in sets], np.int32)
         ends = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
         flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
@@ -132,26 +138,29 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _unpack(raw) -> np.ndarray:
-    bytes6 = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    out = np.zeros((len(bytes6), 8), np.uint8)
-    out[:, :6] = bytes6
-    return out.view(np.uint64).ravel()
+    return np.frombuffer(raw, np.uint64).reshape(-1, 2)
 
 
 def _linked(percent: int):
+    """Links of pairs (a, b), from rows (a, lot, b, items) that arrive lot by lot, the set of a itself, with a null b, first."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lot, mine, size = None, np.zeros(0), 0
         for batch in batches:
-            a, b, sa, sb = batch.columns
-            keep, seen = [], {}
+            a, lots, b, items = (batch.column(batch.schema.get_field_index(c)) for c in ("a", "lot", "b", "items"))
+            keep = []
             for i in range(batch.num_rows):
-                key = a[i].as_py()
-                if key not in seen:
-                    seen = {key: np.sort(_unpack(sa[i].as_buffer()))}
-                x, y = seen[key], np.sort(_unpack(sb[i].as_buffer()))
-                both = np.concatenate([x, y])
-                both.sort()
-                inter = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(100 * inter >= percent * (len(x) + len(y) - inter))
+                x = _unpack(items[i].as_buffer())
+                if not b[i].is_valid:
+                    lot, mine, size = (a[i].as_py(), lots[i].as_py()), x, len(x)
+                    keep.append(False)
+                    continue
+                if lot != (a[i].as_py(), lots[i].as_py()):
+                    raise ValueError(f"the set of {a[i]} is missing")
+                # both are sorted by their first hashes; equal ones must have equal second ones
+                at = np.searchsorted(mine[:, 0], x[:, 0]).clip(max=max(size - 1, 0))
+                both = int(np.count_nonzero((mine[at] == x).all(axis=1))) if size else 0
+                keep.append(100 * both >= percent * (size + len(x) - both))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], ["a", "b"])
 
@@ -175,9 +184,11 @@ class InvertedJoin:
     """Near-duplicate links of documents (doc_id, text), and their components.
 
     Nulls: a text that is null or holds no word has an empty set and no link; a
-    row without doc_id gets no component and is kept. Rows that repeat a doc_id
-    with one text are one document. Columns other than doc_id and text are not
-    read. An empty table gives an empty result.
+    row without doc_id gets no component and is kept. Texts of any length have
+    all their shingles compared. Rows that repeat a doc_id with one text are one
+    document. Equal sets have one row of candidates; of links that tie all
+    count. Other columns, whatever their names, are not read. An empty table
+    gives an empty result.
     """
 
     def __init__(self, spark: SparkSession, width: int = 4, percent: int = 80, matches: int = MATCHES):
@@ -193,15 +204,27 @@ class InvertedJoin:
         return self.scratch.cut(texts.mapInArrow(_sets(self.width), "doc_id long, items binary").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"), "sets", "none")
 
     def confirmed(self, pairs: DataFrame, sigs: DataFrame, docs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
-        """Of pairs (a, b) of ids, those with enough equal coordinates whose full sets are similar enough."""
+        """Of pairs (a, b, met) of ids, those with enough equal coordinates whose full sets are similar enough.
+
+        met is how many lists the pair was counted in; a pair below enough is
+        probed by its signatures. A set is moved once for each of its links as
+        b, and once for up to LINKS of them as a.
+        """
+        pairs = self.scratch.cut(pairs, "pairs")
         side = lambda df, c, v: df.select(F.col("id").alias(c), F.col(v).alias(f"{v}_{c}"))
-        probed = pairs.join(side(sigs, "a", "sig"), "a").join(side(sigs, "b", "sig"), "b").select("a", "b", "sig_a", "sig_b")
-        probed = self.scratch.cut(probed.mapInArrow(_matching(self.matches), "a long, b long"), "probed")
+        probed = pairs.where(F.col("met") < self.matches).select("a", "b").join(side(sigs, "a", "sig"), "a").join(side(sigs, "b", "sig"), "b").select("a", "b", "sig_a", "sig_b")
+        probed = probed.mapInArrow(_matching(self.matches), "a long, b long").unionByName(pairs.where(F.col("met") >= self.matches).select("a", "b"))
+        probed = self.scratch.cut(probed, "probed")
         if sets is None:
             sets = self.sets_of(probed.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs)
-        full = probed.join(side(sets, "b", "items"), "b").join(side(sets, "a", "items"), "a").select("a", "b", "items_a", "items_b")
-        links = self.scratch.cut(full.mapInArrow(_linked(self.percent), "a long, b long"), "links")
-        self.scratch.drop(sets, probed)
+        lots = probed.groupBy("a").agg(F.count("*").alias("n")).select("a", F.ceil(F.col("n") / LINKS).cast("int").alias("lots"))
+        lots = self.scratch.cut(lots, "lots")
+        dealt = probed.join(lots, "a").select("a", F.pmod(F.xxhash64("b"), F.col("lots")).cast("int").alias("lot"), "b")
+        theirs = dealt.join(side(sets, "b", "items"), "b").select("a", "lot", "b", F.col("items_b").alias("items"))
+        own = lots.join(side(sets, "a", "items"), "a").select("a", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), F.lit(None).cast("long").alias("b"), F.col("items_a").alias("items"))
+        both = own.unionByName(theirs).repartition("a", "lot").sortWithinPartitions("a", "lot", F.col("b").asc_nulls_first())
+        links = self.scratch.cut(both.mapInArrow(_linked(self.percent), "a long, b long"), "links")
+        self.scratch.drop(sets, probed, pairs)
         return links
 
     def candidates(self, member: DataFrame, sets: DataFrame) -> DataFrame:
@@ -228,7 +251,7 @@ class InvertedJoin:
         left = F.least(F.col("x.size") - F.col("x.pos"), F.col("y.size") - F.col("y.pos"))
         able = (F.col("x.size") * 100 >= t * F.col("y.size")) & (left * (100 + t) >= t * (F.col("x.size") + F.col("y.size")))
         met = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.c") != F.col("y.c")) & after & able)
-        return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+        return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct().withColumn("met", F.lit(0))
 
     def components(self, docs: DataFrame) -> DataFrame:
         """(doc_id, n_shingles, component_id, kept) for every row of docs."""
@@ -239,7 +262,8 @@ class InvertedJoin:
         classes = cut(same.select("k1", "k2", "x.id", "x.sig"), "classes")
         key = (F.shiftleft(F.col("at").cast("long"), 32)).bitwiseOR(F.col("value").cast("long").bitwiseAND(0xFFFFFFFF))
         posted = classes.select("id", F.posexplode("sig").alias("at", "value")).select("id", key.alias("key"))
-        lists = posted.groupBy("key").agg(F.count("*").alias("length")).where("length > 1")
+        # a table of its own, so that a join on a list that many share can be split; so for the heads below
+        lists = cut(posted.groupBy("key").agg(F.count("*").alias("length")).where("length > 1"), "lists")
         shared = posted.join(lists, "key")
         by_id = W.partitionBy("id")
         ranked = shared.withColumn("m", F.count("*").over(by_id)).where(F.col("m") >= self.matches)
@@ -247,8 +271,8 @@ class InvertedJoin:
         prefix = cut(ranked.where(F.col("r") <= F.col("m") - self.matches + 1).select("id", "key", "weight"), "prefix")
         sigs = cut(classes.join(prefix.select("id").distinct(), "id", "left_semi").select("id", "sig"), "sigs")
         # First every list's members against the one that shares most with others: that joins most copies, in as many pairs as postings.
-        head = prefix.groupBy("key").agg(F.max(F.struct("weight", -F.col("id"))).alias("x")).select("key", (-F.col("x")["col2"]).alias("h"))
-        star = prefix.join(head, "key").where("h <> id").select(F.least("h", "id").alias("a"), F.greatest("h", "id").alias("b")).distinct()
+        head = cut(prefix.groupBy("key").agg(F.max(F.struct("weight", -F.col("id"))).alias("x")).select("key", (-F.col("x")["col2"]).alias("h")), "heads")
+        star = prefix.join(head, "key").where("h <> id").groupBy(F.col("h").alias("a"), F.col("id").alias("b")).agg(F.count("*").alias("met"))
         links = self.confirmed(star, sigs, docs)
         joined = components(self.scratch, links)
         # Then members of lists that hold several components; one component's members need no more comparing.
