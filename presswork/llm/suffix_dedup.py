@@ -10,8 +10,9 @@ a pair that agrees over SPAN bytes or more covers both stretches. Its bytes are
 compared before it counts.
 
 An anchor's stretch is all its windows' bytes. Where a whole stretch occurs
-again, as it does inside every long repeat, an aggregate of its hash finds that,
-and no bytes are moved. Buckets of more than BUCKET different stretches aren't
+again, as it does inside every long repeat, an aggregate of its anchor and its
+BLAKE2 digest finds that, and no bytes are moved; texts that are copies are found
+by their SHA-256. Buckets of more than BUCKET different stretches aren't
 sorted: their windows' hashes are counted, in blocks of windows with the anchor at
 the same places, and where even those are too many, one by one.
 """
@@ -35,8 +36,9 @@ KEYS = ["k1", "k2"]
 
 
 def text_keys() -> list[F.Column]:
-    text = F.coalesce("text", F.lit(""))
-    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(7), text).alias("k2")]
+    """The first 128 bits of the text's SHA-256."""
+    sha = F.sha2(F.encode(F.coalesce("text", F.lit("")), "utf-8"), 256)
+    return [F.conv(F.substring(sha, at, 16), 16, -10).cast("long").alias(k) for k, at in (("k1", 1), ("k2", 17))]
 
 
 def anchors(data: np.ndarray, offs: np.ndarray, span: int = SPAN, gram: int = GRAM):
@@ -63,10 +65,12 @@ def anchors(data: np.ndarray, offs: np.ndarray, span: int = SPAN, gram: int = GR
     head = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (row[1:] != row[:-1])]))
     last = np.append(head[1:], len(at)) - 1
     a, first, final, row = at[head], start[head], start[last], row[head]
-    stretch = (h[final + span] - h[first]) * down[first]
+    # equal digests stand for equal bytes, so they don't come from the polynomials
+    raw = memoryview(np.ascontiguousarray(data))
+    stretch = b"".join([hashlib.blake2b(raw[s:e], digest_size=8).digest() for s, e in zip(first.tolist(), (final + span).tolist())])
     shape = (a - first).astype(np.uint64) * np.uint64(1 << 20) + (final - first).astype(np.uint64)
     base = offs[:-1][row]
-    return row, a - base, first - base, final - base, mix64(g[a]), mix64(stretch ^ mix64(shape))
+    return row, a - base, first - base, final - base, mix64(g[a]), np.frombuffer(stretch, np.uint64) ^ mix64(shape)
 
 
 ANCHORS = "k1 long, k2 long, a int, first int, final int, ah long, ch long, n int"
@@ -368,7 +372,8 @@ def repeated_spans(scratch: Scratch, documents: DataFrame) -> DataFrame:
     texts = documents.select(*text_keys(), "text").where(F.octet_length("text") >= SPAN)
     found = cut(texts.mapInArrow(_anchors, ANCHORS), "anchors")
     inside = cut(found.where("ah is null").select(*KEYS, F.col("first").alias("s"), (F.col("final") + SPAN).alias("e")).distinct(), "inside")
-    again = found.where("ah is not null").groupBy("ah").agg(F.sum("n").alias("n")).where("n > 1").select("ah")
+    # a table of its own, so that a join on an anchor that many texts share can be split
+    again = cut(found.where("ah is not null").groupBy("ah").agg(F.sum("n").alias("n")).where("n > 1").select("ah"), "again")
     held = found.join(again, "ah", "left_semi")
     # rows of one text's copies are one place with a count
     places = cut(held.groupBy("k1", "k2", "a", "first", "final", "ah", "ch").agg(F.sum("n").alias("n")), "places")
@@ -376,7 +381,7 @@ def repeated_spans(scratch: Scratch, documents: DataFrame) -> DataFrame:
     stretch = cut(places.groupBy("ah", "ch").agg(F.sum("n").alias("n"), F.min(F.struct(*KEYS, "a", "first", "final")).alias("x")), "stretches")
     whole = places.join(stretch.where("n > 1").select("ah", "ch"), ["ah", "ch"], "left_semi").select(*KEYS, F.col("first").alias("s"), (F.col("final") + SPAN).alias("e"))
     whole = cut(whole, "whole")
-    mixed = stretch.groupBy("ah").agg(F.count("*").alias("different"), F.min("n").alias("least")).where("different > 1 and least = 1")
+    mixed = cut(stretch.groupBy("ah").agg(F.count("*").alias("different"), F.min("n").alias("least")).where("different > 1 and least = 1"), "mixed")
     need = stretch.join(mixed, "ah").select("ah", (F.col("n") == 1).alias("single"), "different", "x.*")
     need = need.groupBy(*KEYS).agg(F.collect_list(F.struct("ah", "single", "different", "a", "first", "final")).alias("wanted"))
     once = texts.dropDuplicates(KEYS)
@@ -402,8 +407,10 @@ def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row of documents.
 
     A null text is an empty one. A text shorter than SPAN bytes loses nothing;
-    one of SPAN bytes or more that another row repeats loses all. Rows that
-    repeat a doc_id are documents of their own. Other columns are not read.
+    one of SPAN bytes or more that another row repeats loses all. Texts of any
+    length are searched whole. Rows that repeat a doc_id, or have none, are
+    documents of their own. Other columns, whatever their names, are not read.
+    An empty table gives no row.
     """
     scratch = Scratch(spark, "suffix")
     raw = F.encode(F.coalesce("text", F.lit("")), "utf-8")
