@@ -105,18 +105,18 @@ class Finder:
 
 def _member(data: bytes, at: int) -> tuple[bytes, int]:
     """What the gzip member at `at` holds, and where it ends; its length and CRC are checked."""
-    z = zlib.decompressobj(31)
+    z, parts, step, bytes_ = zlib.decompressobj(31), [], 1 << 13, memoryview(data)
     try:
-        out = z.decompress(data[at : at + ARCHIVE_BYTES])
-        end = at + ARCHIVE_BYTES
-        while not z.eof and end < len(data):
-            out += z.decompress(data[end : end + ARCHIVE_BYTES])
-            end += ARCHIVE_BYTES
+        while not z.eof and at < len(data):
+            piece = bytes_[at : at + step]
+            parts.append(z.decompress(piece))
+            at += len(piece)
+            step = min(4 * step, 1 << 20)
     except zlib.error as e:
         raise Bad(f"gzip: {e}") from None
     if not z.eof:
         raise Bad(NO_END)
-    return out, min(end, len(data)) - len(z.unused_data)
+    return b"".join(parts), at - len(z.unused_data)
 
 
 def _prefix(data: bytes, at: int, most: int = 0) -> tuple[bytes, int]:
@@ -152,7 +152,7 @@ def _parse(find: Finder, at: int, proof: bool = False) -> tuple[dict, bytes, int
     end = find.next(b"\r\n\r\n", m.end() - 2)
     if end == len(raw):
         raise Bad("the header has no end")
-    if find.next(_VERSION_LINE, m.end()) < end:
+    if _VERSION_LINE.search(raw, m.end(), end):
         raise Bad("a version line in the header")
     head = {}
     for line in raw[m.end() : end].decode("utf-8", "replace").split("\r\n"):
@@ -291,7 +291,9 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     kind = head.get("warc-type")
                     size = re.search(rb"(?im)^content-length:\s*(\d+)", http)
                     n = len(payload) if kind == "response" else int(size[1]) if size else None
-                    digest = base32_sha1(payload) if kind == "response" else head.get("warc-payload-digest", "").removeprefix("sha1:")
+                    digest = head.get("warc-payload-digest", "")
+                    # a response's digest was checked as it was parsed
+                    digest = digest[5:] if digest.startswith("sha1:") else base32_sha1(payload) if kind == "response" else digest
                     refers = _number(head["warc-refers-to"]) if "warc-refers-to" in head else None
                     rows.append((archive, offset, length, None, _number(head.get("warc-record-id", "")), head.get("warc-target-uri"), kind, refers, n, digest, payload if kind == "response" else None))
                     held += len(payload)
