@@ -270,7 +270,7 @@ class MediaStore:
         # files without shared chunks are read where they are
         moved = bundles.where("shared > 0").drop("shared").unionByName(pieces).repartition("media").sortWithinPartitions("media", "seq")
         told = lambda df: df.mapInArrow(_assembled(self.words), MEDIA)
-        return self.scratch.cut(told(bundles.where("shared = 0").drop("shared")).unionByName(told(moved)), "media")
+        return told(bundles.where("shared = 0").drop("shared")).unionByName(told(moved))
 
 
 def media_features(spark: SparkSession, documents: DataFrame) -> DataFrame:

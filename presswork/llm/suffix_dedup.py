@@ -380,7 +380,6 @@ def repeated_spans(scratch: Scratch, documents: DataFrame) -> DataFrame:
     scratch.drop(found)
     stretch = cut(places.groupBy("ah", "ch").agg(F.sum("n").alias("n"), F.min(F.struct(*KEYS, "a", "first", "final")).alias("x")), "stretches")
     whole = places.join(stretch.where("n > 1").select("ah", "ch"), ["ah", "ch"], "left_semi").select(*KEYS, F.col("first").alias("s"), (F.col("final") + SPAN).alias("e"))
-    whole = cut(whole, "whole")
     mixed = cut(stretch.groupBy("ah").agg(F.count("*").alias("different"), F.min("n").alias("least")).where("different > 1 and least = 1"), "mixed")
     need = stretch.join(mixed, "ah").select("ah", (F.col("n") == 1).alias("single"), "different", "x.*")
     need = need.groupBy(*KEYS).agg(F.collect_list(F.struct("ah", "single", "different", "a", "first", "final")).alias("wanted"))
@@ -389,18 +388,16 @@ def repeated_spans(scratch: Scratch, documents: DataFrame) -> DataFrame:
     moved = cut(moved, "bytes")
     spans = "k1 long, k2 long, s int, e int"
     few = moved.where(F.col("different") <= BUCKET).repartition("ah").sortWithinPartitions("ah").mapInArrow(_sorted, spans)
-    few = cut(few, "few")
     width = F.greatest(F.lit(1), F.least(F.lit(SPAN), F.floor(F.lit(SPAN * BLOCK) / F.col("different")))).cast("int")
     large = moved.where(F.col("different") > BUCKET).withColumn("width", width)
     fits = F.col("different") <= SPAN * BLOCK
     some = large.where(fits).mapInArrow(_windows, WINDOWS).repartition("ah", "block").sortWithinPartitions("ah", "block").mapInArrow(_counted, spans)
-    some = cut(some, "some")
     # larger still: a window a row, counted by partial aggregates
     each = large.where(~fits).mapInArrow(_windows, WINDOWS).select("ah", "single", *KEYS, "start", "place", F.posexplode("windows").alias("at", "w"))
     each = cut(each.select("ah", "single", *KEYS, (F.col("start") + F.col("at")).alias("s"), (F.col("place") - F.col("at")).alias("place"), "w"), "windows")
     twice = each.groupBy("ah", "place", "w").agg(F.count("*").alias("n")).where("n > 1").select("ah", "place", "w")
     most = each.where("single").join(twice, ["ah", "place", "w"], "left_semi").select(*KEYS, "s", (F.col("s") + SPAN).alias("e"))
-    return whole.unionByName(inside).unionByName(few).unionByName(some).unionByName(cut(most, "most"))
+    return whole.unionByName(inside).unionByName(few).unionByName(some).unionByName(most)
 
 
 def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
@@ -414,14 +411,13 @@ def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """
     scratch = Scratch(spark, "suffix")
     raw = F.encode(F.coalesce("text", F.lit("")), "utf-8")
-    rows = scratch.cut(documents.select("doc_id", *text_keys(), F.octet_length(raw).cast("long").alias("n_bytes"), F.sha2(raw, 256).alias("sha")), "rows")
+    rows = documents.select("doc_id", *text_keys(), F.octet_length(raw).cast("long").alias("n_bytes"), F.sha2(raw, 256).alias("sha"))
     spans = repeated_spans(scratch, documents)
     copies = rows.where(F.col("n_bytes") >= SPAN).groupBy(*KEYS).agg(F.count("*").alias("n")).where("n > 1").select(*KEYS)
     copies = scratch.cut(copies, "copies")
     spans = spans.join(copies, KEYS, "left_anti").groupBy(*KEYS).agg(F.collect_set(F.struct("s", "e")).alias("spans"))
     texts = documents.select(*text_keys(), F.col("text").cast("binary").alias("text")).where(F.octet_length("text") >= SPAN).join(copies, KEYS, "left_anti")
     part = texts.join(spans, KEYS).select(*KEYS, "text", "spans").mapInArrow(_kept, "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string")
-    part = scratch.cut(part, "kept")
     out = rows.join(part, KEYS, "left").join(copies.withColumn("copied", F.lit(True)), KEYS, "left")
     return out.select(
         "doc_id",
