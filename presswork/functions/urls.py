@@ -115,6 +115,38 @@ def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
 
+def joined(base: Column, address: Column) -> Column:
+    """The address as it reads on a page at base, all in Catalyst.
+
+    An address with a scheme stays; //host takes the page's scheme, /path its
+    host, ?query its path and #part its address; any other stands in the page's
+    folder. Steps . and .. are taken.
+    """
+    scheme, site = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    own = F.regexp_extract(address, r"^([^?#]*)", 1)
+    full = F.when(own.startswith("/"), own).otherwise(F.concat(F.regexp_extract(path, r"^(.*/)", 1), own))
+    full = F.when(full.startswith("/"), full).otherwise(F.concat(F.lit("/"), full))
+
+    def step(done: Column, part: Column) -> Column:
+        return F.when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))).when(part == ".", done).otherwise(F.concat(done, F.array(part)))
+
+    def plain(p: Column) -> Column:
+        steps = F.aggregate(F.split(p, "/"), F.array().cast("array<string>"), step)
+        return F.concat(F.array_join(steps, "/"), F.when(p.rlike(r"(^|/)\.\.?$"), "/").otherwise(F.lit("")))
+
+    full = F.when(full.rlike(r"(^|/)\.\.?(/|$)"), plain(full)).otherwise(full)
+    rest = F.regexp_extract(address, r"([?#].*)$", 1)
+    return (
+        F.when(address.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), address)
+        .when(address.startswith("//"), F.concat(scheme, address))
+        .when(address == "", base)
+        .when(address.startswith("#"), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), address))
+        .when(address.startswith("?"), F.concat(F.regexp_extract(base, r"^([^?#]*)", 1), address))
+        .otherwise(F.concat(site, full, rest))
+    )
+
+
 def post_id(url: Column, pattern: str) -> Column:
     """The number in a pattern's first group; null without one."""
     return F.expr("null").cast("long") if not pattern else F.nullif(F.regexp_extract(url, pattern, 1), F.lit("")).cast("long")

@@ -21,15 +21,15 @@ def unseen(df: DataFrame, seen: DataFrame, key: str = "dedup_key") -> DataFrame:
 
 
 def first_seen(df: DataFrame, key: str, time: str, *ties: str) -> DataFrame:
-    """One row per key: the earliest, ties by the given columns.
+    """One row per key: the earliest, ties by the given columns; a row without a time comes last.
 
     One partial aggregate of whole rows instead of a window: a key that many
-    rows share costs one row a task.
+    rows share costs one row a task. Columns may have any type, maps included;
+    only time and ties are compared.
     """
-    rest = [c for c in df.columns if c not in (key, time, *ties)]
-    pick = F.min(F.struct(time, *ties, *rest)).alias("_x")
-    out = df.groupBy(key).agg(pick)
-    return out.select(*[F.col(key) if c == key else F.col(f"_x.{c}").alias(c) for c in df.columns])
+    order = F.struct(F.col(time).isNull(), time, *ties)
+    out = df.groupBy(key).agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in df.columns)), order).alias("_x"))
+    return out.select("_x.*")
 
 
 def add_seen(seen: DataFrame, new: DataFrame) -> DataFrame:
@@ -84,3 +84,16 @@ def days_to_purge(seen: DataFrame, now: Column, most: int) -> DataFrame:
     """Keys per whole day of age up to `most`, oldest first: where a purge that searches backward would stop."""
     age = F.floor((F.unix_seconds(now) - F.unix_seconds("first_seen")) / DAY)
     return seen.select(F.least(age, F.lit(most)).alias("age_days")).groupBy("age_days").agg(F.count("*").alias("n")).orderBy(F.desc("age_days"))
+
+
+def purge_backward(seen: DataFrame, now: Column, ttl_days: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """(what stays, one row with the day that was purged and its count) of a purge that looks back day by day.
+
+    It begins at keys of ttl_days, goes on to older ones up to `most` days, and
+    ends at the first day that has any; all keys of that age or older go. If no
+    day has any, nothing goes, and the day is null.
+    """
+    age = F.floor((F.unix_seconds(now) - F.unix_seconds("first_seen")) / DAY)
+    hit = seen.where(age.between(ttl_days, most)).agg(F.min(age).alias("day"))
+    marked = seen.withColumn("_age", age).join(F.broadcast(hit), how="left").withColumn("_gone", F.coalesce(F.col("_age") >= F.col("day"), F.lit(False)))
+    return marked.where("not _gone").select(seen.columns), marked.agg(F.first("day").alias("day"), F.count_if("_gone").alias("purged"))

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from presswork.functions import dates, text, urls
 from presswork.operators import crawl, dedup, quality
 from presswork.plans import crawl as plan
 from presswork.plans.builder import Query
@@ -210,3 +211,78 @@ def test_stream_ttl(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
     assert sorted((r.dedup_key, r.ts) for r in out) == [("j", day(1)), ("k", day(0)), ("k", day(3))]
+
+
+def test_joined_addresses(spark):
+    from urllib.parse import urljoin
+
+    bases = ["http://a.com/x/y.html?q=1#f", "https://a.com", "http://a.com/", "http://a.com/d/"]
+    hrefs = ["b.html", "/r", "//h.com/z", "?p=2", "#top", "", "../up", "./here?x=1", "../../../far#f", "http://o.com/q", "d/../e/", "..", "mailto:x@y", "a/b/c"]
+    df = spark.createDataFrame([(b, h) for b in bases for h in hrefs], "b string, h string")
+    for b, h, got in df.select("b", "h", urls.joined(F.col("b"), F.col("h"))).collect():
+        assert got == urljoin(b, h), (b, h)
+
+
+def test_link_patterns_bases_and_domains(spark):
+    html = '<base href="/deep/"><a href="go?to=http://x.com/1&n">1</a><a href="http://x.com/2">2</a><a href="http://y.com/3">3</a><iframe src="frame.html"></iframe><a href="?p=2">n</a>'
+    p = spark.createDataFrame([(1, "http://a.com/x/", html)], "page_id long, url string, html string")
+    found = lambda **k: sorted(r.detail_url for r in plan.links(p, **k).collect())
+    assert found() == ["http://a.com/deep/?p=2", "http://a.com/deep/frame.html", "http://a.com/deep/go?to=http://x.com/1&n", "http://x.com/2", "http://y.com/3"]
+    assert found(pattern=r"http://[^&]*")[2] == "http://x.com/1" and found(pattern=r"to=(http://[^&]*)")[2] == "http://x.com/1"
+    assert found(domains=["x.com"]) == ["http://a.com/deep/?p=2", "http://a.com/deep/frame.html", "http://a.com/deep/go?to=http://x.com/1&n", "http://x.com/2"]
+
+
+def test_page_ctime_chain(spark):
+    g = dt.datetime(2024, 3, 1, 10)
+    cases = [
+        (dt.datetime(2024, 1, 2, 12), "<body>2015-02-11 18:07</body>", dt.datetime(2024, 1, 2, 4)),
+        (None, "<head>2011-01-01 01:01</head><body>on 2015-02-11 18:07:00</body>", dt.datetime(2015, 2, 11, 10, 7)),
+        (None, "<body>2015年02月12日 06:48</body>", dt.datetime(2015, 2, 11, 22, 48)),
+        (None, "<body>2015年2月12</body>", dt.datetime(2015, 2, 11, 16)),
+        (None, "<body>2015年13月12</body>", g),
+        (None, "<body>nothing</body>", g),
+        (None, None, g),
+    ]
+    df = spark.createDataFrame([(i, p, h) for i, (p, h, _) in enumerate(cases)], "i int, p timestamp, h string")
+    got = dict(df.select("i", dates.page_ctime(F.col("p"), F.col("h"), F.lit(g).cast("timestamp"))).collect())
+    assert [got[i] for i in range(len(cases))] == [w for _, _, w in cases]
+
+
+def test_sites_and_stages(spark):
+    """List to detail to data by a site's callbacks, next pages included."""
+    web = {f"http://s/{i}": f"<b>t{i}</b>" + (f"<i>http://s/{i}b</i>" if i == 1 else "") for i in range(3)} | {"http://s/1b": "<b>t1b</b>", "http://s/9": None, "http://s/8": "no record"}
+    table = spark.createDataFrame(list(web.items()), "url string, html string")
+
+    def records():
+        t = F.regexp_extract("html", "<b>(.*?)</b>", 1)
+        more = F.filter(F.array(F.regexp_extract("html", "<i>(.*?)</i>", 1)), lambda u: u != "")
+        return F.when(t != "", F.array(F.struct(t.alias("title"), more.alias("next_urls"))))
+
+    plan.SITES["s"] = plan.Site(lambda p: plan.links(p, domains=["s"]), records)
+    try:
+        lists = spark.createDataFrame([(1, "http://s/", "".join(f'<a href="http://s/{i}">x</a>' for i in (0, 1, 2, 8, 9)) + '<a href="http://other/1">y</a>')], "page_id long, url string, html string")
+        keep = lambda df: spark.createDataFrame(df.collect(), df.schema)
+        run = plan.crawled(lists, lambda u: u.join(table, "url", "left"), keep, "s", seen=spark.createDataFrame([("http://s/2",)], "key string"))
+        assert {r.url[9:]: r.status for r in run.details.collect()} == {"0": "ok", "1": "ok", "8": plan.PARSE_FAILED, "9": plan.DOWNLOAD_FAILED, "1b": "ok"}
+        assert sorted((r.url[9:], r.title) for r in run.data.collect()) == [("0", "t0"), ("1", "t1"), ("1b", "t1b")]
+        assert run.new_total == 5 and "next_urls" not in run.data.columns
+    finally:
+        del plan.SITES["s"]
+    page = "<title>A title</title><body><p>" + "Some words, many of them. " * 9 + "</p></body>"
+    got = plan.detailed(spark.createDataFrame([("u1", page), ("u2", None), ("u3", "")], "url string, html string")).collect()
+    assert {r.url: r.status for r in got} == {"u1": plan.PARSED, "u2": plan.DOWNLOAD_FAILED, "u3": plan.PARSE_FAILED}
+
+
+def test_first_seen_of_posts_with_maps(spark):
+    df = spark.createDataFrame([("k", None, {"a": "1"}), ("k", day(2), {"b": "2"}), ("k", day(1), {"c": "3"}), ("n", None, None)], "key string, t timestamp, m map<string,string>")
+    assert sorted((r.key, r.t, r.m) for r in dedup.first_seen(df, "key", "t").collect() if r.key == "k") == [("k", day(1), {"c": "3"})]
+    assert dedup.first_seen(df, "key", "t").where("key = 'n'").count() == 1
+
+
+def test_backward_purge(spark):
+    now = F.lit(day(30)).cast("timestamp")
+    seen = spark.createDataFrame([(f"k{n}", day(n)) for n in (5, 11, 12, 29)], "key string, first_seen timestamp")
+    stay, gone = dedup.purge_backward(seen, now, 10, 60)
+    assert sorted(r.key for r in stay.collect()) == ["k29"] and gone.first().asDict() == {"day": 18, "purged": 3}
+    stay, gone = dedup.purge_backward(seen, now, 26, 60)
+    assert stay.count() == 4 and gone.first().asDict() == {"day": None, "purged": 0}
