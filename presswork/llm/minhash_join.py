@@ -40,7 +40,7 @@ ADD = _RNG.integers(0, 1 << 32, COORDINATES, dtype=np.uint64).astype(np.uint32)
 #: Bytes of a shingle in a full set: two independent hashes of 64 bits, which stand for its words.
 ITEM = 16
 #: Links of one document that a task confirms at most; a document with more has several tasks.
-LINKS = 4096
+LINKS = 256
 
 
 def shingles(data: np.ndarray, offs: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
