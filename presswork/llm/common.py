@@ -3,6 +3,7 @@ vectorised work on UTF-8 bytes."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -44,6 +45,27 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def release() -> None:
+    """Gives freed memory back to the system; a Python worker lives on for tasks of other operators."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not the GNU library
+        pass
+
+
+def tidy(run):
+    """run for mapInArrow, that leaves its worker without unused memory."""
+
+    def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return through
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of so many rows, for functions that hold Python objects of a whole batch."""
     for batch in batches:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from presswork.llm.common import LOWER, MORE_POWERS, POWERS, Scratch, mix64, per_row, text_blocks, word_hashes, word_spans
+from presswork.llm.common import LOWER, MORE_POWERS, POWERS, Scratch, mix64, per_row, text_blocks, tidy, word_hashes, word_spans
 from presswork.llm.graph import components
 
 COORDINATES, MATCHES = 48, 22
@@ -196,12 +196,12 @@ class InvertedJoin:
         self.scratch = Scratch(spark, "minhash")
 
     def signed(self, docs: DataFrame) -> DataFrame:
-        return self.scratch.cut(docs.select("doc_id", "text").mapInArrow(_sign(self.width), "doc_id long, n_shingles long, k1 long, k2 long, sig array<int>"), "signed")
+        return self.scratch.cut(docs.select("doc_id", "text").mapInArrow(tidy(_sign(self.width)), "doc_id long, n_shingles long, k1 long, k2 long, sig array<int>"), "signed")
 
     def sets_of(self, ids: DataFrame, docs: DataFrame) -> DataFrame:
         """Full sets (id, items) of the documents with these ids."""
         texts = docs.select("doc_id", "text").where("text is not null").join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-        return self.scratch.cut(texts.mapInArrow(_sets(self.width), "doc_id long, items binary").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"), "sets", "none")
+        return self.scratch.cut(texts.mapInArrow(tidy(_sets(self.width)), "doc_id long, items binary").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"), "sets", "none")
 
     def confirmed(self, pairs: DataFrame, sigs: DataFrame, docs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
         """Of pairs (a, b, met) of ids, those with enough equal coordinates whose full sets are similar enough.
@@ -299,3 +299,24 @@ def one_of_each(spark: SparkSession, docs: DataFrame, width: int = 5, percent: i
     gone = found.where("not kept").select("doc_id").distinct()
     named = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(docs.columns)
     return named.unionByName(docs.where("doc_id is null"))
+
+
+#: The same components from all pairs that share a shingle, and what can be reached over links.
+ORACLE_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w
+), g AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s
+), link AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT a AS x, b AS y FROM link UNION SELECT b, a FROM link
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN (SELECT a AS x, b AS y FROM link UNION ALL SELECT b, a FROM link) l ON r.y = l.x
+), least AS (
+  SELECT x, min(least(x, y)) AS c FROM reach GROUP BY x
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(c, doc_id) AS component_id, coalesce(c, doc_id) = doc_id AS kept FROM s LEFT JOIN least ON doc_id = x
+"""

@@ -21,11 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from presswork.llm.common import Scratch
+from presswork.llm.common import Scratch, tidy
 
 CAPACITY, END_ID, TOKENIZER = 4096, 1, "word_bpe_49k.json"
-#: A worker's caches of words and parts are emptied beyond this many, and when long words fill them.
-CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 800_000, 500_000, 40
+#: A task's caches of words and parts are emptied beyond this many, and when long words fill them.
+CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 600_000, 400_000, 40
 
 
 class _Numbered(dict):
@@ -132,12 +132,9 @@ class WordTokenizer:
         return out
 
 
-_TOKENIZERS: dict[str, WordTokenizer] = {}
-
-
 def _pieces(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _TOKENIZERS.get(path) or _TOKENIZERS.setdefault(path, WordTokenizer(path))
+        tok = WordTokenizer(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 ids, texts = batch.column(0).slice(at, 500), batch.column(1).slice(at, 500).fill_null("").to_pylist()
@@ -237,7 +234,7 @@ def pack(spark: SparkSession, documents: DataFrame, path: str | None = None, cap
 
         path = public_tokenizers.path(TOKENIZER)
     scratch = Scratch(spark, "packing")
-    made = documents.select("doc_id", "text").mapInArrow(_pieces(path, capacity, end_id), PIECES)
+    made = documents.select("doc_id", "text").mapInArrow(tidy(_pieces(path, capacity, end_id)), PIECES)
     pieces = scratch.cut(made.withColumn("row", F.xxhash64(F.monotonically_increasing_id())), "pieces")
     histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most capacity rows
     slots = scratch.cut(spark.createDataFrame(plan(histogram, capacity), "length long, lo long, hi long, first long, per long, at long"), "plan")

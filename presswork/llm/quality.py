@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm.common import POWERS, mix64, prefix_hash, text_blocks, word_hashes, word_spans
+from presswork.llm.common import POWERS, mix64, prefix_hash, sliced, text_blocks, tidy, word_hashes, word_spans
 
 #: Features are hashed into 2 ** BITS rows of DIM numbers: words, n-grams of so many words, and n-grams of so many characters of a word.
 BITS, DIM, WORDS, CHARACTERS = 18, 12, (2, 3), (2, 3, 4)
@@ -172,7 +172,7 @@ def learn(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, where
 
 def scored(documents: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) for every row; a null text is an empty one, which gets the model's prior."""
-    return documents.select("doc_id", "text").mapInArrow(_score(model.weights, model.offset), "doc_id long, score double")
+    return documents.select("doc_id", "text").mapInArrow(tidy(_score(model.weights, model.offset)), "doc_id long, score double")
 
 
 def classify(spark: SparkSession, documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
@@ -193,7 +193,7 @@ def classify(spark: SparkSession, documents: DataFrame, labels: DataFrame, rows:
 
 def _accept(weights: np.ndarray, offset: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             text = batch.schema.get_field_index("text")
             keep = [np.zeros(0, bool)]
             for at, end, data, offs in text_blocks(batch.column(text)):
@@ -211,4 +211,4 @@ def accepted(spark: SparkSession, documents: DataFrame, model: Model) -> DataFra
     A null or empty text has the model's prior; a text of any length is scored
     whole; rows that repeat stay or go together; an empty table gives no row.
     """
-    return documents.mapInArrow(_accept(model.weights, model.offset), documents.schema)
+    return documents.mapInArrow(tidy(_accept(model.weights, model.offset)), documents.schema)

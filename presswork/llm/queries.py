@@ -67,4 +67,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_topk": topk.ORACLE_SQL, "op9_source_mixing": mixing.ORACLE_SQL}
+    return {
+        "op1_minhash_dedup": minhash_join.ORACLE_SQL,
+        "op3_warc_salvage": warc.ORACLE_SQL,
+        "op4_exact_topk": topk.ORACLE_SQL,
+        "op7_suffix_dedup": suffix_dedup.ORACLE_SQL,
+        "op9_source_mixing": mixing.ORACLE_SQL,
+    }

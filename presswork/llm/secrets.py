@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from presswork.llm.common import sliced
+from presswork.llm.common import sliced, tidy
 
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -275,5 +275,10 @@ def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def without_secrets(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    """All documents, with their secrets replaced and n_chars counted anew."""
-    return documents.mapInArrow(_redacted, documents.schema)
+    """All documents with all their columns, their secrets replaced by a mark and n_chars, if there is one, counted anew.
+
+    A null text stays null and keeps its n_chars; an empty one stays empty. Texts
+    of any length are scanned whole; rows that repeat give equal rows; an empty
+    table gives no row.
+    """
+    return documents.mapInArrow(tidy(_redacted), documents.schema)

@@ -426,3 +426,32 @@ def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
         F.when(F.col("copied"), F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(F.col("copied"), F.lit(hashlib.sha256().hexdigest())).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
     )
+
+
+#: The same rows by counting all windows, two hexadecimal digits a byte; windows that touch are one run.
+ORACLE_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents
+), p AS (
+  SELECT doc_id, unnest(range(0, n - 199)) AS s, h FROM d WHERE n >= 200
+), w AS (
+  SELECT doc_id, s, md5(substr(h, 2 * s + 1, 400)) AS m FROM p
+), r AS (
+  SELECT doc_id, s FROM w WHERE m IN (SELECT m FROM w GROUP BY m HAVING count(*) > 1)
+), f AS (
+  SELECT doc_id, s, coalesce(s > lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 200, TRUE) AS new FROM r
+), i AS (
+  SELECT doc_id, s, sum(CAST(new AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY s ROWS UNBOUNDED PRECEDING) AS k FROM f
+), run AS (
+  SELECT doc_id, k, min(s) AS a, max(s) + 200 AS b FROM i GROUP BY doc_id, k
+), gap AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM run
+  UNION ALL SELECT doc_id, max(b), NULL FROM run GROUP BY doc_id
+), kept AS (
+  SELECT gap.doc_id, string_agg(substr(h, CAST(2 * a + 1 AS BIGINT), CAST(2 * (coalesce(b, n) - a) AS BIGINT)), '' ORDER BY a) AS h FROM gap JOIN d USING (doc_id) GROUP BY gap.doc_id
+), t AS (
+  SELECT doc_id, sum(b - a) AS n, count(*) AS k FROM run GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(coalesce(t.n, 0) AS BIGINT) AS n_removed, CAST(coalesce(t.k, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

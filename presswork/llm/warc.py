@@ -359,3 +359,14 @@ def verified(scratch: Scratch, archives: DataFrame) -> DataFrame:
         log = [f"{r.archive} {r.offset}+{r.length}: {r.reason}" for r in quarantine(back).limit(5).collect()]
         raise Incomplete(f"{written} records written, {got.read} read, {got.gaps} gaps: {log}")
     return back
+
+
+#: The same rows from the pages themselves; a digest is 32 groups of five bits of the SHA-1.
+ORACLE_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages), s AS (SELECT page_id, html, sha1(html) AS h, min(page_id) OVER (PARTITION BY html) AS first_id FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(h, CAST(5 * (i // 4) + 1 AS INTEGER), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31), 1)), '') AS payload_digest,
+  CASE WHEN first_id IS NULL OR page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM s
+"""
