@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 OK, PARSE_FAILED, DOWNLOAD_FAILED = "ok", "parse_failed", "download_failed"
 CAP = 100
@@ -122,3 +123,11 @@ def failures_by_field(log: DataFrame, cap: int = CAP) -> DataFrame:
     long = log.select("url", "seq", F.explode("empty_fields").alias("field"))
     ranked = long.withColumn("_r", F.row_number().over(W.partitionBy("field").orderBy("seq"))).where(F.col("_r") <= cap)
     return ranked.groupBy("field").agg(F.transform(F.array_sort(F.collect_list(F.struct("_r", "url"))), lambda x: x["url"]).alias("urls"))
+
+
+def capped_samples(df: DataFrame, kind: str, value: str, order: str, cap: int = 100) -> DataFrame:
+    """(kind, n, samples): of each kind how many there are and its first `cap` values in this order, cut before and after the exchange."""
+    w = W.partitionBy(kind).orderBy(order)
+    first = df.where(F.col(value).isNotNull()).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= cap)
+    listed = first.groupBy(kind).agg(F.transform(F.array_sort(F.collect_list(F.struct("_r", value))), lambda x: x[value]).alias("samples"))
+    return df.where(F.col(value).isNotNull()).groupBy(kind).agg(F.count("*").alias("n")).join(listed, kind)

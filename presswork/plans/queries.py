@@ -120,6 +120,14 @@ def http_links(spark, d):
     return plan.links(table(spark, d, "pages")).where(F.contains("detail_url", F.lit("http"))).select("detail_url").distinct()
 
 
+@query("""WITH l AS (SELECT page_id, url AS channel_url, unnest(list_distinct(regexp_extract_all(html, '(?i)<a\\s[^>]*?href=["'']?([^"''\\s>]+)', 1))) AS href FROM pages),
+  m AS (SELECT page_id, channel_url, CASE WHEN regexp_matches(href, '/[a-z]{2,}') THEN regexp_extract(href, '/[a-z]{2,}') ELSE href END AS href FROM l)
+  SELECT DISTINCT page_id, channel_url, regexp_extract(channel_url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || href AS detail_url FROM m""")
+def link_pattern(spark, d):
+    """The first match of a site's pattern replaces an address."""
+    return plan.links(table(spark, d, "pages"), pattern="/[a-z]{2,}")
+
+
 HOST = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1))"
 
 
@@ -220,6 +228,59 @@ def page_posts(spark, d):
     return plan.posts(table(spark, d, "pages"), gtime, {"site": "demo"}, config_id="c1", info_flag="01").drop("html", "breadcrumb", "config_info")
 
 
+#: Orders as pages that name their time in the ways that pages do.
+DATED = """(SELECT o_orderkey, t, CASE o_orderkey % 4 WHEN 0 THEN '<body>at ' || strftime(t, '%Y-%m-%d %H:%M:%S') WHEN 1 THEN '<body>' || strftime(t, '%Y年%m月%d日 %H:%M') WHEN 2 THEN '<body>' || strftime(t, '%Y年%m月%d') ELSE '<body>' END AS html
+  FROM (SELECT o_orderkey, o_orderdate + to_seconds(o_orderkey % 80000) AS t FROM orders))"""
+
+
+@query(f"""SELECT o_orderkey, strftime(CASE o_orderkey % 4 WHEN 3 THEN TIMESTAMP '2024-03-01 10:00:00' WHEN 2 THEN date_trunc('day', t) - INTERVAL 8 HOUR ELSE date_trunc('minute', t) - INTERVAL 8 HOUR END, '%Y-%m-%d %H:%M:%S') AS ctime FROM {DATED}""")
+def page_ctime(spark, d):
+    """The time of publication of pages without a dated text that weighs enough."""
+    t = F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("o_orderkey") % 80000).cast("decimal(18,6)"))
+    kind = F.col("o_orderkey") % 4
+    html = F.when(kind == 0, F.concat(F.lit("<body>at "), F.date_format("t", "yyyy-MM-dd HH:mm:ss"))).when(kind == 1, F.concat(F.lit("<body>"), F.date_format("t", "yyyy年MM月dd日 HH:mm")))
+    html = html.when(kind == 2, F.concat(F.lit("<body>"), F.date_format("t", "yyyy年MM月dd"))).otherwise(F.lit("<body>"))
+    o = table(spark, d, "orders").select("o_orderkey", t.alias("t")).withColumn("html", html)
+    ctime = dates.page_ctime(F.lit(None).cast("timestamp"), F.col("html"), F.lit("2024-03-01 10:00:00").cast("timestamp"))
+    return o.select("o_orderkey", F.date_format(ctime, "yyyy-MM-dd HH:mm:ss").alias("ctime"))
+
+
+def _headline() -> F.Column:
+    """A site's record: its heading, and for short ones a further page of the thread."""
+    h = text.tag_text(F.col("html"), "h1")
+    more = F.when((F.length(h) % 3 == 0) & ~F.col("url").endswith("~"), F.array(F.concat(F.col("url"), F.lit("~")))).otherwise(F.array().cast("array<string>"))
+    return F.when(h != "", F.array(F.struct(h.alias("title"), more.alias("next_urls"))))
+
+
+plan.SITES["headlines"] = plan.Site(plan.links, _headline)
+ASKED = "(SELECT page_id, url, CASE page_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '<p>' ELSE html END AS html FROM pages)"
+
+
+@query(f"SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'download_failed' WHEN 1 THEN 'parse_failed' ELSE 'ok' END AS status, CASE WHEN page_id % 5 > 1 THEN {H} END AS title FROM {ASKED}")
+def site_records(spark, d):
+    """A site's callback, and what each page came to."""
+    html = F.when(F.col("page_id") % 5 == 1, "<p>").when(F.col("page_id") % 5 > 1, F.col("html"))
+    got = plan.detailed(table(spark, d, "pages").select("page_id", "url", html.alias("html")), "headlines")
+    return got.select("page_id", "status", F.get(F.col("records.title"), F.lit(0)).alias("title"))
+
+
+@query(f"""WITH {LINKS}, a AS (SELECT DISTINCT detail_url AS url FROM links), b AS (SELECT url FROM a UNION SELECT url || '~' FROM a WHERE length(url) % 3 = 0 AND NOT ends_with(url, '~')) SELECT url, url AS title, (SELECT count(*) FROM b) AS new_total FROM b""")
+def staged_crawl(spark, d):
+    """List pages to detail pages to data, with the further pages that records name counted in."""
+    base = f"{shared_folder(spark)}/presswork/stages-{uuid.uuid4().hex}"
+    made: list[str] = []
+
+    def cut(df: DataFrame) -> DataFrame:
+        made.append(f"{base}/{len(made)}")
+        df.write.parquet(made[-1])
+        return spark.read.parquet(made[-1])
+
+    fetch = lambda u: u.select("url", F.concat(F.lit("<h1>"), "url", F.lit("</h1>")).alias("html"))
+    run = plan.crawled(table(spark, d, "pages"), fetch, cut, "headlines")
+    dropped_at_exit(spark, base)
+    return run.data.select("url", "title", F.lit(run.new_total).cast("long").alias("new_total"))
+
+
 # First seen, lookups, ids
 
 
@@ -265,6 +326,13 @@ def purge_days(spark, d):
     return dedup.days_to_purge(seen, F.lit(NOW).cast("timestamp"), 20).withColumn("age_days", F.col("age_days").cast("long"))
 
 
+@query(f"WITH a AS (SELECT (epoch(TIMESTAMP '{NOW}')::BIGINT - floor(epoch(ts))::BIGINT) // 86400 AS age FROM events), h AS (SELECT min(age) AS day FROM a WHERE age BETWEEN 10 AND 60) SELECT day, (SELECT count(*) FROM a WHERE age >= day) AS purged FROM h")
+def purge_back(spark, d):
+    """A purge that looks back day by day and ends at the first day that has any."""
+    seen = table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("first_seen"))
+    return dedup.purge_backward(seen, F.lit(NOW).cast("timestamp"), 10, 60)[1]
+
+
 @query("SELECT c_custkey, coalesce(v, ' ') AS channel FROM customer LEFT JOIN (SELECT user_id, arg_max(event_type, event_id) AS v FROM events GROUP BY user_id) ON c_custkey = user_id")
 def channel_lookup(spark, d):
     pairs = table(spark, d, "events").select(F.col("user_id").alias("c_custkey"), F.col("event_type").alias("channel"), F.col("event_id").alias("seq"))
