@@ -17,6 +17,8 @@ from presswork.storage import dropped_at_exit, shared_folder
 
 #: Text bytes handled at once by the numpy kernels; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 18
+#: Rows that are worth a file and a task of their own, in tables of a few numbers a row.
+FILE_ROWS = 20_000
 #: Rows handled at once; 12 bits number the rows of a block.
 BLOCK_ROWS = 1 << 12
 
@@ -94,6 +96,10 @@ class Scratch:
             dropped_at_exit(self.spark, self.root)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def small(self, df: DataFrame, rows: int, name: str = "t") -> DataFrame:
+        """cut() of a table of about so many rows, in files of FILE_ROWS or more: many tiny files cost more than what is in them."""
+        return self.cut(df.coalesce(max(1, -(-rows // FILE_ROWS))), name)
+
     def drop(self, *frames: DataFrame) -> None:
         """Deletes cut tables that no later step reads."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()

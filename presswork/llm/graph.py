@@ -20,17 +20,19 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     are ignored; without edges the result is empty.
     """
     pairs = scratch.cut(edges.select("a", "b").where("a <> b"), "edges")
-    labels = scratch.cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", F.col("id").alias("root")), "labels")
-    while not pairs.isEmpty():
+    left = most = pairs.count()
+    labels = scratch.small(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", F.col("id").alias("root")), most, "labels")
+    while left:
         rank = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("v"))
         both = pairs.select("a", "b").union(pairs.select(F.col("b"), F.col("a")))
         hook = both.groupBy("a").agg(F.min(rank("b")).alias("low")).select(F.col("a").alias("v"), F.least("low", rank("a")).getField("v").alias("up"))
-        hook = scratch.cut(hook, "hook")
+        hook = scratch.small(hook, 2 * left, "hook")
         up2 = hook.select(F.col("v").alias("up"), F.col("up").alias("up2"))
-        hook = scratch.cut(hook.join(up2, "up", "left").select("v", F.coalesce("up2", "up").alias("up")), "jump")
+        hook = scratch.small(hook.join(up2, "up", "left").select("v", F.coalesce("up2", "up").alias("up")), 2 * left, "jump")
         of = lambda c: hook.select(F.col("v").alias(c), F.col("up").alias(f"{c}_up"))
         moved = pairs.join(of("a"), "a").join(of("b"), "b").where("a_up <> b_up")
-        pairs = scratch.cut(moved.select(F.least("a_up", "b_up").alias("a"), F.greatest("a_up", "b_up").alias("b")).distinct(), "edges")
-        labels = scratch.cut(labels.join(of("root"), "root", "left").select("id", F.coalesce("root_up", "root").alias("root")), "labels")
+        pairs = scratch.small(moved.select(F.least("a_up", "b_up").alias("a"), F.greatest("a_up", "b_up").alias("b")).distinct(), left, "edges")
+        left = pairs.count()
+        labels = scratch.small(labels.join(of("root"), "root", "left").select("id", F.coalesce("root_up", "root").alias("root")), most, "labels")
     least = labels.groupBy("root").agg(F.min("id").alias("component"))
-    return scratch.cut(labels.join(least, "root").select("id", "component"), "components")
+    return scratch.small(labels.join(least, "root").select("id", "component"), most, "components")

@@ -215,10 +215,11 @@ class InvertedJoin:
         probed = pairs.where(F.col("met") < self.matches).select("a", "b").join(side(sigs, "a", "sig"), "a").join(side(sigs, "b", "sig"), "b").select("a", "b", "sig_a", "sig_b")
         probed = probed.mapInArrow(_matching(self.matches), "a long, b long").unionByName(pairs.where(F.col("met") >= self.matches).select("a", "b"))
         probed = self.scratch.cut(probed, "probed")
+        n = probed.count()
         if sets is None:
             sets = self.sets_of(probed.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs)
         lots = probed.groupBy("a").agg(F.count("*").alias("n")).select("a", F.ceil(F.col("n") / LINKS).cast("int").alias("lots"))
-        lots = self.scratch.cut(lots, "lots")
+        lots = self.scratch.small(lots, n, "lots")
         dealt = probed.join(lots, "a").select("a", F.pmod(F.xxhash64("b"), F.col("lots")).cast("int").alias("lot"), "b")
         theirs = dealt.join(side(sets, "b", "items"), "b").select("a", "lot", "b", F.col("items_b").alias("items"))
         own = lots.join(side(sets, "a", "items"), "a").select("a", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), F.lit(None).cast("long").alias("b"), F.col("items_a").alias("items"))
