@@ -10,6 +10,8 @@ import datetime as dt
 import html
 import math
 import re
+from dataclasses import dataclass
+from itertools import islice
 from urllib.parse import urljoin, urlsplit
 
 import pandas as pd
@@ -33,15 +35,67 @@ HOLDS_BLOCK = frozenset("a blockquote dl div img ol p pre table ul".split())
 
 
 def squeeze(s: str) -> str:
-    return re.sub(r"\s+", " ", s).strip()
-
-
-def text_length(e: Element) -> int:
-    return len(squeeze(e.text()))
-
-
-def link_density(e: Element) -> float:
-    return sum(text_length(a) for a in e.find_all("a")) / max(text_length(e), 1)
+    return " ".join(s.split())
+
+
+@dataclass(slots=True)
+class Measure:
+    """What is in an element: characters of its text with white space squeezed and trimmed, whether white space
+    stands before and behind it, characters of its links' texts, commas of both kinds, and elements of some names."""
+
+    text: int = 0
+    before: bool = False
+    behind: bool = False
+    links: int = 0
+    commas: int = 0
+    wide: int = 0
+    p: int = 0
+    img: int = 0
+    li: int = 0
+    input: int = 0
+    hidden: int = 0
+    embed: int = 0
+
+    @property
+    def density(self) -> float:
+        return self.links / max(self.text, 1)
+
+    def append(self, text: int, before: bool, behind: bool) -> None:
+        if not text:
+            self.before, self.behind = self.before or (not self.text and before), self.behind or before
+        elif not self.text:
+            self.text, self.before, self.behind = text, self.before or before, behind
+        else:
+            self.text, self.behind = self.text + (self.behind or before) + text, behind
+
+
+class Measures:
+    """Measures of the elements of a tree that stays as it is: each is put together once, from those of its children."""
+
+    def __init__(self) -> None:
+        self.known: dict[Element, Measure] = {}
+
+    def __call__(self, e: Element) -> Measure:
+        if (m := self.known.get(e)) is None:
+            m = self.known[e] = Measure()
+            for c in e.children:
+                if isinstance(c, str):
+                    m.append(len(squeeze(c)), c[:1].isspace(), c[-1:].isspace())
+                    m.commas += c.count(",")
+                    m.wide += c.count("，")
+                else:
+                    x = self(c)
+                    m.append(x.text, x.before, x.behind)
+                    m.links += x.links + (x.text if c.tag == "a" else 0)
+                    m.commas += x.commas
+                    m.wide += x.wide
+                    m.p += x.p + (c.tag == "p")
+                    m.img += x.img + (c.tag == "img")
+                    m.li += x.li + (c.tag == "li")
+                    m.input += x.input + (c.tag == "input")
+                    m.hidden += x.hidden + (c.tag == "input" and c.get("type") == "hidden")
+                    m.embed += x.embed + (c.tag == "embed")
+        return m
 
 
 class Scorer:
@@ -58,23 +112,24 @@ class Scorer:
             w += 25 * bool(self.liked and self.liked.search(name)) - 25 * bool(self.disliked and self.disliked.search(name))
         return w
 
-    def scores(self, root: Element) -> dict[Element, float]:
+    def scores(self, root: Element, measures: Measures) -> dict[Element, float]:
         """Every paragraph's points go to its parent, and half of them to the
         grandparent; links take their share away."""
         out: dict[Element, float] = {}
         for e in root.find_all("p", "pre", "td"):
-            text = squeeze(e.text())
-            if len(text) < self.min_text or e.parent is None:
+            m = measures(e)
+            if m.text < self.min_text or e.parent is None:
                 continue
-            points = 1 + len(re.split("[,，]", text)) + len(text) // 25
+            points = 2 + m.commas + m.wide + m.text // 25
             for holder, share in ((e.parent, 1), (e.parent.parent, 2)):
                 if holder is not None:
                     out[holder] = out.get(holder, self.class_weight(holder) + PRIOR.get(holder.tag, 0)) + points / share
-        return {e: s * (1 - link_density(e)) for e, s in out.items()}
+        return {e: s * (1 - measures(e).density) for e, s in out.items()}
 
     def article(self, root: Element) -> tuple[list[Element], dict]:
         """The best element and its siblings that go with it."""
-        scores = self.scores(root)
+        measures = Measures()
+        scores = self.scores(root, measures)
         if not scores:
             return [], scores
         best = max(scores, key=scores.__getitem__)
@@ -84,30 +139,27 @@ class Scorer:
         out = []
         for x in best.parent.elements():
             own = next((c for c in x.children if isinstance(c, str)), "") if x.children and isinstance(x.children[0], str) else ""
-            density = link_density(x) if x.tag == "p" else 1.0
+            density = measures(x).density if x.tag == "p" else 1.0
             if x is best or scores.get(x, -math.inf) >= floor or (len(own) > 80 and density < 0.25) or (len(own) <= 80 and density == 0 and re.search(r"\.( |$)", own)):
                 out.append(x)
         return out, scores
 
-    def unwanted(self, e: Element, scores: dict) -> bool:
+    def unwanted(self, e: Element, scores: dict, m: Measure) -> bool:
         """Whether a table, list or division in the article isn't part of it."""
         weight = self.class_weight(e)
         if weight + scores.get(e, 0) < 0:
             return True
-        if e.text().count(",") >= 10:
+        if m.commas >= 10:
             return False
-        n = {t: len(e.find_all(t)) for t in ("p", "img", "li", "input", "embed")}
-        hidden = sum(x.get("type") == "hidden" for x in e.find_all("input"))
-        length, density = text_length(e), link_density(e)
         return bool(
-            (n["p"] and n["img"] > n["p"])
-            or (n["li"] - 100 > n["p"] and e.tag not in ("ul", "ol"))
-            or n["input"] - hidden > n["p"] // 3
-            or (length < self.min_text and (n["img"] == 0 or n["img"] > 2))
-            or (weight < 25 and density > 0.2)
-            or (weight >= 25 and density > 0.5)
-            or (n["embed"] == 1 and length < 75)
-            or n["embed"] > 1
+            (m.p and m.img > m.p)
+            or (m.li - 100 > m.p and e.tag not in ("ul", "ol"))
+            or m.input - m.hidden > m.p // 3
+            or (m.text < self.min_text and (m.img == 0 or m.img > 2))
+            or (weight < 25 and m.density > 0.2)
+            or (weight >= 25 and m.density > 0.5)
+            or (m.embed == 1 and m.text < 75)
+            or m.embed > 1
         )
 
 
@@ -139,14 +191,17 @@ def _sanitized(parts: list[Element], scores: dict, scorer: Scorer) -> str:
             p.parent.children.remove(p)
         p.parent = node
         node.children.append(p)
+    measures = Measures()
     for e in node.find_all("h1", "h2", "h3", "h4", "h5", "h6"):
-        if scorer.class_weight(e) <= 0 or link_density(e) > 0.33:
+        if scorer.class_weight(e) <= 0 or measures(e).density > 0.33:
             e.drop()
     for e in node.find_all("form", "iframe", "textarea"):
         e.drop()
     for tag in ("table", "ul", "div"):
+        # from the end on, so that all in an element is decided before it is measured
+        measures = Measures()
         for e in reversed(node.find_all(tag)):
-            if e.parent is not None and scorer.unwanted(e, scores):
+            if e.parent is not None and scorer.unwanted(e, scores, measures(e)):
                 e.drop()
     ended = False
     for e in node.find_all("p"):
@@ -180,12 +235,16 @@ def lines(node: Element) -> str:
     return "\n".join(s for s in (x.strip() for x in "".join(out).split("\n")) if s)
 
 
-def article_text(page: str | None, retry_length: int = RETRY, **options) -> str:
-    """The article as plain text; a text that is too short is looked for again with less thrown away."""
+def article_text(page: str | Element | None, retry_length: int = RETRY, **options) -> str:
+    """The article as plain text; a text that is too short is looked for again with less thrown away.
+
+    A page that was parsed, clean, stays as it is.
+    """
     scorer = Scorer(**options)
     text = ""
+    whole = page if isinstance(page, Element) else parse(page, clean=True)
     for ruthless in (True, False):
-        root = parse(page, clean=True)
+        root = whole.copy()
         _prepare(root, ruthless)
         parts, scores = scorer.article(root)
         if not parts:
@@ -248,8 +307,9 @@ _TIMES = (
     re.compile(r"\d{1,4}年\d{1,2}月\d{1,2}|\d{1,2}月\d{1,2}日?"),
     re.compile(r"\d{1,4}[-./]\d{1,2}[-./]\d{1,2}"),
 )
-#: Tokens that say nothing about source or author.
-NOISE = re.compile(r"\d+$|阅读$|分享|点击|发现$|扫一扫$|即可将网页分享至朋友圈|字号$|评论|·|摘要|正文$|关闭$|网友评论$|条$|[中小大次]$|收藏$|\|")
+#: How strings of a page begin, and then tokens around a headline, that say nothing about source or author.
+NOISE_STRINGS = re.compile(r"\d+$|阅读$|分享|点击|发现$|扫一扫$|即可将网页分享至朋友圈|字号$|评论|·|摘要|正文$|关闭$|网友评论$|^条$")
+NOISE_TOKENS = re.compile(r"^\d+$|阅读$|分享|点击|发现$|扫一扫$|即可将网页分享至朋友圈|字号$|评论|·|^中$|^小$|^大$|\||^次$|^收藏$")
 SOURCE, AUTHOR, EDITOR, ENDS = re.compile("来源|来自|发布者"), re.compile("作者"), re.compile("编辑"), re.compile("(?:报|网)$")
 
 
@@ -264,7 +324,7 @@ def credits(tokens: list[str]) -> tuple[str, str]:
     that weighs most is: neighbours of a date count five times, addresses ten,
     short names that end like a paper's or a site's twenty.
     """
-    tokens = [t for t in tokens if t and not NOISE.match(t)]
+    tokens = [t for t in tokens if t and not NOISE_TOKENS.match(t)]
     if not tokens:
         return "", ""
     kind = ["source" if SOURCE.search(t) and len(t) < 4 else "author" if AUTHOR.search(t) else "editor" if EDITOR.search(t) else "" for t in tokens]
@@ -297,7 +357,7 @@ def credits(tokens: list[str]) -> tuple[str, str]:
 def source_author(root: Element, title: str, body: str) -> tuple[str, str]:
     """Looks between headline and text, else near a source label and a date, else after the headline, else around the date."""
     page = root.first("body") or root
-    texts = [s for s in (squeeze(x) for x in page.strings()) if s and not NOISE.match(s)]
+    texts = [s for s in (squeeze(x) for x in page.strings()) if s and not NOISE_STRINGS.match(s)]
     at = lambda ok: next((i for i, t in enumerate(texts) if ok(t)), 0)
     head, label, date = at(lambda t: t == title), at(SOURCE.search), at(is_time)
     content = at(lambda t: len(t) > 5 and body.startswith(t) and t != title)
@@ -323,8 +383,9 @@ NOT_LEVEL = re.compile("正文|文章内容|位置|more", re.I)
 MOST_STRINGS, LONGEST = 8, 11
 
 
-def _strings(e: Element) -> list[str]:
-    return [s.strip() for s in e.strings() if s.strip()]
+def _strings(e: Element, most: int = 2 * MOST_STRINGS) -> list[str]:
+    """The first strings in an element that aren't blank."""
+    return list(islice((x for s in e.strings() if (x := s.strip())), most))
 
 
 def _trail(root: Element, url: str) -> Element | None:
@@ -405,7 +466,7 @@ def _extracted(page: pd.Series, url: pd.Series) -> pd.DataFrame:
             rows.append((None, None, None, None, None, None, None))
             continue
         root = parse(p, clean=True)
-        title, body = title_of(root), article_text(p)
+        title, body = title_of(root), article_text(root)
         source, author = source_author(root, title, body)
         trail = breadcrumb(root, u or "")
         rows.append((title, body, source, author, publish_time(p, u), trail[-1]["name"] if trail else "", trail))

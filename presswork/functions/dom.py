@@ -53,15 +53,26 @@ class Element:
         return next((e for e in self.walk() if e.tag == tag), None)
 
     def strings(self) -> Iterator[str]:
-        for c in self.children:
-            if isinstance(c, str):
-                yield c
+        todo = [iter(self.children)]
+        while todo:
+            for c in todo[-1]:
+                if isinstance(c, str):
+                    yield c
+                else:
+                    todo.append(iter(c.children))
+                    break
             else:
-                yield from c.strings()
+                todo.pop()
 
     def text(self) -> str:
         return "".join(self.strings())
 
+    def copy(self, parent: Element | None = None) -> Element:
+        """The element and all below it, apart from the tree it stands in."""
+        out = Element(self.tag, dict(self.attrs), parent)
+        out.children = [c if isinstance(c, str) else c.copy(out) for c in self.children]
+        return out
+
     def drop(self, with_tail: bool = False) -> None:
         """Takes the element out; the text behind it stays unless with_tail."""
         if self.parent is None:

@@ -1,6 +1,7 @@
 """Literal vectors for scalar functions and page extraction."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -184,6 +185,40 @@ def test_breadcrumb_by_words():
     assert article.breadcrumb(dom.parse("<body><p>no trail at all</p></body>"), "http://h/") == []
 
 
+def test_measures_are_those_of_the_text():
+    page = """<div> a, b <p>c，d <a href="x"> link <a>in</a></a> </p>\n<input type="hidden"><input><img> <ul><li>x<li> y </ul><embed></div><div>  </div>"""
+    root, measures = dom.parse(page), article.Measures()
+    for e in [*root.walk(), root]:
+        m, own = measures(e), e.text()
+        assert m.text == len(article.squeeze(own))
+        assert m.links == sum(len(article.squeeze(a.text())) for a in e.find_all("a"))
+        assert (m.commas, m.wide) == (own.count(","), own.count("，"))
+        assert [m.p, m.img, m.li, m.input, m.embed] == [len(e.find_all(t)) for t in ("p", "img", "li", "input", "embed")]
+        assert m.hidden == sum(x.get("type") == "hidden" for x in e.find_all("input"))
+
+
+def test_extraction_leaves_the_tree_as_it_is():
+    root = dom.parse("<title>t</title><body><div class='footer'>gone</div><div>loose text, that is long enough to be an article<p>more of it, and more</p></div>", clean=True)
+    before = root.html()
+    assert "loose text" in article.article_text(root) and root.html() == before
+
+
+def test_deep_and_wide_pages_are_walked_once():
+    page = "<div>" * 200 + "<p>some text here, that is long enough to count</p>" * 5000 + "</div>" * 200
+    began = time.process_time()
+    root = dom.parse(page, clean=True)
+    assert article.article_text(root).count("\n") == 4999
+    assert article.breadcrumb(root) == []
+    assert time.process_time() - began < 10
+
+
+def test_strings_and_tokens_that_say_nothing():
+    assert all(article.NOISE_STRINGS.match(x) for x in ("123", "阅读", "分享到", "摘要：", "正文", "条"))
+    assert not any(article.NOISE_STRINGS.match(x) for x in ("头条", "大", "|", "收藏"))
+    assert all(article.NOISE_TOKENS.match(x) for x in ("123", "中", "大", "|", "次", "收藏"))
+    assert not any(article.NOISE_TOKENS.match(x) for x in ("摘要", "正文", "条", "大象"))
+
+
 def test_credits():
     assert article.credits(["2024-01-10", "新华网", "x"])[0] == "新华网"
     assert article.credits([]) == ("", "")
