@@ -295,7 +295,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 4, percen
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents, one of each group of near-duplicates; rows that repeat a doc_id count once."""
+    """The documents, one of each group of near-duplicates: that with the smallest doc_id, unchanged, with all its columns.
+
+    A null or empty text is linked with nothing and stays. Of rows that repeat a
+    doc_id one, any, stays; rows without one all stay. Texts of any length are
+    compared whole; columns of any name come back; an empty table gives no row.
+    """
     found = near_duplicates(spark, docs, width, percent)
     gone = found.where("not kept").select("doc_id").distinct()
     named = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(docs.columns)

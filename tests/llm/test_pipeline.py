@@ -84,9 +84,35 @@ def test_run_gives_the_last_stage(spark, sf, stages):
 
 
 def test_empty_and_odd_tables(spark, sf):
-    empty = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
-    odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", None, 0), (1, "", "en", None, 0), (2, "a b c d e f " * 30, "en", "s", 360)], empty.schema)
-    for df in (empty, odd):
-        for _, stage in corpus_pipeline.STAGES:
-            out = stage(spark, df, sf)
-            assert out.count() >= 0
+    text = "one two three four five six seven eight nine ten " * 4
+    rows = [(None, None, None, None, None), (1, "", "en", None, 0), (1, "", "en", None, 0)]
+    rows += [(i, t, "en", s, len(t)) for i, t, s in ((2, text + "pwd: Xq7!vR2#kLp9zW", "s"), (3, text, "s"), (4, "zero " + text, "t"))]
+    clash = "key long, lot int, _n int, copies int, row string, bytes binary, a long, score double"
+    odd = spark.createDataFrame([(*r, 7, 7, 7, 7, "x", b"x", 7, 7.0) for r in rows], f"doc_id long, text string, lang string, source string, n_chars long, {clash}")
+    given = Counter(map(tuple, odd.collect()))
+    stage = dict(corpus_pipeline.STAGES)
+    for name in stage:
+        assert stage[name](spark, odd.limit(0), sf).count() == 0, name
+    out = {name: stage[name](spark, odd, sf) for name in stage}
+    got = {name: df.collect() for name, df in out.items()}
+    for name in list(stage)[:-1]:
+        assert out[name].columns == odd.columns, name
+
+    # a text without a word has the model's prior; rows that repeat stay or go together
+    model = quality.learn(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    kept = Counter(map(tuple, got["quality classifier"]))
+    assert all(given[r] == n for r, n in kept.items())
+    assert all((r in kept) == (model.offset >= 0) for r in given if not r[1])
+    # without words nothing is linked; a doc_id that repeats stands once; of near copies the smallest doc_id stays
+    assert sorted((r.doc_id or 0) for r in got["minhash near-dedup"]) == [0, 1, 2]
+    # what isn't a secret is unchanged, n_chars too
+    secret = Counter(map(tuple, got["secret scans"]))
+    changed = list((secret - given).elements())
+    assert sum(secret.values()) == len(rows) and len(changed) == 1
+    assert changed[0][:2] == (2, text + "pwd: [SECRET]") and changed[0][4] == len(changed[0][1])
+    # copies are whole rows, as often as the mix takes them
+    assert set(map(tuple, got["source mixing"])) <= set(given)
+    # each row is packed, null and empty texts as their end alone
+    pieces = got["best-fit packing"]
+    assert sorted((r.doc_id or 0) for r in pieces) == [0, 1, 1, 2, 3, 4]
+    assert all(r.length == 1 for r in pieces if r.doc_id in (None, 1))
