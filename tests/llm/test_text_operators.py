@@ -189,6 +189,54 @@ def test_guess_cost_is_the_least_at_every_length():
         assert abs(secrets.guess_cost(value) - least) < 1e-9 and abs(secrets.guess_cost(value, 100.0) - min(least, 100.0)) < 1e-9
 
 
+def cost_by_hand(value):
+    """The least cost over all splits, from every span that the rules allow, each found by itself."""
+    rank, low, n = secrets.ranks()[0], value.lower(), len(value)
+    plain = low.translate(secrets.LEET)
+    steps = [(i, i + 1, math.log10(secrets._classes(value)), 0) for i in range(n)]
+    for i in range(n):
+        for j in range(i + 2, n + 1):
+            part = value[i:j]
+            if r := rank.get(low[i:j]) or rank.get(plain[i:j]):
+                steps.append((i, j, math.log10(r * (1 + (part != low[i:j])) * (1 + (low[i:j] != plain[i:j])) + 1), 1))
+            if j - i >= 3 and all(low[k : k + 2] in secrets.NEXT for k in range(i, j - 1)):
+                steps.append((i, j, math.log10(len(secrets.NEXT) * (j - i)), 1))
+            if j - i >= 3 and {ord(y) - ord(x) for x, y in zip(part, part[1:])} in ({1}, {-1}) and part[1:].isalnum():
+                steps.append((i, j, math.log10(52 * (j - i)), 1))
+            for size in range(1, (j - i) // 2 + 1):
+                times = (j - i) // size
+                longest = value[j : j + size] != part[:size]
+                if j - i >= 3 and times * size == j - i and part == part[:size] * times and longest:
+                    steps.append((i, j, math.log10(secrets._classes(part[:size])) * size + math.log10(times), 1))
+        for rx, c in zip(secrets.DATES, secrets.DATE_COST):
+            if m := rx.match(value, i):
+                steps.append((i, m.end(), c, 1))
+    best = [{0: 0.0}] + [{} for _ in value]
+    for i, j, c, one in sorted(steps):
+        for k, x in best[i].items():
+            best[j][k + one] = min(best[j].get(k + one, math.inf), x + c)
+    return min(c + math.log10(math.factorial(min(k, 20))) for k, c in best[-1].items())
+
+
+def test_guess_spans_by_hand(documents):
+    rng = random.Random(3)
+    parts = ["love", "Dragon", "p4ssw0rd", "qwert", "abcd", "4321", "1999-12-31", "xyxy", "aaaa", "kX9", "#", "é", "/012"]
+    texts = [d.text or "" for d in documents]
+    texts += [f"my {head}{''.join(rng.choices(parts, k=rng.randrange(1, 6)))}{end} rest" for head in ("pwd: ", "token is ", "ftp://me:", "api_key='") for end in ("", "!", "'", "@h/") for _ in range(24)]
+    found = 0
+    for text in texts:
+        want = []
+        for m in secrets.CONTEXT.finditer(text):
+            value = (m[1] or m[2]).rstrip(".!?),;")
+            if len(value) >= 6 and (cost := cost_by_hand(value)) >= secrets.GUESSES:
+                want.append((m.start(m.lastindex), 3, m.start(m.lastindex) + len(value), round(min(cost, secrets.ENOUGH), 6)))
+        got = secrets.scan(text)
+        assert [(*x[:3], round(x[3], 6)) for x in got if x[1] == 3] == sorted(want), text
+        assert [x[:3] for x in got if x[1] < 3] == base_spans(text)
+        found += len(want)
+    assert found > 50
+
+
 def test_guess_cost_orders_values():
     cost = secrets.guess_cost
     assert cost("") == 0
