@@ -90,6 +90,8 @@ class _Spans:
 
     def __init__(self, value: str):
         self.value, self.low = value, value.lower()
+        if len(self.low) != len(value):  # a letter that becomes two in lower case stays, so that places agree
+            self.low = "".join(x if len(x := c.lower()) == 1 else c for c in value)
         self.plain = self.low.translate(LEET)
         self.ends: dict[str, int] = {}  # of the walk last read, by kind
         self.repeats: dict[int, tuple[int, float]] = {}  # end of the run last read and cost of its unit, by the unit's size

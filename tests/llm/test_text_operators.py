@@ -243,6 +243,8 @@ def test_guess_cost_orders_values():
     assert cost("password") < cost("password1987") < cost("kX9#mQ2!vB7z")
     assert cost("qwertyuiop") < 5 and cost("aaaaaaaaaaaa") < 5 and cost("abcabcabcabc") < 6 and cost("2021-03-04") < 7
     assert cost("p4ssw0rd") < 4
+    letter = math.log10(secrets._classes("İpassword"))
+    assert abs(cost("İpassword") - (letter + cost("password"))) < 1e-9  # İ is two characters in lower case
 
     def brute(value):
         spans = defaultdict(list)
