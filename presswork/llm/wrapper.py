@@ -8,8 +8,12 @@ belongs to the template; text that varies fills a slot. A host's template is
 folded page by page: each task folds the pages it reads, the partial templates
 of a host are folded again, first in salted groups and then in one, so that a
 host with a third of all pages needs no more than its share. All pages and all
-their nodes count; texts of a node and children that few pages have are kept in
-sketches with a bounded error.
+their nodes count, and nothing that decides is left out: a node's texts are
+counted in a sketch that knows how far it may be short, and children that few
+pages have stay, unless a template gets too large for them. Where either could
+change a decision, all pages of the host are aligned with its template once more
+and counted exactly, outside of it: by the template's node, or, for what has
+none there, by the labels that lead to it.
 
 A page's content is the smallest element that holds nearly all text of slots
 that isn't links, without what the template holds. Where a host has too few
@@ -76,10 +80,13 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?
 _ATTR = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([^\s=/>"']+)""")
 #: Elements that are nested deeper are laid flat.
 DEPTH = 300
-#: A template node keeps the counts of so many texts; a text's count is short by at most a part of TEXTS + 1 of the node's pages.
-TEXTS = 24
-#: Children that fewer than this share of a node's pages have are forgotten once it has LEAST_PAGES; counts are short by at most that share.
-RARE, LEAST_PAGES = 0.02, 100
+#: A template node that holds the counts of twice so many texts goes back to so many; a text's count is then short by at most
+#: what is counted as SHORT, a part of TEXTS + 1 of the node's pages or less.
+TEXTS, SHORT = 256, ""
+#: A template of more than twice so many nodes leaves children to a count of their own that fewer than this share of a node's pages have, of LEAST_PAGES or more.
+HOLD, RARE, LEAST_PAGES = 2048, 0.02, 100
+#: A task gives its partial templates away after so many nodes of pages, or so many hosts.
+LOAD, HOSTS = 300_000, 2000
 #: A text is template if it is the same in this share of at least LEAST aligned pages.
 CONSTANT, LEAST = 0.8, 4
 #: If what the template holds of a page's content is so many times what its slots hold, the host's pages are copies, and it is content.
@@ -221,15 +228,21 @@ def shape(node: Node) -> list:
 
 def common(x: list, y: list) -> list[tuple[int, int]]:
     """Places (i, j) of a longest common subsequence, by a programme over bits of a number; None equals nothing."""
+    both = set(x) & set(y) - {None}
+    if not both:
+        return []
+    if len(both) < len(x):  # what has no equal is left out
+        p, q = ([i for i, k in enumerate(z) if k in both] for z in (x, y))
+        if len(p) < len(x) or len(q) < len(y):
+            return [(p[i], q[j]) for i, j in common([x[i] for i in p], [y[j] for j in q])]
     n = len(x)
     at: dict = {}
     for i, k in enumerate(x):
-        if k is not None:
-            at[k] = at.get(k, 0) | 1 << i
+        at[k] = at.get(k, 0) | 1 << i
     full = (1 << n) - 1
     v, rows = full, []
     for k in y:
-        u = v & at.get(k, 0) if k is not None else 0
+        u = v & at.get(k, 0)
         v = ((v + u) | (v - u)) & full
         rows.append(v)
     i, j, out = n, len(y), []
@@ -245,10 +258,37 @@ def common(x: list, y: list) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+class Counts(dict):
+    """Counts of digests that only grow, and their largest, (count, digest), as `top`."""
+
+    __slots__ = ("top",)
+
+    def __init__(self, counts: dict):
+        super().__init__(counts)
+        self.top = max(((v, k) for k, v in counts.items() if k), default=None)
+
+    def add(self, counts: dict, texts: int = TEXTS) -> Counts:
+        """Beyond twice `texts` digests, all lose the largest count that is left out."""
+        for k, v in counts.items():
+            self[k] = v = self.get(k, 0) + v
+            if k and (self.top is None or (v, k) > self.top):
+                self.top = (v, k)
+        if len(self) > 2 * texts + 1:
+            short = self.pop(SHORT, 0)
+            floor = sorted(self.values(), reverse=True)[texts]
+            left = {k: v - floor for k, v in self.items() if v > floor} | {SHORT: short + floor}
+            self.clear()
+            self.update(left)
+            self.top = max(((v, k) for k, v in left.items() if k), default=None)
+        return self
+
+
 def _most(counts: dict, pages: int) -> str | None:
     """The digest that half of the pages have, if one has."""
-    top = max(counts.items(), key=lambda t: (t[1], t[0]), default=(None, 0))
-    return top[0] if 2 * top[1] >= pages else None
+    if pages == 1 or not counts:
+        return next(iter(counts), None)
+    top = counts.top if type(counts) is Counts else max(((v, k) for k, v in counts.items() if k), default=None)
+    return top[1] if top and 2 * top[0] >= pages else None
 
 
 def _whole(t: list):
@@ -257,7 +297,7 @@ def _whole(t: list):
 
 def _build(t: list) -> tuple:
     """The label, and those of the children that half of the pages have."""
-    return t[0], frozenset(k[0] for k in t[3] if 2 * k[1] >= t[1])
+    return t[0], frozenset([k[0] for k in t[3] if 2 * k[1] >= t[1]] if t[3] else ())
 
 
 def align(a: list, b: list) -> list[tuple[int, int]]:
@@ -289,32 +329,125 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
 
 
 def counted(x: dict, y: dict) -> dict:
-    """The sum of two counts; beyond TEXTS, all lose the largest count that is left out, so that none is short by more than a part of TEXTS + 1 of the whole."""
-    out = dict(x)
-    for k, v in y.items():
-        out[k] = out.get(k, 0) + v
-    if len(out) > TEXTS:
-        floor = sorted(out.values(), reverse=True)[TEXTS]
-        out = {k: v - floor for k, v in out.items() if v > floor}
-    return out
+    """The sum of two counts."""
+    return Counts(x).add(y)
+
+
+def merge(a: list, b: list, texts: int = TEXTS) -> list:
+    """fold() in place: a becomes the template, and parts of b are in it."""
+    a[1] += b[1]
+    for n in (2, 4):
+        if b[n]:
+            if type(a[n]) is not Counts:
+                a[n] = Counts(a[n])
+            a[n].add(b[n], texts)
+    x, y = a[3], b[3]
+    if not x or not y:
+        a[3] = x or y
+        return a
+    pairs = align(x, y)
+    for i, j in pairs:
+        merge(x[i], y[j], texts)
+    if len(pairs) < len(y):
+        kids, i2, j2 = [], 0, 0
+        for i, j in [*pairs, (len(x), len(y))]:
+            kids += x[i2:i]
+            kids += y[j2:j]
+            kids += x[i : i + 1]
+            i2, j2 = i + 1, j + 1
+        a[3] = kids
+    return a
 
 
 def fold(a: list, b: list) -> list:
     """The template of two templates with equal roots; counts add up, children of either alone stay."""
-    pages = a[1] + b[1]
-    pairs = dict(align(a[3], b[3]))
-    kids, at = [], 0
-    for i, c in enumerate(a[3]):
-        if i in pairs:
-            kids += b[3][at : pairs[i]]
-            kids.append(fold(c, b[3][pairs[i]]))
-            at = pairs[i] + 1
-        else:
-            kids.append(c)
-    kids += b[3][at:]
-    if pages >= LEAST_PAGES:
-        kids = [k for k in kids if k[1] >= RARE * pages]
-    return [a[0], pages, counted(a[2], b[2]), kids, counted(a[4], b[4])]
+
+    def copy(t: list) -> list:
+        return [t[0], t[1], dict(t[2]), [copy(k) for k in t[3]], dict(t[4])]
+
+    return merge(copy(a), copy(b))
+
+
+def _size(t: list) -> int:
+    return 1 + sum(map(_size, t[3]))
+
+
+def _path(path: str, kid: list) -> str:
+    """Names a child by the labels that lead to it."""
+    return _digest(f"{path}/{kid[0]}")
+
+
+def shed(t: list) -> bool:
+    """Takes out the children that a rare part of their node's pages have, and says whether there were such."""
+    kids = [k for k in t[3] if t[1] < LEAST_PAGES or k[1] >= RARE * t[1]]
+    some, t[3] = len(kids) < len(t[3]), kids
+    return any([some, *map(shed, kids)])
+
+
+def _varies(t: list) -> bool:
+    return bool(t[2]) and not any(k and v >= CONSTANT * t[1] for k, v in t[2].items())
+
+
+def settled(t: list, unsure: list | None = None, most: int = 0) -> list:
+    """The template with what decides alone: texts that are constant, for alignment the digest that half of the pages have,
+    children that LEAST pages have or half of them, and whether the text varies.
+
+    most is the largest count of pages of a sibling with the same label and a text that varies: these were told apart by their
+    texts, so that a paragraph which some articles share is no template for being the same where it is the same. unsure gets
+    the nodes of which the sketch can't say whether their text is constant.
+    """
+    least, short = max(LEAST, CONSTANT * max(t[1], most)), t[2].get(SHORT, 0)
+    if unsure is not None and short and any(k and v < least <= v + short for k, v in t[2].items()):
+        unsure.append(t)
+    digest, labels = _whole(t), {}
+    for k in t[3]:
+        if _varies(k):
+            labels[k[0]] = max(labels.get(k[0], 0), k[1])
+    kids = [settled(k, unsure, labels.get(k[0], 0)) for k in t[3] if k[1] >= LEAST or 2 * k[1] >= t[1]]
+    return [t[0], t[1], {k: v for k, v in t[2].items() if k and v >= least}, kids, {digest: t[1]} if digest else {SHORT: 0}, int(_varies(t))]
+
+
+def complete(tree: list, apart: dict[str, list]) -> list:
+    """A settled template with what is counted apart, by its path, as its last part; there, too, a text isn't constant for
+    being told apart from such as vary."""
+    pages: dict[str, int] = {}
+
+    def walk(t: list, path: str) -> None:
+        if t[5]:
+            pages[path] = max(pages.get(path, 0), t[1])
+        for k in t[3]:
+            walk(k, _path(path, k))
+
+    if apart:
+        walk(tree, "")
+    for path, t in apart.items():
+        t[2] = {k: v for k, v in t[2].items() if v >= CONSTANT * pages.get(path, 0)}
+    return [*tree, {path: t for path, t in apart.items() if t[2]}]
+
+
+def numbered(t: list) -> list:
+    """The nodes of a settled template, each with its place among them as its last part."""
+    nodes = [t]
+    for n, x in enumerate(nodes):
+        x.append(n)
+        nodes += x[3]
+    return nodes
+
+
+def exact(tree: list, counts: dict[str, tuple[int, dict]]) -> list:
+    """A complete template of a settled one and exact counts: pages, and constant texts, of its nodes and of paths that have none there."""
+    nodes = numbered(tree)
+    for x in nodes:
+        n, texts = counts.pop(f"#{x.pop()}", (0, {}))
+        x[1], x[2], x[5] = n or x[1], texts, int(n > 0 and not texts)
+    for x in nodes:
+        most: dict = {}
+        for k in x[3]:
+            if k[5]:
+                most[k[0]] = max(most.get(k[0], 0), k[1])
+        for k in x[3]:
+            k[2] = {d: v for d, v in k[2].items() if v >= CONSTANT * most.get(k[0], 0)}
+    return complete(tree, {path: ["", n, texts, [], {}, 0] for path, (n, texts) in counts.items()})
 
 
 def packed(template: list) -> bytes:
@@ -330,47 +463,139 @@ def _host(url: str | None) -> str:
     return m[1].rpartition("@")[2].lower() if m else ""
 
 
-def _rows(held: dict[str, list]) -> pa.RecordBatch:
+KIND = "host string, template binary, pages long, open boolean"
+
+
+def _rows(held: dict[str, list], open_: set | frozenset = frozenset()) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(list(held), pa.string()), pa.array([packed(t) for t in held.values()], pa.binary()), pa.array([t[1] for t in held.values()], pa.int64())],
-        ["host", "template", "pages"],
+        [pa.array(list(held), pa.string()), pa.array([packed(t) for t in held.values()], pa.binary()), pa.array([t[1] for t in held.values()], pa.int64()), pa.array([h in open_ for h in held], pa.bool_())],
+        ["host", "template", "pages", "open"],
     )
 
 
-def _induced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[str, list] = {}
-    for batch in batches:
-        for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            root = parse(page or "")
-            t, h = shape(root), _host(url)
-            held[h] = fold(held[h], t) if h in held else t
-        if len(held) > 2000:
-            yield _rows(held)
-            held = {}
-    if held:
-        yield _rows(held)
-
-
-def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial templates that arrive host by host become one a host."""
-    host, t = None, None
-    for batch in batches:
-        for h, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if h != host and t is not None:
-                yield _rows({host: t})
-            host, t = h, unpacked(raw) if h != host or t is None else fold(t, unpacked(raw))
-    if t is not None:
-        yield _rows({host: t})
-
-
-def templates(scratch: Scratch, pages: DataFrame) -> DataFrame:
-    """(host, template, pages) of all hosts of pages(url, html); no page is moved."""
-    kind = "host string, template binary, pages long"
-    part = scratch.cut(pages.select("url", "html").mapInArrow(_induced, kind), "partial")
-    salt = F.pmod(F.xxhash64("template"), F.lit(SALTS))
-    part = part.withColumn("salt", salt).repartition("host", "salt").sortWithinPartitions("host", "salt", "template").select("host", "template").mapInArrow(_folded, kind)
-    part = scratch.cut(part, "salted")
-    return scratch.cut(part.repartition("host").sortWithinPartitions("host", "template").select("host", "template").mapInArrow(_folded, kind), "templates")
+def _inducing(texts: int, hold: int):
+    """Partial templates of a task's pages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list] = {}
+        open_, load = set(), 0
+        for batch in batches:
+            for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                t, h = shape(parse(page or "")), _host(url)
+                load += _size(t)
+                held[h] = t = merge(held[h], t, texts) if h in held else t
+                if not t[1] % LEAST_PAGES and _size(t) > 2 * hold and shed(t):
+                    open_.add(h)
+                if load > LOAD or len(held) > HOSTS:
+                    yield _rows(held, open_)
+                    held, open_, load = {}, set(), 0
+        if held:
+            yield _rows(held, open_)
+
+    return run
+
+
+def _folding(texts: int, hold: int, last: bool):
+    """Partial templates that arrive host by host become one a host; the last fold keeps what decides."""
+
+    def row(host: str, t: list, open_: bool) -> pa.RecordBatch:
+        if last:
+            unsure: list = []
+            t = settled(t, unsure)
+            open_ = open_ or bool(unsure)
+            t = t if open_ else complete(t, {})
+        elif _size(t) > 2 * hold:
+            open_ = shed(t) or open_
+        return _rows({host: t}, {host} if open_ else set())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        host, t, open_ = None, None, False
+        for batch in batches:
+            for h, raw, o in zip(*(batch.column(n).to_pylist() for n in range(3))):
+                if t is not None and h == host:
+                    t, open_ = merge(t, unpacked(raw), texts), open_ or o
+                else:
+                    if t is not None:
+                        yield row(host, t, open_)
+                    host, t, open_ = h, unpacked(raw), o
+        if t is not None:
+            yield row(host, t, open_)
+
+    return run
+
+
+def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, node, digest, n): pages that have the text at a template's node, or at a path that has none; without a digest, that have the node."""
+    counts: dict[tuple, int] = {}
+    seen: dict[bytes, list] = {}
+
+    def rows() -> pa.RecordBatch:
+        columns = list(zip(*counts)) or [(), (), ()]
+        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in columns), pa.array(list(counts.values()), pa.int64())], ["host", "node", "digest", "n"])
+
+    for batch in sliced(batches, 100):
+        for url, page, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            if raw not in seen:
+                if len(seen) > 200:
+                    seen.clear()
+                seen[raw] = unpacked(raw)
+                numbered(seen[raw])
+            root, h = parse(page or ""), _host(url)
+            shape(root)
+            found: set[tuple[str, str]] = set()
+            mark(root, seen[raw], found=found)
+            for at, digest in found:
+                counts[h, at, digest] = counts.get((h, at, digest), 0) + 1
+        if len(counts) > LOAD:
+            yield rows()
+            counts.clear()
+    yield rows()
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in sliced(batches, 10):
+        for host, raw, pages, nodes in zip(*(batch.column(n).to_pylist() for n in range(4))):
+            t = unpacked(raw)
+            t = exact(t, {x["node"]: (x["pages"], {y["digest"]: y["n"] for y in x["texts"]}) for x in nodes or ()})
+            t[1] = pages
+            yield _rows({host: t})
+
+
+def templates(scratch: Scratch, pages: DataFrame, texts: int = TEXTS, hold: int = HOLD) -> DataFrame:
+    """(host, template, pages) of all hosts of pages(page_id, url, html). Pages are only moved where hosts are too small or
+    templates too large to go to all tasks, and counts are open."""
+
+    def folded(df: DataFrame, *by: str, last: bool) -> DataFrame:
+        return df.repartition(*by).sortWithinPartitions(*by, "template").select("host", "template", "open").mapInArrow(_folding(texts, hold, last), KIND)
+
+    part = scratch.cut(pages.select("url", "html").mapInArrow(_inducing(texts, hold), KIND), "partial")
+    part = part.withColumn("salt", F.pmod(F.xxhash64("template"), F.lit(SALTS)))
+    part = scratch.cut(folded(part, "host", "salt", last=False), "salted")
+    made = scratch.cut(folded(part, "host", last=True), "templates")
+    sure, open_ = made.where("not open"), made.where("open")
+    if open_.isEmpty():
+        return sure.drop("open")
+    counts = _with_templates(pages, open_, "inner").mapInArrow(_counting, "host string, node string, digest string, n long")
+    counts = scratch.cut(counts.groupBy("host", "node", "digest").agg(F.sum("n").alias("n")), "counts")
+    of = counts.where("digest = ''").select("host", "node", F.col("n").alias("pages"))
+    constant_ = F.when(F.col("n") >= F.greatest(F.lit(float(LEAST)), CONSTANT * F.col("pages")), F.struct("digest", "n"))
+    nodes = counts.where("digest <> ''").join(of, ["host", "node"]).groupBy("host", "node", "pages").agg(F.collect_list(constant_).alias("texts"))
+    nodes = nodes.where("node like '#%' or size(texts) > 0").groupBy("host").agg(F.collect_list(F.struct("node", "pages", "texts")).alias("nodes"))
+    done = open_.join(nodes, "host", "left").select("host", "template", "pages", "nodes").mapInArrow(_counted, KIND)
+    return sure.unionByName(scratch.cut(done, "counted")).drop("open")
+
+
+def _with_templates(pages: DataFrame, made: DataFrame, far: str) -> DataFrame:
+    """(page_id, url, html, template) of pages that have a template; of all pages, if far is left and not inner."""
+    made = made.withColumnRenamed("host", "_host")
+    host = F.lower(F.regexp_replace(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#\s]*)", 1), "^.*@", ""))
+    total = made.agg(F.sum("pages")).first()[0] or 0
+    # At most LARGE hosts have so many pages each; their templates go to all tasks, and their pages stay where they are.
+    large = (F.col("pages") * LARGE >= total) & (F.octet_length("template") <= LARGE_BYTES)
+    all_, hot = pages.select("page_id", "url", "html", host.alias("_h")), F.broadcast(made.where(large))
+    near = all_.join(hot, F.col("_h") == F.col("_host"))
+    rest = all_.join(hot, F.col("_h") == F.col("_host"), "left_anti").join(made.where(~large), F.col("_h") == F.col("_host"), far)
+    return near.unionByName(rest).select("page_id", "url", "html", "template")
 
 
 def _holds(node: Node, tags: tuple) -> bool:
@@ -394,25 +619,33 @@ def noisy(node: Node, inside: bool) -> bool:
 
 
 def constant(template: list | None, texts: dict) -> bool:
-    """Whether aligned pages have the same text there, up to the sketch's error."""
+    """Whether aligned pages have the same text there, up to what counts may be short."""
     if template is None or template[1] < LEAST:
         return False
-    return any(template[2].get(d, 0) + template[1] // (TEXTS + 1) >= max(LEAST, CONSTANT * template[1]) for d in texts)
+    short = template[2].get(SHORT, 0)
+    return any(template[2].get(d, 0) + short >= max(LEAST, CONSTANT * template[1]) for d in texts)
 
 
-def mark(node: Node, template: list | None, inside: bool = False) -> None:
-    """Sets `drop` on what names call noise, and `same` on nodes whose own text the host repeats."""
+def mark(node: Node, template: list | None, inside: bool = False, apart: dict | None = None, path: str = "", found: set | None = None) -> None:
+    """Sets `drop` on what names call noise, and `same` on nodes whose own text the host repeats. apart has the templates of
+    what is counted by its path; found gets the page's nodes and texts, by a numbered template's nodes and by paths."""
     kids = node.elements()
     place = {id(kids[j]): i for i, j in align(template[3], node.form[3])} if template and kids and template[3] else {}
     for c in node.children:
         if isinstance(c, Node):
             c.drop = noisy(c, inside)
             if not c.drop and c.tag not in RAW and c.tag != "head" and (c.blocks or c.tag not in INLINE):
-                t = template[3][place[id(c)]] if id(c) in place else None
+                t, at = template[3][place[id(c)]] if id(c) in place else None, ""
+                if apart or found is not None:
+                    at = _path(path, c.form)
+                if apart and t is None:
+                    t = apart.get(at)
+                if found is not None:
+                    found.update((f"#{t[-1]}" if t else at, d) for d in ("", *c.form[2]))
                 c.same = constant(t, c.form[2])
-                mark(c, t, inside or c.tag in ("article", "main"))
+                mark(c, t, inside or c.tag in ("article", "main"), apart, at, found)
             elif not c.drop:
-                mark(c, None, inside)
+                mark(c, None, inside, apart, path, found)
 
 
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "picture", "source", "ruby", "rt", "rp", "data", "nobr"}
@@ -506,7 +739,9 @@ def main_text(page: str | None, template: list | None = None) -> str:
     root = parse(page or "")
     shape(root)
     known = template is not None and template[1] >= LEAST
-    mark(root, template if known else None)
+    if known and len(template) == 5:
+        template = complete(settled(template), {})
+    mark(root, template if known else None, apart=template[-1] if known else None)
     weigh(root)
     if known:
         tops = chosen(root)
@@ -532,7 +767,7 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
 
-def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
+def extract(spark: SparkSession, pages: DataFrame, texts: int = TEXTS, hold: int = HOLD) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of pages(page_id, url, html).
 
     A null or empty html gives an empty text. Pages without a host, or without
@@ -540,15 +775,8 @@ def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
     pages of their own for the template. A page of any length and any number of
     elements is read whole. Line breaks in a block are white space. Other
     columns, whatever their names, are not read. An empty table gives no row.
+    texts and hold say what a template holds at once, not what counts.
     """
     scratch = Scratch(spark, "wrapper")
-    made = templates(scratch, pages).withColumnRenamed("host", "_host")
-    host = F.lower(F.regexp_replace(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#\s]*)", 1), "^.*@", ""))
-    total = made.agg(F.sum("pages")).first()[0] or 0
-    # At most LARGE hosts have so many pages each; their templates go to all tasks, and their pages stay where they are.
-    large = (F.col("pages") * LARGE >= total) & (F.octet_length("template") <= LARGE_BYTES)
-    all_, hot = pages.select("page_id", "url", "html", host.alias("_h")), F.broadcast(made.where(large))
-    near = all_.join(hot, F.col("_h") == F.col("_host"))
-    far = all_.join(hot, F.col("_h") == F.col("_host"), "left_anti").join(made.where(~large), F.col("_h") == F.col("_host"), "left")
-    joined = near.unionByName(far)
-    return joined.select("page_id", "url", "html", "template").mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")
+    joined = _with_templates(pages, templates(scratch, pages, texts, hold), "left")
+    return joined.mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")

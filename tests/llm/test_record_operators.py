@@ -457,6 +457,73 @@ def test_no_limit_of_children_or_texts():
     assert wrapper.constant(["p", 500, counts, [], {}], {"same": 1}) and not wrapper.constant(["p", 500, counts, [], {}], {"x9": 1})
 
 
+def counted_page(n):
+    """A line that 77 of 100 pages share, one that 83 share, a correction on one of 100, and an element whose class no other page has."""
+    staff = "Reported by our own staff." if n % 100 < 77 else f"Reported by writer {n}."
+    house = "Printed in our own house." if n % 100 >= 17 else f"Printed in house {n}."
+    note = "<blockquote>Corrected after it went out.</blockquote>" if n % 100 == 42 else ""
+    html = f"<body><div><h2>Head {n}</h2><div>The story of {n} in its own words.</div><section>{staff}</section><pre>{house}</pre>{note}<ul class='u{n}'>Tail {n}</ul></div></body>"
+    return html, "\n".join([f"Head {n}", f"The story of {n} in its own words.", staff, *([house] if n % 100 < 17 else []), f"Tail {n}"])
+
+
+def test_no_child_is_too_rare_and_no_count_too_short():
+    made = [counted_page(n) for n in range(600)]
+    t = induced([p for p, _ in made])
+    assert all(wrapper.main_text(p, t) == want for p, want in made)
+
+
+@pytest.mark.parametrize("bounds", [{}, {"texts": 2}, {"texts": 2, "hold": 8}])
+def test_what_a_template_cannot_hold_is_counted_exactly(spark, bounds):
+    made = [counted_page(n) for n in range(1200)]
+    df = spark.createDataFrame([(n, "http://h/", p) for n, (p, _) in enumerate(made)], "page_id long, url string, html string").repartition(6, "page_id")
+    got = {r.page_id: r.text for r in wrapper.extract(spark, df, **bounds).collect()}
+    assert all(got[n] == want for n, (_, want) in enumerate(made))
+    rows = wrapper.templates(wrapper.Scratch(spark, "test"), df, **bounds).collect()
+    assert [(r.host, r.pages) for r in rows] == [("h", 1200)]
+    # a small template: the correction is counted apart, by its path, on all 12 pages that have it
+    assert [t[1] for t in wrapper.unpacked(rows[0].template)[-1].values()] == ([12] if "hold" in bounds else [])
+
+
+def test_what_one_page_repeats_is_no_template(spark):
+    made = [(f"<body><div><h1>Head {n}</h1>" + "".join(f"<p>Part {k} of {n}.</p>" for k in range(3)) + "<p>Again.</p>" * (90 if n == 50 else 0) + "</div></body>") for n in range(300)]
+    df = spark.createDataFrame([(n, "http://h/", p) for n, p in enumerate(made)], "page_id long, url string, html string").repartition(2, "page_id")
+    for bounds in ({}, {"texts": 2, "hold": 8}):
+        got = {r.page_id: r.text for r in wrapper.extract(spark, df, **bounds).collect()}
+        assert all(t.count("Part ") == 3 and t.count("Again.") == (90 if n == 50 else 0) for n, t in got.items())
+
+
+def test_paragraphs_that_articles_share_stay():
+    rng = random.Random(8)
+    made = []
+    for n in range(40):
+        story = [f"Paragraph {k} of story {n}." for k in range(rng.randint(1, 6))]
+        if n % 2 == 1:
+            story.insert(rng.randint(0, len(story)), "Said in several stories, at any place.")
+        made.append((f"<body><div><h1>Head {n}</h1>{''.join(f'<p>{p}</p>' for p in story)}<p>Follow us on every channel</p></div></body>", "\n".join([f"Head {n}", *story])))
+    t = induced([p for p, _ in made])
+    assert all(wrapper.main_text(p, t) == want for p, want in made)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_counts_know_how_far_they_are_short(seed):
+    rng = random.Random(seed)
+    whole, parts = defaultdict(int), []
+    for _ in range(20):
+        part = wrapper.Counts({})
+        for _ in range(rng.randrange(300)):
+            k = f"d{int(rng.paretovariate(0.6)) % 500}"
+            whole[k] += 1
+            part.add({k: 1}, 4)
+        parts.append(part)
+    total = wrapper.Counts({})
+    for part in parts:
+        total.add(part, 4)
+    short = total.get(wrapper.SHORT, 0)
+    assert 0 < short <= sum(whole.values()) / 5 and len(total) <= 10
+    assert all(total.get(k, 0) <= v <= total.get(k, 0) + short for k, v in whole.items())
+    assert total.top == max((v, k) for k, v in total.items() if k)
+
+
 def test_near_copies_keep_their_text():
     story = "".join(f"<p>Paragraph {k} of the story that all pages tell in the same words.</p>" for k in range(20))
     pages = [f"<body><div><h1>Headline {n}</h1>{story}<p>Only here: {n}</p></div></body>" for n in range(9)]
