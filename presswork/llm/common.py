@@ -174,10 +174,10 @@ def prefix_hash(data: np.ndarray, powers: Powers = POWERS) -> np.ndarray:
     return out
 
 
-def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offs: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of bytes that aren't white space; no run
     crosses from one row to the next."""
-    word = ~SPACE[data]
+    word = ~space[data]
     before = np.empty_like(word)
     before[:1], before[1:] = False, word[:-1]
     before[offs[:-1][offs[:-1] < len(data)]] = False
@@ -195,6 +195,56 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers:
     return mix64((h[ends] - h[starts]) * down[starts])
 
 
+#: What lies between terms: all of ASCII but letters and digits.
+BETWEEN_TERMS = np.zeros(256, bool)
+BETWEEN_TERMS[[*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
+#: The same in SQL.
+TERMS_SQL = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+UPPER_SQL, LOWER_SQL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def lower_words(data: np.ndarray, offs: np.ndarray, space: np.ndarray) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
+    """The words between `space` bytes with A-Z in lower case, and where they start and end."""
+    starts, ends = word_spans(data, offs, space)
+    at = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(ends - starts, out=at[1:])
+    return pa.StringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(LOWER[data[~space[data]]])), starts, ends
+
+
+def sql_terms(col) -> F.Column:
+    """Terms of a text, as lower_words finds them; null for null."""
+    return F.regexp_extract_all(F.translate(col, UPPER_SQL, LOWER_SQL), F.lit(TERMS_SQL), F.lit(0))
+
+
+def varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, where each value ends in them) of unsigned numbers, seven bits a byte, low bits first."""
+    v = values.astype(np.uint64)
+    size = np.ones(len(v), np.int64)
+    for k in range(1, 10):
+        size += v >= np.uint64(1 << 7 * k)
+    ends = np.cumsum(size)
+    out = np.empty(int(ends[-1]) if len(v) else 0, np.uint8)
+    begin = ends - size
+    for k in range(int(size.max()) if len(v) else 0):
+        has = size > k
+        more = size[has] > k + 1
+        out[begin[has] + k] = ((v[has] >> np.uint64(7 * k)) & np.uint64(127)).astype(np.uint8) | (more.astype(np.uint8) << 7)
+    return out, ends
+
+
+def unvarints(raw: bytes) -> np.ndarray:
+    """The numbers that varints() wrote, as uint64."""
+    data = np.frombuffer(raw, np.uint8)
+    last = np.flatnonzero(data < 128)
+    if not len(last):
+        return np.zeros(0, np.uint64)
+    begin = np.concatenate([[0], last[:-1] + 1])
+    if len(last) == len(data):
+        return data.astype(np.uint64)
+    place = np.arange(len(data)) - np.repeat(begin, last - begin + 1)
+    return np.add.reduceat((data & 127).astype(np.uint64) << (7 * place).astype(np.uint64), begin)
+
+
 def per_row(starts: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Where each row's items begin among items at these byte positions, and the end."""
     return np.searchsorted(starts, offs).astype(np.int64)

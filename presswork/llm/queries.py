@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presswork.llm import media, minhash_join, mixing, packing, quality, secrets, suffix_dedup, topk, warc, wrapper
+from presswork.llm import collocations, decontaminate, lexical, media, minhash_join, mixing, packing, quality, secrets, suffix_dedup, topk, warc, wrapper
 from presswork.llm.common import table
 
 
@@ -50,6 +50,18 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrapper.extract(spark, table(spark, sf_dir, "pages"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(spark, table(spark, sf_dir, "documents"), least=30, longest=4, top=2000, share=80)
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_minhash_dedup,
@@ -62,6 +74,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_best_fit_packing,
         op9_source_mixing,
         op10_html_extraction,
+        op11_lexical_search,
+        op12_collocations,
+        op13_decontamination,
     )
     return {f.__name__: f for f in found}
 
@@ -73,4 +88,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_exact_topk": topk.ORACLE_SQL,
         "op7_suffix_dedup": suffix_dedup.ORACLE_SQL,
         "op9_source_mixing": mixing.ORACLE_SQL,
+        "op11_lexical_search": lexical.ORACLE_SQL,
+        "op12_collocations": collocations.ORACLE_SQL,
+        "op13_decontamination": decontaminate.ORACLE_SQL,
     }
