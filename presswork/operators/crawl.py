@@ -36,30 +36,6 @@ def keyword_urls(keywords: DataFrame, template: str, first: int, stop: int) -> D
     return paged.select(F.format_string(template, F.url_encode("keyword"), "page").alias("url"), "topic_id", "keyword", "page")
 
 
-def circular_batch(words: DataFrame, order: str, start: int, limits: int) -> tuple[DataFrame, int]:
-    """(place, idx, rows of words) of the next `limits` of a list read in circles, and the next start.
-
-    A start behind the end begins anew; a batch of more than two rounds has only
-    the tail, and leaves the start. Rows get their numbers where a sort by range
-    has put them, from the sizes of the ranges before: no task has the whole list.
-    """
-    part = words.repartitionByRange(F.col(order).asc_nulls_first()).sortWithinPartitions(F.col(order).asc_nulls_first()).select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("at"))
-    # the upper bits are the range's number, the lower ones the place in it
-    sizes = {r.p: r.n for r in part.groupBy(F.shiftright("at", 33).alias("p")).agg(F.count("*").alias("n")).collect()}  # a row per range
-    n, before, bases = sum(sizes.values()), 0, {}
-    for p in sorted(sizes):
-        bases[p], before = before, before + sizes[p]
-    if n == 0:
-        return words.withColumn("idx", F.lit(0)).withColumn("place", F.lit(0)).limit(0), start
-    start = 0 if start >= n else start
-    over = start + limits > 2 * n
-    size, after = (n - start, start) if over else (limits, (start + limits) % n)
-    base = F.element_at(F.create_map(*(F.lit(x).cast("long") for kv in bases.items() for x in kv)), F.shiftright("at", 33))
-    indexed = part.select("row.*", (base + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).cast("int").alias("idx"))
-    turns = indexed.withColumn("place", F.explode(F.filter(F.array((F.col("idx") - start), F.col("idx") - start + n, F.col("idx") - start + 2 * n), lambda p: (p >= 0) & (p < size))))
-    return turns, after
-
-
 def id_batch(spark: SparkSession, retry: DataFrame, highest: int, limits: int, least_new: int, template: str) -> tuple[DataFrame, int]:
     """(id, url, is_retry) of up to limits - least_new ids to try again and new ones below the raised counter, and the counter."""
     again = retry.select(F.col("id").cast("long").alias("id")).orderBy("id").limit(max(0, limits - least_new))

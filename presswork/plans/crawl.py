@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -178,35 +179,47 @@ def data_rows(details: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Run:
-    """What a run of the stages came to: details with their status, data rows, and how many addresses were new."""
+    """What a run of the stages came to: details with their status, data rows, how many addresses were new, and new ones that weren't fetched."""
 
     details: DataFrame
     data: DataFrame
     new_total: int
+    left: DataFrame
 
 
-def crawled(lists: DataFrame, fetch: Callable[[DataFrame], DataFrame], cut: Callable[[DataFrame], DataFrame], site: str = "default", seen: DataFrame | None = None, rounds: int = 20) -> Run:
+#: Rounds whose tables are read one by one; so many are written together.
+TOGETHER = 16
+
+
+def crawled(lists: DataFrame, fetch: Callable[[DataFrame], DataFrame], cut: Callable[[DataFrame], DataFrame], site: str = "default", seen: DataFrame | None = None, rounds: int | None = None) -> Run:
     """List pages to detail pages to data, as chained stages.
 
     fetch(urls) gives (url, html) of addresses, html null where the download
     failed. Next pages that records name are fetched in further rounds, each
-    once, and count as new; `cut` writes each round. Addresses in seen(key) are
-    not fetched.
+    once, and count as new, until none is left; `cut` writes each round.
+    Addresses in seen(key) are not fetched. With `rounds` a run ends after so
+    many, and what it didn't fetch is left, and not counted as new.
     """
     found = listed(lists, site).select(F.col("detail_url").alias("url")).distinct()
     if seen is not None:
         found = dedup.unseen(dedup.with_key(found), seen).select("url")
-    edge = known = cut(found)
-    total, details = edge.count(), None
-    for _ in range(rounds):
+
+    def together(parts: list[DataFrame]) -> list[DataFrame]:
+        return [cut(reduce(DataFrame.unionByName, parts))] if len(parts) == TOGETHER else parts
+
+    edge = cut(found)
+    known, details, total, done = [edge], [], 0, 0
+    waiting = edge.count()
+    while waiting and done != rounds:
+        total, done = total + waiting, done + 1
         part = cut(detailed(fetch(edge), site))
-        details = part if details is None else details.unionByName(part)
-        edge = cut(next_pages(part).select(F.col("detail_url").alias("url")).distinct().join(known, "url", "left_anti"))
-        more = edge.count()
-        if not more:
-            break
-        total, known = total + more, known.unionByName(edge)
-    return Run(details, data_rows(details), total)
+        details = together([*details, part])
+        named = next_pages(part).select(F.col("detail_url").alias("url")).distinct()
+        edge = cut(named.join(reduce(DataFrame.unionByName, known), "url", "left_anti"))
+        known = together([*known, edge])
+        waiting = edge.count()
+    every = reduce(DataFrame.unionByName, details) if details else cut(detailed(fetch(edge), site))
+    return Run(every, data_rows(every), total, edge)
 
 
 #: Hooks on the way out: before posts are saved, and at a run's end.

@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.functions import article, dates, text, urls
-from presswork.operators import crawl, dedup, quality
+from presswork.operators import crawl, dedup, numbering, quality
 from presswork.plans import crawl as plan
 from presswork.plans.builder import Query
 from presswork.sources import readers, sinks
-from presswork.storage import dropped_at_exit, shared_folder
+from presswork.storage import cutter, dropped_at_exit, shared_folder
 from presswork.streaming import streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -267,17 +267,8 @@ def site_records(spark, d):
 @query(f"""WITH {LINKS}, a AS (SELECT DISTINCT detail_url AS url FROM links), b AS (SELECT url FROM a UNION SELECT url || '~' FROM a WHERE length(url) % 3 = 0 AND NOT ends_with(url, '~')) SELECT url, url AS title, (SELECT count(*) FROM b) AS new_total FROM b""")
 def staged_crawl(spark, d):
     """List pages to detail pages to data, with the further pages that records name counted in."""
-    base = f"{shared_folder(spark)}/presswork/stages-{uuid.uuid4().hex}"
-    made: list[str] = []
-
-    def cut(df: DataFrame) -> DataFrame:
-        made.append(f"{base}/{len(made)}")
-        df.write.parquet(made[-1])
-        return spark.read.parquet(made[-1])
-
     fetch = lambda u: u.select("url", F.concat(F.lit("<h1>"), "url", F.lit("</h1>")).alias("html"))
-    run = plan.crawled(table(spark, d, "pages"), fetch, cut, "headlines")
-    dropped_at_exit(spark, base)
+    run = plan.crawled(table(spark, d, "pages"), fetch, cutter(spark, "stages"), "headlines")
     return run.data.select("url", "title", F.lit(run.new_total).cast("long").alias("new_total"))
 
 
@@ -353,8 +344,28 @@ def keyword_pages(spark, d):
 
 @query("SELECT (20 + i) % 25 AS idx, n_name, CAST(i AS INTEGER) AS place FROM range(0, 12) t(i) JOIN (SELECT n_name, row_number() OVER (ORDER BY n_nationkey) - 1 AS k FROM nation) ON k = (20 + i) % 25")
 def circular_batch(spark, d):
-    rows, _ = crawl.circular_batch(table(spark, d, "nation").select("n_nationkey", "n_name"), "n_nationkey", 20, 12)
-    return rows.select(F.col("idx").cast("long").alias("idx"), "n_name", F.col("place").cast("int").alias("place"))
+    rows, _ = numbering.circular_batch(table(spark, d, "nation").select("n_nationkey", "n_name"), "n_nationkey", 20, 12)
+    return rows.select("idx", "n_name", F.col("place").cast("int").alias("place"))
+
+
+LINES = "n AS (SELECT count(*) AS n FROM lineitem), l AS (SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS idx FROM lineitem)"
+
+
+@query(f"""WITH {LINES}, p AS (SELECT unnest(range(0, n + n // 2)) AS place, (n // 3) AS start, n FROM n)
+  SELECT place, idx, l_orderkey, l_linenumber FROM p JOIN l ON idx = (start + place) % n""")
+def circular_lines(spark, d):
+    """One and a half rounds of all lines, from a third of the list on."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    n = lines.count()
+    rows, _ = numbering.circular_batch(lines, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], n // 3, n + n // 2)
+    return rows.select("place", "idx", "l_orderkey", "l_linenumber")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, sum(CAST(l_quantity AS BIGINT)) OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING)::BIGINT AS so_far FROM lineitem")
+def running_quantity(spark, d):
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    rows = numbering.running(lines, F.col("l_quantity").cast("long"), "so_far", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "so_far")
 
 
 @query("WITH r AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus = 'P' ORDER BY id LIMIT 60), h AS (SELECT max(o_orderkey) AS hi FROM orders) SELECT id, TRUE AS is_retry, 'http://s/' || id AS url FROM r UNION ALL SELECT hi + i, FALSE, 'http://s/' || (hi + i) FROM h, range(1, 101 - (SELECT count(*) FROM r)) t(i)")

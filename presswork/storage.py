@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import functools
 import tempfile
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 @functools.cache
@@ -27,3 +29,20 @@ def dropped_at_exit(spark: SparkSession, folder: str) -> None:
     """The folder, which must be there, goes when the application ends."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
+def cutter(spark: SparkSession, name: str) -> Callable[[DataFrame], DataFrame]:
+    """A function that writes a frame into a shared folder of its own and reads it back, so that it has no lineage.
+
+    Results are lazy and may read the tables: they go when the application ends.
+    """
+    base, made = f"{shared_folder(spark)}/presswork/{name}-{uuid.uuid4().hex}", []
+
+    def cut(df: DataFrame) -> DataFrame:
+        made.append(f"{base}/{len(made)}")
+        df.write.parquet(made[-1])
+        if len(made) == 1:
+            dropped_at_exit(spark, base)
+        return spark.read.schema(df.schema).parquet(made[-1])
+
+    return cut

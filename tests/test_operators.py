@@ -22,14 +22,6 @@ def day(n, h=0):
     return dt.datetime(2024, 1, 1) + dt.timedelta(days=n, hours=h)
 
 
-@pytest.mark.parametrize(("start", "limits", "idx", "after"), [(3, 4, [3, 4, 0, 1], 2), (5, 4, [0, 1, 2, 3], 4), (0, 5, [0, 1, 2, 3, 4], 0), (0, 12, [0, 1, 2, 3, 4], 0), (2, 7, [2, 3, 4, 0, 1, 2, 3], 4)])
-def test_circular_batch(spark, start, limits, idx, after):
-    words = spark.createDataFrame([(i, f"w{i}") for i in range(5)], "n int, w string")
-    got, nxt = crawl.circular_batch(words, "n", start, limits)
-    assert [r.idx for r in got.orderBy("place").collect()] == idx and nxt == after
-    assert crawl.circular_batch(words.limit(0), "n", start, limits)[0].count() == 0
-
-
 def test_reconcile_and_ids(spark):
     df = spark.createDataFrame([(9501,), (9500,), (20000,)], "id long")
     assert rows(crawl.reconcile(df, F.lit(10000))) == [(20000, "retry"), (9500, "gone"), (9501, "retry")]
@@ -268,6 +260,21 @@ def test_sites_and_stages(spark):
         assert run.new_total == 5 and "next_urls" not in run.data.columns
     finally:
         del plan.SITES["s"]
+    chain = spark.createDataFrame([(f"http://c/{n}", f"<h1>{n}</h1>") for n in range(30)], "url string, html string")
+
+    def linked():
+        following = F.concat(F.lit("http://c/"), (F.substring_index("url", "/", -1).cast("int") + 1).cast("string"))
+        return F.array(F.struct(F.col("html").alias("title"), F.array_compact(F.array(F.when(~F.col("url").endswith("/29"), following))).alias("next_urls")))
+
+    plan.SITES["c"] = plan.Site(lambda p: p.select(F.col("url").alias("channel_url"), F.lit("http://c/0").alias("detail_url")), linked)
+    try:
+        start = spark.createDataFrame([("http://c/list", "<a>")], "url string, html string")
+        run = plan.crawled(start, lambda u: u.join(chain, "url", "left"), keep, "c")
+        assert run.data.count() == 30 and run.new_total == 30 and run.left.count() == 0
+        run = plan.crawled(start, lambda u: u.join(chain, "url", "left"), keep, "c", rounds=3)
+        assert run.data.count() == 3 and run.new_total == 3 and [r.url for r in run.left.collect()] == ["http://c/3"]
+    finally:
+        del plan.SITES["c"]
     page = "<title>A title</title><body><p>" + "Some words, many of them. " * 9 + "</p></body>"
     got = plan.detailed(spark.createDataFrame([("u1", page), ("u2", None), ("u3", "")], "url string, html string")).collect()
     assert {r.url: r.status for r in got} == {"u1": plan.PARSED, "u2": plan.DOWNLOAD_FAILED, "u3": plan.PARSE_FAILED}
