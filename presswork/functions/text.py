@@ -11,9 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from presswork.functions.arrow import arrow_function
+from presswork.functions.charsets import ALIASES
 
-#: Charset names that stand for a larger one.
-CHARSETS = {"big5": "big5hkscs", "gb2312": "gbk", "gbk2312": "gbk", "ascii": "utf-8"}
 
 
 def first_match(text: Column, pattern: str, default: str = "") -> Column:
@@ -100,39 +99,10 @@ def charset(page: Column) -> Column:
     meta = F.regexp_extract(page, r"""(?i)<meta[^>]*?charset=["']*([^"'>\s/;]+)""", 1)
     xml = F.regexp_extract(page, r"""^<\?xml.*?encoding=["']*([^"'>\s]+)""", 1)
     name = F.lower(F.when(meta != "", meta).when(xml != "", xml).otherwise(F.lit("utf-8")))
-    table = F.create_map(*[F.lit(x) for kv in CHARSETS.items() for x in kv])
+    table = F.create_map(*[F.lit(x) for kv in ALIASES.items() for x in kv])
     return F.coalesce(F.element_at(table, name), name)
 
 
-#: Charsets tried for a page that declares none, in this order.
-GUESSES = ("utf-8", "gbk", "big5hkscs", "euc_jp", "euc_kr")
-
-
-@arrow_function("string")
-def charset_of_bytes(page: pd.Series) -> pd.Series:
-    """The charset of a page's bytes: the declared one, or else the first of GUESSES that reads the page; latin-1 if none does.
-
-    A page with fewer than ten characters besides markup, which tells nothing, is utf-8.
-    """
-
-    def one(raw: bytes) -> str:
-        head = raw.decode("latin-1")
-        m = re.search(r"""(?i)<meta[^>]*?charset=["']*([^"'>\s/;]+)""", head) or re.search(r"""^<\?xml.*?encoding=["']*([^"'>\s]+)""", head)
-        if m:
-            return CHARSETS.get(m[1].lower(), m[1].lower())
-        if len(re.sub(r"</?[^>]*>\s*", " ", head).strip()) < 10:
-            return "utf-8"
-        for name in GUESSES:
-            try:
-                raw.decode(name)
-                return name
-            except UnicodeDecodeError:
-                continue
-        return "latin-1"
-
-    return page.map(one, na_action="ignore")
-
-
 @arrow_function("string")
 def unescaped(text: pd.Series) -> pd.Series:
     return text.map(_html.unescape, na_action="ignore")

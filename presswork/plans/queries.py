@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.functions import article, dates, text, urls
+from presswork.functions import article, charsets, dates, text, urls
 from presswork.operators import crawl, dedup, numbering, quality
 from presswork.plans import crawl as plan
 from presswork.plans.builder import Query
@@ -153,6 +153,34 @@ def page_charset(spark, d):
     return table(spark, d, "pages").groupBy(text.charset(F.col("html")).alias("charset")).agg(F.count("*").alias("n"))
 
 
+#: What stands for these letters of English documents, by charset: thirteen frequent characters and thirteen that the detector has no list of.
+SPELLED = "etaoinshrdlcumwfgypbvkjxqz"
+SPELLINGS = {
+    "gbk": "的一是不了在人有我他这个们城桥湖森林银铁墙园桌椅窗床",
+    "big5hkscs": "的一是不了在人有我他這個們橋樹銀鐵牆園窗燈雲龍鳥魚馬",
+    "euc-kr": "이다는의에을가고하지한도로옷꽃별달강산숲집창길빛꿈눈봄",
+    "shift_jis": "のにはをたがでてとしれさい東京駅山川森雨雪花鳥風月星",
+    "euc-jp": "のにはをたがでてとしれさい東京駅山川森雨雪花鳥風月星",
+}
+_SPELL = " ".join(f"WHEN {k} THEN translate(lower(t), '{SPELLED}', '{v}')" for k, v in enumerate(SPELLINGS.values()))
+_NAMES = " ".join(f"WHEN {k} THEN '{v}'" for k, v in enumerate(SPELLINGS))
+
+
+@query(f"""WITH p AS (SELECT doc_id, lang, CASE WHEN lang = 'en' THEN regexp_replace(coalesce(text, ''), '[^\x00-\x7F]', '', 'g') ELSE coalesce(text, '') END AS t FROM documents),
+  s AS (SELECT doc_id, lang, regexp_replace(CASE WHEN lang = 'en' THEN CASE doc_id % 5 {_SPELL} END ELSE t END, '</?[^>]*>\\s*', ' ', 'g') AS t FROM p),
+  n AS (SELECT *, length(regexp_replace(t, '[\x00-\x7F]', '', 'g')) AS wide FROM s)
+  SELECT doc_id, CASE WHEN wide = 0 OR length(trim(t, ' \\n\\r\\t')) + CASE WHEN lang = 'en' THEN wide ELSE 0 END < 10 THEN 'utf-8' WHEN lang = 'en' THEN CASE doc_id % 5 {_NAMES} END ELSE 'windows-1252' END AS charset FROM n""")
+def charset_detection(spark, d):
+    """Bytes of documents in six charsets, none declared: English ones are spelled with characters of Chinese, Korean and Japanese."""
+    p = table(spark, d, "documents").select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("t"))
+    spelled, name = F.col("t"), F.lit("cp1252")
+    for k, (n, letters) in enumerate(SPELLINGS.items()):
+        own = (F.col("lang") == "en") & (F.col("doc_id") % 5 == k)
+        spelled = F.when(own, F.translate(F.lower(F.regexp_replace("t", r"[^\x00-\x7F]", "")), SPELLED, letters)).otherwise(spelled)
+        name = F.when(own, {"euc-kr": "cp949", "shift_jis": "cp932"}.get(n, n)).otherwise(name)
+    return p.select("doc_id", charsets.charset_of_bytes(charsets.bytes_of_text(spelled, name)).alias("charset"))
+
+
 @query("SELECT regexp_matches(lower(trim(u)), '^(https?|ftp)://') AS fetchable, count(*) AS n FROM (SELECT CASE page_id % 4 WHEN 0 THEN 'javascript:void(0)' WHEN 1 THEN '  ' || upper(url) ELSE url END AS u FROM pages) GROUP BY 1")
 def scheme_filter(spark, d):
     u = F.when(F.col("page_id") % 4 == 0, "javascript:void(0)").when(F.col("page_id") % 4 == 1, F.concat(F.lit("  "), F.upper("url"))).otherwise(F.col("url"))

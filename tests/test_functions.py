@@ -243,15 +243,3 @@ def test_dom_paths(spark):
     assert "bold" not in one(spark, dom.without("//b")(F.col("a")), page)
     assert one(spark, dom.absolute_links(F.col("a"), F.col("b")), "<a href='/x'>1</a><a href='/x'>2</a><iframe src='http://o/'></iframe>", "http://h/p") == ["http://h/x", "http://o/"]
     assert "<script" not in one(spark, dom.cleaned_html(F.col("a")), page)
-
-
-def test_charset_of_bytes(spark):
-    from pyspark.sql import functions as F
-
-    from presswork.functions import text
-
-    long = "这是一个没有声明字符集的网页，内容足够长。"
-    cases = [(long.encode("gbk"), "gbk"), (long.encode(), "utf-8"), (b"<p>abc</p>", "utf-8"), (b'<meta charset="GB2312">' + long.encode("gbk"), "gbk"), (b"<?xml version='1' encoding='Big5'?>", "big5hkscs"), (b"plain words in ascii", "utf-8"), (b"caf\xe9 \xff\xfe\xff words and more", "latin-1"), (None, None)]
-    df = spark.createDataFrame([(i, bytearray(b) if b is not None else None) for i, (b, _) in enumerate(cases)], "i int, b binary")
-    got = dict(df.select("i", text.charset_of_bytes(F.col("b"))).collect())
-    assert [got[i] for i in range(len(cases))] == [w for _, w in cases]
