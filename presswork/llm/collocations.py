@@ -131,15 +131,14 @@ def _renamed(chunk: int, sequence: np.ndarray, code: np.ndarray, at: np.ndarray,
 
 
 def _counted_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(chunk, code, left, right, n) of each chunk's different pairs; code is their place among them."""
+    """(own, left, right, n) of each chunk's different pairs; their code in the chunk is their place among them."""
     for batch in batches:
         for k in range(batch.num_rows):
             sequence, ids = (np.frombuffer(batch.column(c)[k].as_buffer(), t) for c, t in (("sequence", np.int32), ("ids", np.int64)))
             pair, n = np.unique(_pairs(sequence)[1], return_counts=True)
             rows = pa.RecordBatch.from_pydict(
                 {
-                    "chunk": pa.array(np.full(len(pair), batch.column("chunk")[k].as_py(), np.int64)),
-                    "code": pa.array(np.arange(len(pair), dtype=np.int32)),
+                    "own": pa.array((batch.column("chunk")[k].as_py() << CODE_BITS) + np.arange(len(pair), dtype=np.int64)),
                     "left": pa.array(ids[(pair >> 32) - 1]),
                     "right": pa.array(ids[(pair & 0xFFFFFFFF) - 1]),
                     "n": pa.array(n.astype(np.int32)),
@@ -149,18 +148,25 @@ def _counted_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 yield rows.slice(at, 50_000)
 
 
-PAIRS = "chunk long, code int, left long, right long, n int"
+PAIRS = "own long, left long, right long, n int"
+
+
+def _own(chunk: str, code: str) -> Column:
+    """A chunk's number of a word or pair, as one number over all chunks."""
+    return (F.shiftleft(chunk, CODE_BITS) + F.col(code)).alias("own")
 
 
 def _frequent(counts: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """counts(chunk, code, keys, n) whose keys' counts add up to `least`, with that as f and one id for all: the first chunk's number of them.
+    """counts(own, keys, n) whose keys' counts add up to `least`: (own, id) with one id for all, the least of their own numbers.
 
-    Chunks have counted before, so that a sum by groups and a join back would
-    move the same rows twice.
+    The first of them has the keys, too, and the sum as f. Chunks have counted
+    before, so that a sum by groups and a join back would move the same rows
+    twice.
     """
     same = W.partitionBy(*keys)
-    own = F.shiftleft(F.col("chunk"), CODE_BITS) + F.col("code")
-    return counts.withColumns({"f": F.sum("n").over(same), "id": F.min(own).over(same)}).where(F.col("f") >= least).withColumn("first", F.col("id") == own)
+    summed = counts.withColumns({"f": F.sum("n").over(same), "id": F.min("own").over(same)}).where(F.col("f") >= least)
+    first = F.col("own") == F.col("id")
+    return summed.select("own", "id", first.alias("first"), *(F.when(first, F.col(c)).alias(c) for c in (*keys, "f")))
 
 
 def _exact(x: Column | int) -> Column:
@@ -186,21 +192,24 @@ def named(spark: SparkSession, docs: DataFrame, scratch: Scratch, least: int = L
     Names of words are (id, lang, word, f), of longer phrases (id, left, right, f).
     """
     chunks = scratch.cut(docs.select(F.col("lang").cast("string").alias("lang"), "text").mapInArrow(_chunked(chunk_bytes), CHUNK), "chunks")
-    words = chunks.select("chunk", F.posexplode("words").alias("code", "w")).select("chunk", "code", "w.*")
-    totals = chunks.select(F.explode("words").alias("w")).groupBy("w.lang").agg(F.sum("w.n").alias("n"))
+    words = chunks.select("chunk", F.posexplode("words").alias("code", "w")).select(_own("chunk", "code"), "w.*")
+    totals = scratch.cut(chunks.select(F.explode("words").alias("w")).groupBy("w.lang").agg(F.sum("w.n").alias("n")), "totals")
     found = scratch.cut(_frequent(words, ["lang", "word"], least), "words")
-    out = [found.where("first").select("id", "lang", "word", "f")]
-    level, step = chunks.select("chunk", "sequence"), _named_words
+    out = [scratch.cut(found.where("first").select("id", "lang", "word", "f"), "names1")]
+    level, step = chunks, _named_words
     for k in range(2, longest + 1):
-        with_ids = level.select("chunk", "sequence").groupBy("chunk").cogroup(found.select("chunk", "code", "id").groupBy("chunk")).applyInArrow(_or_none(step), LEVEL)
-        level, step = scratch.cut(with_ids, f"level{k}"), _named_pairs
+        codes = found.select(F.shiftright("own", CODE_BITS).alias("chunk"), F.col("own").bitwiseAND(F.lit((1 << CODE_BITS) - 1)).alias("code"), "id")
+        with_ids = level.select("chunk", "sequence").groupBy("chunk").cogroup(codes.groupBy("chunk")).applyInArrow(_or_none(step), LEVEL)
+        before, (level, step) = (level, found), (scratch.cut(with_ids, f"level{k}"), _named_pairs)
+        scratch.drop(*before)
         pairs = level.mapInArrow(tidy(_counted_pairs), PAIRS)
         if k < longest:
             found = scratch.cut(_frequent(pairs, ["left", "right"], least), f"pairs{k}")
-            out.append(found.where("first").select("id", "left", "right", "f"))
+            out.append(scratch.cut(found.where("first").select("id", "left", "right", "f"), f"names{k}"))
         else:
             last = pairs.groupBy("left", "right").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-            out.append(scratch.cut(last, f"pairs{k}").select(F.lit(None).cast("long").alias("id"), "left", "right", "f"))
+            out.append(scratch.cut(last, f"names{k}").select(F.lit(None).cast("long").alias("id"), "left", "right", "f"))
+    scratch.drop(level)
     return totals, out
 
 
