@@ -112,10 +112,8 @@ def wide_score(raw: bytes, high: int, c: Wide) -> float:
     fits = int((data >= 128).sum())
     if high - fits > MISFIT * high + 1:  # the last character may be cut
         return 0.0
-    codes = np.concatenate([_codes(r.decode(c.codec, "replace")) for r in runs]) if runs else np.zeros(0, np.uint32)
-    if not len(codes):
-        return 0.0
-    # a letter of ASCII that follows an unknown pair is what the decoder read it as
+    # runs are of whole characters, so that a line break between them is none's second byte
+    codes = _codes(b"\n".join(runs).decode(c.codec, "replace"))
     unknown = int((codes == 0xFFFD).sum())
     codes = codes[codes >= 128]
     if not len(codes) or unknown > MISFIT * len(codes):
