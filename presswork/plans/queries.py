@@ -18,7 +18,7 @@ from presswork.plans import crawl as plan
 from presswork.plans.builder import Query
 from presswork.sources import readers, sinks
 from presswork.storage import cutter, dropped_at_exit, shared_folder
-from presswork.streaming import streams
+from presswork.streaming import runs, streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -625,6 +625,49 @@ def stream_first_seen(spark, d):
     return spark.read.parquet(f"{base}/out").select("url")
 
 
+RUN_DAYS = 6
+STEPS = """e AS (SELECT CAST(user_id % 40 AS VARCHAR) AS config_id, event_id, ts, event_type FROM events),
+  steps AS (SELECT config_id, event_id * 3 AS seq, ts, 'found' AS kind, CASE WHEN event_id % 20 = 0 THEN 2 WHEN event_id % 20 = 10 THEN 0 ELSE 1 END AS n, NULL AS error FROM e
+    UNION ALL SELECT config_id, event_id * 3 + 1, ts, 'list_done', 0, NULL FROM e WHERE event_id % 50 = 7
+    UNION ALL SELECT config_id, event_id * 3 + 2, ts, CASE event_type WHEN 'error' THEN 'download_failed' WHEN 'view' THEN 'parse_failed' ELSE 'ok' END, 0, CASE WHEN event_type IN ('error', 'view') THEN 'E' || (event_id % 3) END FROM e)"""
+
+
+@query(f"""WITH {STEPS}, s AS (SELECT *, min(ts) OVER (PARTITION BY config_id) AS began, max(ts) OVER () AS clock FROM steps),
+  w AS (SELECT *, row_number() OVER o AS pos, sum(n) OVER o AS new, count(*) FILTER (WHERE kind = 'ok') OVER o AS ok, count(*) FILTER (WHERE kind = 'parse_failed') OVER o AS pf,
+    count(*) FILTER (WHERE kind = 'download_failed') OVER o AS df, count(*) FILTER (WHERE kind = 'list_done') OVER o AS listed FROM s WHERE ts <= began + INTERVAL {RUN_DAYS} DAY WINDOW o AS (PARTITION BY config_id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING)),
+  d AS (SELECT config_id, coalesce(min(pos) FILTER (WHERE listed > 0 AND new = ok + pf + df), max(pos)) AS stop, count(*) FILTER (WHERE listed > 0 AND new = ok + pf + df) > 0 AS finished FROM w GROUP BY 1),
+  x AS (SELECT config_id, kind, error FROM w JOIN d USING (config_id) WHERE pos <= stop AND error IS NOT NULL),
+  errors AS (SELECT config_id, string_agg(error || ':' || n, ',' ORDER BY error) AS errors FROM (SELECT config_id, error, count(*) AS n FROM x GROUP BY 1, 2) GROUP BY 1)
+  SELECT config_id, CAST(floor(epoch(began)) AS BIGINT) AS start_time, CAST(floor(epoch(ts)) AS BIGINT) AS end_time, CAST(new AS BIGINT) AS new_count, ok AS parse_success_num, pf AS parse_failed_num, df AS download_failed_num, finished, coalesce(errors, '') AS errors
+  FROM w JOIN d USING (config_id) LEFT JOIN errors USING (config_id) WHERE pos = stop AND (finished OR began + INTERVAL {RUN_DAYS} DAY + INTERVAL 1 SECOND < clock)""")
+def run_completion(spark, d):
+    """Summaries of runs as a stream of their events emits them: when a run is complete, or its six days are over."""
+    e = table(spark, d, "events").select((F.col("user_id") % 40).cast("string").alias("config_id"), "event_id", "ts", "event_type")
+    found = F.when(F.col("event_id") % 20 == 0, 2).when(F.col("event_id") % 20 == 10, 0).otherwise(1)
+    status = F.when(F.col("event_type") == "error", quality.DOWNLOAD_FAILED).when(F.col("event_type") == "view", quality.PARSE_FAILED).otherwise(quality.OK)
+    bad = F.when(F.col("event_type").isin("error", "view"), F.concat(F.lit("E"), (F.col("event_id") % 3).cast("string")))
+    step = lambda k, kind, n, error: F.struct((F.col("event_id") * 3 + k).alias("seq"), kind.alias("kind"), n.alias("n"), error.alias("error"))
+    none = F.lit(None).cast("string")
+    steps = F.array(step(0, F.lit(runs.FOUND), found, none), F.when(F.col("event_id") % 50 == 7, step(1, F.lit(runs.LISTED), F.lit(0), none)), step(2, status, F.lit(0), bad))
+    events = e.select("config_id", "ts", F.explode(F.array_compact(steps)).alias("s")).select("config_id", "s.seq", "ts", "s.kind", F.col("s.n").cast("long").alias("n"), "s.error")
+    day = F.col("ts").cast("date")
+    parts = [events.where(day < "2024-01-11"), events.where(day.between("2024-01-11", "2024-01-20")), events.where(day > "2024-01-20")]
+    return streams.run_in_parts(parts, lambda s: runs.completed(s, RUN_DAYS * 86_400), "completion")
+
+
+@query("""WITH a AS (SELECT o_custkey AS id, o_orderkey AS seq, o_orderdate AS ts, o_orderstatus = 'O' AS good FROM orders),
+  g AS (SELECT *, sum(CAST(good AS INTEGER)) OVER (PARTITION BY id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS run, lead(ts) OVER (PARTITION BY id ORDER BY ts, seq) AS nxt, max(ts) OVER () AS clock FROM a),
+  f AS (SELECT *, (sum(CAST(NOT good AS INTEGER)) OVER (PARTITION BY id, run ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) - 1) % 3 + 1 AS tries FROM g)
+  SELECT id, CAST(epoch(ts) AS BIGINT) AS due, 3 AS tries, 'dropped' AS fate FROM f WHERE NOT good AND tries = 3
+  UNION ALL SELECT id, CAST(epoch(ts + INTERVAL 90 DAY) AS BIGINT), CAST(tries AS INTEGER), 'retry' FROM f WHERE NOT good AND tries < 3 AND (nxt IS NULL OR nxt > ts + INTERVAL 90 DAY) AND ts + INTERVAL 90 DAY < clock""")
+def retry_queue(spark, d):
+    """Orders as attempts at their customer, in three micro-batches: a failed one is due after ninety days, three in a row drop it."""
+    a = table(spark, d, "orders").select(F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("seq"), F.col("o_orderdate").alias("ts"), (F.col("o_orderstatus") == "O").alias("good"))
+    day = F.col("ts").cast("date")
+    parts = [a.where(day < "1997-03-01"), a.where(day.between("1997-03-01", "1999-05-31")), a.where(day > "1999-05-31")]
+    return streams.run_in_parts(parts, lambda s: runs.retries(s, 90 * 86_400, 3), "retries")
+
+
 # Text
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +32,19 @@ def dropped_at_exit(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session's settings are these for a while, and then as they were."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def cutter(spark: SparkSession, name: str) -> Callable[[DataFrame], DataFrame]:
     """A function that writes a frame into a shared folder of its own and reads it back, so that it has no lineage.
 

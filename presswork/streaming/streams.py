@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -13,6 +14,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StructField, StructType
 
 from presswork.operators.dedup import with_key
+from presswork.storage import dropped_at_exit, settings, shared_folder
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -69,3 +71,22 @@ def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpo
     if not q.awaitTermination(timeout):
         q.stop()
         raise TimeoutError(f"the stream didn't end in {dt.timedelta(seconds=timeout)}")
+
+
+def run_in_parts(parts: list[DataFrame], build: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """What a stateful stream over these parts gives, each part a batch of its own, with a restart from the checkpoint between them.
+
+    The number of state partitions is that of the first batch: twice the cores
+    that the session has.
+    """
+    spark = parts[0].sparkSession
+    base = f"{shared_folder(spark)}/presswork/{name}-{uuid.uuid4().hex}"
+    state = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.shuffle.partitions": str(2 * spark.sparkContext.defaultParallelism)}
+    for k, part in enumerate(parts):
+        part.write.mode("append").parquet(f"{base}/in")
+        if k == 0:
+            dropped_at_exit(spark, base)
+        with settings(spark, state):
+            stream = build(spark.readStream.schema(part.schema).parquet(f"{base}/in"))
+            run_available(stream, lambda b, _: b.write.mode("append").parquet(f"{base}/out"), f"{base}/state")
+    return spark.read.schema(stream.schema).parquet(f"{base}/out")
