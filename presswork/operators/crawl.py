@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from presswork.functions.text import page_base64
+from presswork.sources.control import Counter
 
 # Lookups
 
@@ -45,6 +46,20 @@ def id_batch(spark: SparkSession, retry: DataFrame, highest: int, limits: int, l
     return both.withColumn("url", F.format_string(template, "id")), highest + fresh
 
 
+def fresh_ids(spark: SparkSession, counter: Counter, n: int, template: str) -> DataFrame:
+    """(id, url) of the next n ids of a counter that other drivers raise, too; no two get the same."""
+    ids = counter.take(n)
+    return spark.range(ids.start, ids.stop).select("id", F.format_string(template, "id").alias("url"))
+
+
+def counted_batch(spark: SparkSession, retry: DataFrame, counter: Counter, limits: int, least_new: int, template: str) -> DataFrame:
+    """id_batch() whose new ids come from a shared counter."""
+    again = retry.select(F.col("id").cast("long").alias("id")).orderBy("id").limit(max(0, limits - least_new))
+    new = fresh_ids(spark, counter, limits - again.count(), template)
+    old = again.select("id", F.format_string(template, "id").alias("url"), F.lit(True).alias("is_retry"))
+    return old.unionByName(new.withColumn("is_retry", F.lit(False)))
+
+
 def reconcile(missing: DataFrame, last_success: Column, margin: int = 500) -> DataFrame:
     """missing(id) with `fate`: an id close below or above the last success may still come, and is tried again."""
     return missing.withColumn("fate", F.when(F.col("id") > last_success - margin, "retry").otherwise("gone"))

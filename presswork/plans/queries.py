@@ -6,17 +6,20 @@ events a crawl log (`log`), orders ids, lineitem and orders times.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.functions import article, charsets, dates, text, urls
-from presswork.operators import crawl, dedup, numbering, quality
+from presswork.operators import crawl, dedup, numbering, quality, seen
 from presswork.plans import crawl as plan
 from presswork.plans.builder import Query
-from presswork.sources import readers, sinks
+from presswork.sources import control, readers, sinks
 from presswork.storage import cutter, dropped_at_exit, shared_folder
 from presswork.streaming import runs, streams
 
@@ -319,6 +322,20 @@ def seen_store(spark, d):
     return dedup.add_seen(e.where("event_id % 2 = 0").select("key", "first_seen"), e.where("event_id % 2 = 1"))
 
 
+@query("SELECT 'http://h/' || (event_id * 7 + user_id) % 4000 AS key, min(ts) AS first_seen FROM events GROUP BY 1 HAVING min(ts) > TIMESTAMP '2024-01-21 12:00:00'")
+def seen_partitions(spark, d):
+    """Addresses of the events in a store of days and buckets, added in three batches, of which it keeps ten days."""
+    e = table(spark, d, "events").select(F.concat(F.lit("http://h/"), ((F.col("event_id") * 7 + F.col("user_id")) % 4000).cast("string")).alias("key"), F.col("ts").cast("timestamp").alias("first_seen"))
+    now = dt.datetime(2024, 1, 31, 12, tzinfo=dt.timezone.utc)
+    store = seen.SeenStore(spark, f"{shared_folder(spark)}/presswork/seen-{uuid.uuid4().hex}", buckets=4, ttl_seconds=10 * dedup.DAY)
+    day = F.to_date("first_seen")
+    for part in (e.where(day < "2024-01-11"), e.where(day.between("2024-01-11", "2024-01-20")), e.where(day > "2024-01-20")):
+        store.add(part, "key")
+    dropped_at_exit(spark, store.folder)
+    store.purge(now)
+    return store.rows(now).select("key", F.col("first_seen").cast("timestamp_ntz").alias("first_seen"))
+
+
 NOW = "2024-01-31 12:00:00"
 RULES = [("view", 10 * dedup.DAY), ("click", 3 * dedup.DAY), ("error", 5 * dedup.DAY), ("signup", 3 * 3600)]
 RULES_SQL = "(VALUES " + ", ".join(f"('{s}', {n})" for s, n in RULES) + ") r(store, ttl)"
@@ -403,6 +420,20 @@ def retry_union(spark, d):
     return crawl.id_batch(spark, o.where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("id")), hi, 100, 40, "http://s/%d")[0]
 
 
+@query("""WITH h AS (SELECT max(o_orderkey) AS hi FROM orders), n AS (SELECT sum(least(n, 500)) AS n FROM (SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1))
+  SELECT hi + i AS id, 'http://s/' || (hi + i) AS url FROM h, n, range(1, CAST(n AS BIGINT) + 1) t(i)""")
+def concurrent_ids(spark, d):
+    """New ids below one counter, which a writer for each priority raises at the same time; none is given twice."""
+    o = table(spark, d, "orders")
+    wanted = [r.n for r in o.groupBy("o_orderpriority").agg(F.least(F.count("*"), F.lit(500)).alias("n")).collect()]  # a row a priority
+    folder = f"{shared_folder(spark)}/presswork/counter-{uuid.uuid4().hex}"
+    control.Counter(spark, folder).raise_to(o.agg(F.max("o_orderkey")).first()[0] or 0)
+    dropped_at_exit(spark, folder)
+    with ThreadPoolExecutor(max(1, len(wanted))) as pool:
+        parts = list(pool.map(lambda n: crawl.fresh_ids(spark, control.Counter(spark, folder), n, "http://s/%d"), wanted))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("WITH l AS (SELECT max(o_orderkey) AS last FROM orders WHERE o_orderstatus = 'F') SELECT o_orderkey AS id, CASE WHEN o_orderkey > last - 500 THEN 'retry' ELSE 'gone' END AS fate FROM orders, l WHERE o_orderstatus <> 'F'")
 def retry_reconcile(spark, d):
     o = table(spark, d, "orders")
