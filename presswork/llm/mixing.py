@@ -202,17 +202,32 @@ def mix(spark: SparkSession, documents: DataFrame) -> DataFrame:
 
 
 def mixture(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    """The documents of the mix, each as often as it is taken; rows that repeat a doc_id are taken as often as the first.
+    """The documents of the mix, each row as often as it is taken, those without a doc_id or with a repeated one, too.
 
     Texts count whole, whatever their length; a null or empty one is taken no
     more often than its source. All columns come back as they were, whatever
-    their names; an empty table gives an empty mix.
+    their names; an empty table gives an empty mix. Rows with one doc_id and
+    source are told apart by their size, and of one size by their number.
     """
     scratch, picked, _, _ = _mixed(spark, documents)
-    copies = scratch.cut(picked.groupBy("doc_id").agg(F.max("copies").alias("copies")).where("copies > 0"), "copies")
+    copies = scratch.cut(picked.groupBy("doc_id", "pattern").agg(F.count("*").alias("n"), F.max("copies").alias("copies")).where("copies > 0"), "copies")
     rows = documents.select(F.struct(*(documents[f"`{c}`"] for c in documents.columns)).alias("row"))
-    joined = rows.join(copies, rows["row.doc_id"].eqNullSafe(copies["doc_id"]))
-    return joined.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
+
+    def joined(other: DataFrame) -> DataFrame:
+        other = other.withColumnsRenamed({"doc_id": "_id", "pattern": "_source"})
+        return rows.join(other, rows["row.doc_id"].eqNullSafe(other["_id"]) & rows["row.source"].eqNullSafe(other["_source"]))
+
+    out = joined(copies.where("n = 1")).select("row", "copies")
+    again = copies.where("n > 1").select("doc_id", "pattern")
+    if not again.isEmpty():
+        own = ["_id", "_source", "_size"]
+        theirs = joined(again).withColumn("_size", word_count("row.text")).withColumn("_k", F.row_number().over(W.partitionBy(*own).orderBy(F.xxhash64("row.text"))))
+        keys = again.withColumnsRenamed({"doc_id": "d", "pattern": "p"})
+        taken = picked.join(keys, picked["doc_id"].eqNullSafe(keys["d"]) & picked["pattern"].eqNullSafe(keys["p"]), "left_semi")
+        taken = taken.select(F.col("doc_id").alias("d"), F.col("pattern").alias("p"), F.col("size").alias("s"), "copies", F.row_number().over(W.partitionBy("doc_id", "pattern", "size").orderBy(F.desc("copies"))).alias("k"))
+        same = theirs["_id"].eqNullSafe(taken["d"]) & theirs["_source"].eqNullSafe(taken["p"]) & (F.col("_size") == F.col("s")) & (F.col("_k") == F.col("k"))
+        out = out.unionByName(theirs.join(taken.where("copies > 0"), same).select("row", "copies"))
+    return out.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
 
 #: The same mix in SQL: sources by weight, water-filling by rounds, and the seeded order as one window.

@@ -31,13 +31,24 @@ MIN_ASSIGN, MIN_ACCESS = 12, 18
 #: Words that an ASSIGN match starts with; a text without any of them has none.
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "api")
 
-#: Credential words with a value behind them, and user:value in an address. A value ends at white space, a quote or an
-#: angle bracket, and in an address at @; neither it nor the user has a longest length.
+#: A credential word: it begins a word, or a part of one (DB_PASS, dbPassword), and may have more parts behind it.
+WORD = (
+    r"(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|auth|credentials?|login|"
+    r"(?:api|access|private|client|secret|shared|session|signing|account|service|master|encryption)[_-]?(?:access[_-]?)?(?:key|secret|token))"
+    r"(?:[_-]?(?:access[_-]?)?(?:key|value|token))?[0-9]*"
+)
+#: A credential word, a sign or `is`, and its value: up to the closing quote of its line, or else up to white space, a tag,
+#: or a quote that no letter or digit follows; and user:value@ in an address. Neither a value nor a user has a longest length.
 CONTEXT = re.compile(
-    r"""(?:\b(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|auth|credentials?|login|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret)["']?\x20*(?:[:=]|\bis\b)\x20*["']?([^\s"'<>]{6,})|://[^\s/:@"'<>]+:([^\s"'<>@]{6,}))""",
-    re.I | re.A,
+    r"""(?:(?<![A-Za-z0-9])|(?<=[a-z0-9])(?=[A-Z]))(?i:"""
+    + WORD
+    + r""")["']?\x20*(?:=>|:=|[:=]|\b(?i:is)\b)\x20*(?:"((?:[^"\\\n]|\\[^\n])+)"|'((?:[^'\\\n]|\\[^\n])+)'|["']?((?:[^\s"'<]|["'](?=[A-Za-z0-9])|<(?!/?[A-Za-z!][^<>\n]*>))+))"""
+    + r"""|://[^\s/:@"'<>]*:([^\s/"'<>]+)@""",
+    re.A,
 )
 CONTEXT_WORDS = ("pass", "pwd", "pin", "secret", "token", "auth", "credential", "login", "key", "://")
+#: One of these at the end of a value without quotes is the sentence's.
+SENTENCE = ".,;)"
 #: From ten to this power guesses on, a value counts as a secret and not as a word of the language or a weak example.
 GUESSES = 10.0
 #: The scan doesn't tell costs from this on apart: guess_cost() leaves a value there.
@@ -219,8 +230,10 @@ def scan(text: str, guesses: float = GUESSES) -> list[tuple[int, int, int, float
     if any(w in low for w in CONTEXT_WORDS):
         for m in CONTEXT.finditer(text):
             at = m.start(m.lastindex)
-            value = m[m.lastindex].rstrip(".!?),;")
-            if len(value) >= 6 and (cost := guess_cost(value, max(guesses, ENOUGH))) >= guesses:
+            value = m[m.lastindex]
+            if m.lastindex == 3 and value[-1] in SENTENCE:
+                value = value[:-1]
+            if (cost := guess_cost(value, max(guesses, ENOUGH))) >= guesses:
                 out.append((at, 3, at + len(value), cost))
     return sorted(out)
 

@@ -6,7 +6,9 @@ the same kind with the binaryFile source. The reader checks every member and
 record; where a check fails it searches for the next member that opens, or the
 next version line, goes on from there, and logs the bytes between as a gap. In
 a member it does so on the decompressed bytes, of which a damaged member has
-those before the damage.
+those before the damage. A record that ends where its length says, before
+another or the end, is one even if a digest fails: all of it is the gap, since
+what looks like records in it is what it quotes.
 """
 
 from __future__ import annotations
@@ -80,7 +82,11 @@ def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Bad(Exception):
-    """A check that a member or record fails."""
+    """A check that a member or record fails; `end` is where the record ends, if that is known."""
+
+    def __init__(self, reason: str, end: int = 0):
+        super().__init__(reason)
+        self.end = end
 
 
 class Finder:
@@ -166,18 +172,20 @@ def _parse(find: Finder, at: int, proof: bool = False) -> tuple[dict, bytes, int
     body = end + 4
     if body + int(size) + 4 > len(raw) or raw[body + int(size) : body + int(size) + 4] != b"\r\n\r\n":
         raise Bad("the block doesn't end where its length says")
-    block = raw[body : body + int(size)]
+    block, stop = raw[body : body + int(size)], body + int(size) + 4
+    # where the next record begins, or nothing is left, the framing is sound
+    framed = stop if stop == len(raw) or raw.startswith(b"WARC/", stop) or raw.startswith(MAGIC, stop) else 0
     if (d := head.get("warc-block-digest", "")).startswith("sha1:"):
         proof = False
         if d[5:] != base32_sha1(block):
-            raise Bad("block digest")
+            raise Bad("block digest", framed)
     if head.get("warc-type") == "response" and (d := head.get("warc-payload-digest", "")).startswith("sha1:"):
         proof = False
         if d[5:] != base32_sha1(block.partition(b"\r\n\r\n")[2]):
-            raise Bad("payload digest")
+            raise Bad("payload digest", framed)
     if proof:
-        raise Bad("no digest, in a member that fails its check")
-    return head, block, body + int(size) + 4
+        raise Bad("no digest, in a member that fails its check", framed)
+    return head, block, stop
 
 
 def _records(raw: bytes, proof: bool) -> Iterator[tuple[int, int, dict | None, bytes, str]]:
@@ -190,7 +198,7 @@ def _records(raw: bytes, proof: bool) -> Iterator[tuple[int, int, dict | None, b
         except Bad as e:
             if gap is None:
                 gap, why = at, str(e)
-            at = find.next(_VERSION_LINE, at + 1)
+            at = e.end or find.next(_VERSION_LINE, at + 1)
             continue
         if gap is not None:
             yield gap, at, None, b"", why
@@ -244,7 +252,7 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, bytes, str]]:
                 head, block, end = _parse(find, at)
                 found, bad = [(head, block, "")], ""
             except Bad as e:
-                found, end, bad = [], _next(find, at + 1), str(e)
+                found, end, bad = [], e.end or _next(find, at + 1), str(e)
         if not found:
             if gap is None:
                 gap, why = at, bad

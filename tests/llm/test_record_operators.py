@@ -1,15 +1,18 @@
 """WARC salvage, exact top-k, mixing, suffix dedup and HTML extraction against plain Python."""
 
 import base64
+import gzip
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import defaultdict
 from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from presswork.llm import mixing, suffix_dedup, topk, warc, wrapper
 from presswork.llm.common import Scratch
@@ -592,3 +595,58 @@ def test_components_of_a_long_chain(spark):
     got = {r.id: r.component for r in components(Scratch(spark, "t"), edges).collect()}
     assert got == {i: 1 for i in range(1, 301)} | {1000: 1000, 1001: 1000}
     assert components(Scratch(spark, "t"), edges.limit(0)).collect() == []
+
+
+def test_a_record_quoted_in_a_damaged_one_stays_in_the_gap(spark):
+    quoted = warc.record(7, "http://q/7", b"<p>seven</p>")
+    first, second = warc.record(1, "http://p/1", b"<pre>" + quoted + b"</pre> tail"), warc.record(2, "http://p/2", b"two")
+    spoilt = first.replace(b"</pre> tail", b"</pre> tall")
+    assert len(spoilt) == len(first)
+    plain = spoilt + second
+    rows = list(warc.salvage(plain))
+    assert [(r[0], r[1], r[2] and r[2]["warc-record-id"]) for r in rows] == [(0, len(first), None), (len(first), len(second), warc.urn(2))]
+    assert "digest" in rows[0][4]
+    # the last record, and one before something that is no record
+    assert [r[2] for r in warc.salvage(second + spoilt)][1:] == [None] and len(list(warc.salvage(second + spoilt))) == 2
+    pack = lambda *parts: gzip.compress(b"".join(parts), mtime=0)
+    for data in (pack(spoilt) + pack(second), pack(spoilt, second)):
+        ids = [r[2]["warc-record-id"] for r in warc.salvage(data) if r[2]]
+        assert ids == [warc.urn(2)], data[:20]
+    # a length that was damaged doesn't hide the records behind it
+    cut = first.replace(b"Content-Length: %d\r\n\r\nHTTP" % 0, b"")
+    size = re.search(rb"Content-Length: (\d+)\r\n\r\nHTTP", cut)
+    broken = cut[: size.start(1)] + b"9" * len(size[1]) + cut[size.end(1) :]
+    assert warc.urn(2) in [r[2]["warc-record-id"] for r in warc.salvage(broken + second) if r[2]]
+
+
+def test_archives_that_are_null_empty_repeated_or_wide(spark):
+    good = gzip.compress(warc.record(1, "u", b"x"), mtime=0)
+    rows = [("a", good, 1), ("a", good, 1), ("b", None, 2), ("c", b"", 3), (None, good, 4)]
+    read = warc.read_archives(spark, spark.createDataFrame([(n, None if d is None else bytearray(d), k) for n, d, k in rows], "archive string, data binary, page_id long"))
+    # each row that has a record gives it, named or not
+    assert sorted((r.archive or "", r.record_type) for r in read.collect()) == [("", "response"), ("a", "response"), ("a", "response")]
+
+
+def test_rows_without_an_id_are_taken_as_the_mix_wants(spark):
+    ten = " ".join(["w"] * 100)
+    rows = [(None, ten, "a")] * 40 + [(None, ten, "b")] * 400 + [(k, ten, "c") for k in range(50)] + [(7, ten + " x", "c"), (7, None, "c"), (None, "two words", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = {(r.source_size, r.target) for r in mixing.mix(spark, docs).select("source_size", "target").distinct().collect()}
+    got = {r.source: r.n for r in mixing.mixture(spark, docs).groupBy("source").agg(F.sum(F.coalesce(F.size(F.split("text", " ")), F.lit(0))).alias("n")).collect()}
+    sizes = {"a": 4000, "b": 40_002, "c": 5101}
+    targets = {size: target for size, target in want}
+    for source, size in sizes.items():
+        assert abs(got[source] - targets[size]) <= 101, (source, got, targets)
+
+
+def test_mixes_of_odd_tables(spark):
+    kind = "doc_id long, text string, source string, sources array<string>, size long, copies int, target string"
+    long = "word " * 60_000
+    rows = [(1, long, "a", ["a", "b"], 5, 1, "t"), (2, None, "a", None, 5, 1, "t"), (3, "x y", None, [], 5, 1, "t"), (4, "x", "b", ["b", None, "q"], 5, 1, "t")]
+    docs = spark.createDataFrame(rows, kind)
+    assert {r.doc_id: r.size for r in mixing.mix(spark, docs).collect()} == {1: 60_000, 2: 0, 3: 2, 4: 1}
+    assert mixing.mix(spark, docs.limit(0)).collect() == []
+    over = {r.doc_id: (r["size"], r.copies) for r in mixing.mix_overlapping(spark, docs, {"a": 60_000, "b": 1}).collect()}
+    assert over[1] == (60_000, 1) and over[2] == (0, 0) or over[2][0] == 0
+    assert over[4] == (1, 1) and over[3][1] == 0
+    assert mixing.mix_overlapping(spark, docs.limit(0), {"a": 5}).collect() == []

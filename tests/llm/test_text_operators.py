@@ -218,18 +218,102 @@ def cost_by_hand(value):
     return min(c + math.log10(math.factorial(min(k, 20))) for k, c in best[-1].items())
 
 
-def test_guess_spans_by_hand(documents):
+CORES = ["pass", "password", "passwd", "passphrase", "passcode", "pwd", "pin", "secret", "token", "auth", "credential", "credentials", "login"]
+HEADS = "api access private client secret shared session signing account service master encryption".split()
+CORES += [h + x + y + z for h in HEADS for x in ("", "_", "-") for y in ("", "access", "access_", "access-") for z in ("key", "secret", "token")]
+NAMES = {c + x for c in CORES for x in ["", *(a + b + k for a in ("", "_", "-") for b in ("", "access", "access_", "access-") for k in ("key", "value", "token"))]}
+LONGEST_NAME = max(map(len, NAMES))
+
+
+def quoted_by_hand(text, at, quote):
+    """Where a value in quotes ends, if its quote is closed on its line and there is something in it."""
+    k = at
+    while k < len(text) and text[k] not in (quote, "\n"):
+        k += 2 if text[k] == "\\" else 1
+        if k > len(text) or text[k - 1] == "\n":
+            return None
+    return k if at < k < len(text) and text[k] == quote else None
+
+
+def bare_by_hand(text, at):
+    k = at
+    while k < len(text) and text[k] not in " \t\n\r\f\v":
+        if text[k] in "\"'" and not re.match("[A-Za-z0-9]", text[k + 1 : k + 2]):
+            break
+        if text[k] == "<":
+            end = re.search("[<>\n]", text[k + 1 :])
+            body = text[k + 1 : k + 1 + end.start()] if end and end[0] == ">" else ""
+            if re.match("/?[A-Za-z!]", body):
+                break
+        k += 1
+    return k
+
+
+def value_by_hand(text, end):
+    """(start, end) of the value behind a name that ends here."""
+    k = end + (text[end : end + 1] in ("'", '"') and end < len(text))
+    blank = k
+    while text[k : k + 1] == " ":
+        k += 1
+    if text[k : k + 2] in ("=>", ":="):
+        k += 2
+    elif k < len(text) and text[k] in ":=":
+        k += 1
+    elif text[k : k + 2].lower() == "is" and not re.match(r"\w", text[k + 2 : k + 3], re.A) and (k > blank or not re.match(r"\w", text[k - 1], re.A)):
+        k += 2
+    else:
+        return None
+    while text[k : k + 1] == " ":
+        k += 1
+    if k < len(text) and text[k] in "\"'":
+        if (stop := quoted_by_hand(text, k + 1, text[k])) is not None:
+            return k + 1, stop
+        k += 1
+    stop = bare_by_hand(text, k)
+    return (k, stop - (text[stop - 1] in ".,;)")) if stop > k else None
+
+
+def context_by_hand(text):
+    """Starts and ends of all values in credential context, from left to right."""
+    out, at, low = [], 0, "".join(c.lower() if c.isascii() else "?" for c in text)
+    while at < len(text):
+        best = None
+        before, here = text[at - 1 : at], text[at : at + 1]
+        if not re.match("[A-Za-z0-9]", before) or (re.match("[a-z0-9]", before) and re.match("[A-Z]", here)):
+            for n in range(LONGEST_NAME, 0, -1):
+                if low[at : at + n] in NAMES and at + n <= len(text):
+                    digits = at + n
+                    while digits < len(text) and text[digits] in "0123456789":
+                        digits += 1
+                    if best := value_by_hand(text, digits):
+                        break
+        if text.startswith("://", at):
+            user, colon, rest = text[at + 3 :].partition(":")
+            secret = re.match(r"""[^\s/"'<>]+""", rest, re.A) if colon and not re.search(r"""[\s/@"'<>]""", user, re.A) else None
+            if secret and secret[0].rfind("@") > 0:
+                start = at + 4 + len(user)
+                best = (start, start + secret[0].rfind("@"))
+        if best:
+            out.append(best)
+            # a sentence's sign behind the value belongs to what was read
+            at = best[1] + (text[best[1] : best[1] + 1] in (".", ",", ";", ")") and not text.startswith(("@",), best[1]))
+        else:
+            at += 1
+    return out
+
+
+def test_guess_spans_by_hand(spark, sf, documents):
     rng = random.Random(3)
-    parts = ["love", "Dragon", "p4ssw0rd", "qwert", "abcd", "4321", "1999-12-31", "xyxy", "aaaa", "kX9", "#", "é", "/012"]
+    parts = ["love", "Dragon", "p4ssw0rd", "qwert", "abcd", "4321", "1999-12-31", "xyxy", "aaaa", "kX9", "#", "é", "/012", "<b>", "a<b", "'x", '"', " "]
+    heads = ["pwd: ", "token is ", "ftp://me:", "api_key='", 'DB_PASS="', "my clientSecret => ", "secret_access_key:=", "compass: ", '"pin2" : ']
     texts = [d.text or "" for d in documents]
-    texts += [f"my {head}{''.join(rng.choices(parts, k=rng.randrange(1, 6)))}{end} rest" for head in ("pwd: ", "token is ", "ftp://me:", "api_key='") for end in ("", "!", "'", "@h/") for _ in range(24)]
+    texts += [f"my {head}{''.join(rng.choices(parts, k=rng.randrange(1, 6)))}{end} rest" for head in heads for end in ("", "!", "'", "@h/", '", b', ".</p>", "\n") for _ in range(12)]
     found = 0
     for text in texts:
         want = []
-        for m in secrets.CONTEXT.finditer(text):
-            value = (m[1] or m[2]).rstrip(".!?),;")
-            if len(value) >= 6 and (cost := cost_by_hand(value)) >= secrets.GUESSES:
-                want.append((m.start(m.lastindex), 3, m.start(m.lastindex) + len(value), round(min(cost, secrets.ENOUGH), 6)))
+        for a, b in context_by_hand(text) if re.search("pass|pwd|pin|secret|token|auth|credential|login|key|://", text, re.I) else ():
+            if (cost := cost_by_hand(text[a:b])) >= secrets.GUESSES:
+                want.append((a, 3, b, round(min(cost, secrets.ENOUGH), 6)))
         got = secrets.scan(text)
         assert [(*x[:3], round(x[3], 6)) for x in got if x[1] == 3] == sorted(want), text
         assert [x[:3] for x in got if x[1] < 3] == base_spans(text)
@@ -237,6 +321,49 @@ def test_guess_spans_by_hand(documents):
     assert found > 50
 
 
+def test_places_of_values_on_larger_table(spark, sf):
+    """The grammar alone, on every text of a larger table that has a credential word."""
+    texts = [r.text for r in spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet").select("text").collect() if r.text]
+    for text in texts:
+        for m in re.finditer("pass|pwd|secret|token|auth|credential|login|key|://", text, re.I):
+            piece = text[max(0, m.start() - 40) : m.end() + 200]
+            got = [m.span(m.lastindex) for m in secrets.CONTEXT.finditer(piece)]
+            assert [(a, b - (piece[b - 1] in secrets.SENTENCE and piece[a - 1] not in "\"'" and piece[b : b + 1] != "@")) for a, b in got] == context_by_hand(piece), piece
+
+
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ('pwd: "Xq9<zK2vLm8Tq"', "Xq9<zK2vLm8Tq"),
+        ("pwd:'ab\"Kd8#2kz0QpX'", 'ab"Kd8#2kz0QpX'),
+        ('password: "correct horse battery staple qz jx"', "correct horse battery staple qz jx"),
+        ("DB_PASS=xK9#vQ2mZ7pL3", "xK9#vQ2mZ7pL3"),
+        ("MYSQL_PWD: g7#Kq!zX2p", "g7#Kq!zX2p"),
+        ("secret_key: xK9vQ2mZ7pL3tt", "xK9vQ2mZ7pL3tt"),
+        ("AWS_SECRET_ACCESS_KEY=wJalrXUtn#FEMI/K7MDENG", "wJalrXUtn#FEMI/K7MDENG"),
+        ("pwd: Zx9!kQ2#vv!!", "Zx9!kQ2#vv!!"),
+        ("pwd: é#9Z!", "é#9Z!"),
+        ("<td>password: Zx9!kQ2#vv</td>", "Zx9!kQ2#vv"),
+        ("ftp://me:Zx9!kQ2#vv@h/", "Zx9!kQ2#vv"),
+        ("token is Xq9zK2vLm8Tq.", "Xq9zK2vLm8Tq"),
+        ("http://host:8080/path/x9Kq#2vv", None),
+        ("compass: Zx9!kQ2#vv", None),
+        ('password: "love"', None),
+    ],
+)
+def test_values_of_real_lines(text, value):
+    got = [text[a:b] for a, k, b, _ in secrets.scan(text) if k == 3]
+    assert got == ([value] if value else [])
+    assert secrets.redact(text) == (text.replace(value, "[SECRET]") if value else text)
+
+
+def test_secrets_of_an_empty_table(spark):
+    from pyspark.sql import functions as F
+
+    none = docs_of(spark, [])
+    assert secrets.find_secrets(spark, none).collect() == [] and secrets.without_secrets(spark, none.withColumn("n_chars", F.lit(0))).collect() == []
+
+
 def test_guess_cost_orders_values():
     cost = secrets.guess_cost
     assert cost("") == 0
