@@ -1,8 +1,8 @@
 """Statistical charset detection for bytes that declare none.
 
-Each candidate has a coding-state machine, a pattern over bytes that walks
-from character to character and leaves out what it can't be in; a page in which
-it leaves out too much is not in that charset. What it reads is held against
+Each candidate's coding-state machine, its decoder, walks from character to
+character and marks what it can't be; a page in which it marks too much is not
+in that charset. What it reads is held against
 the characters that running text of its languages mostly consists of, and
 against how such text is built: letters of one alphabet, in lower case after
 lower case. The candidate with the highest score is the charset.
@@ -17,7 +17,6 @@ from __future__ import annotations
 import codecs
 import re
 import unicodedata
-from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cache
 
@@ -43,18 +42,12 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-@cache
-def _set_of(text: str) -> np.ndarray:
-    return np.unique(_codes(text))
-
-
 @dataclass(frozen=True)
 class Wide:
-    """A charset of several bytes a character: its machine reads runs of characters; `usual` is how much of them frequent ones are in running text."""
+    """A charset of several bytes a character; `usual` is how much of running text its frequent ones are."""
 
     name: str
     codec: str
-    machine: re.Pattern
     frequent: str
     usual: float
     #: Bounds of the code points that its languages write in; all else is rare.
@@ -63,13 +56,12 @@ class Wide:
 
 HAN, KANA_RANGE, HANGUL_RANGE, WIDE_MARKS = (0x4E00, 0x9FFF), (0x3041, 0x30FF), (0xAC00, 0xD7A3), (0x3000, 0x303F)
 FULL_WIDTH, QUOTES = (0xFF00, 0xFF5E), (0x2010, 0x2026)
-#: A letter of two bytes, whose second may be ASCII, and what stands for one in charsets of fixed rows.
 WIDES = (
-    Wide("gbk", "gb18030", re.compile(rb"(?:[\x81-\xfe](?:[\x40-\x7e\x80-\xfe]|[0-9][\x81-\xfe][0-9]))+"), HANS + MARKS, 0.45, (HAN, WIDE_MARKS, FULL_WIDTH, QUOTES)),
-    Wide("big5hkscs", "big5hkscs", re.compile(rb"(?:[\x87-\xfe][\x40-\x7e\xa1-\xfe])+"), HANT + MARKS, 0.35, (HAN, WIDE_MARKS, FULL_WIDTH, QUOTES)),
-    Wide("euc-kr", "cp949", re.compile(rb"(?:[\x81-\xfe][\x41-\x5a\x61-\x7a\x81-\xfe])+"), HANGUL + MARKS, 0.5, (HANGUL_RANGE, WIDE_MARKS, QUOTES)),
-    Wide("shift_jis", "cp932", re.compile(rb"(?:[\x81-\x9f\xe0-\xfc][\x40-\x7e\x80-\xfc]|[\xa1-\xdf])+"), KANA + MARKS, 0.45, (KANA_RANGE, HAN, WIDE_MARKS, FULL_WIDTH, QUOTES)),
-    Wide("euc-jp", "euc_jp", re.compile(rb"(?:[\xa1-\xfe]{2}|\x8e[\xa1-\xdf]|\x8f[\xa1-\xfe]{2})+"), KANA + MARKS, 0.45, (KANA_RANGE, HAN, WIDE_MARKS, FULL_WIDTH, QUOTES)),
+    Wide("gbk", "gb18030", HANS + MARKS, 0.45, (HAN, WIDE_MARKS, FULL_WIDTH, QUOTES)),
+    Wide("big5hkscs", "big5hkscs", HANT + MARKS, 0.35, (HAN, WIDE_MARKS, FULL_WIDTH, QUOTES)),
+    Wide("euc-kr", "cp949", HANGUL + MARKS, 0.5, (HANGUL_RANGE, WIDE_MARKS, QUOTES)),
+    Wide("shift_jis", "cp932", KANA + MARKS, 0.45, (KANA_RANGE, HAN, WIDE_MARKS, FULL_WIDTH, QUOTES)),
+    Wide("euc-jp", "euc_jp", KANA + MARKS, 0.45, (KANA_RANGE, HAN, WIDE_MARKS, FULL_WIDTH, QUOTES)),
 )
 
 
@@ -98,70 +90,71 @@ NARROWS = (
 )
 
 
-def _within(codes: np.ndarray, bounds: tuple[tuple[int, int], ...]) -> np.ndarray:
-    out = np.zeros(len(codes), bool)
+@cache
+def _table(text: str, bounds: tuple[tuple[int, int], ...]) -> tuple[np.ndarray, np.ndarray]:
+    """For each code point of the basic plane, whether it is in text, and whether within the bounds; all others count as the last."""
+    own, inside = np.zeros(0x10000, bool), np.zeros(0x10000, bool)
+    own[_codes(text)] = True
     for low, high in bounds:
-        out |= (codes >= low) & (codes <= high)
-    return out
+        inside[low : high + 1] = True
+    return own, inside
 
 
 def wide_score(raw: bytes, high: int, c: Wide) -> float:
     """How well running text in this charset explains `raw`, which has so many bytes outside ASCII; from 0 to about 1."""
-    runs = c.machine.findall(raw)
-    data = np.frombuffer(b"".join(runs), np.uint8)
-    fits = int((data >= 128).sum())
-    if high - fits > MISFIT * high + 1:  # the last character may be cut
-        return 0.0
-    # runs are of whole characters, so that a line break between them is none's second byte
-    codes = _codes(b"\n".join(runs).decode(c.codec, "replace"))
-    unknown = int((codes == 0xFFFD).sum())
+    codes = _codes(raw.decode(c.codec, "replace"))
     codes = codes[codes >= 128]
-    if not len(codes) or unknown > MISFIT * len(codes):
+    unknown = int((codes == 0xFFFD).sum())
+    if unknown > MISFIT * high + 1 or unknown == len(codes):  # the last character may be cut
         return 0.0
-    frequent = np.isin(codes, _set_of(c.frequent)).mean()
-    script = _within(codes, c.script)
+    codes = codes[codes != 0xFFFD]
+    frequent, script = (t[np.minimum(codes, 0xFFFF)].mean() for t in _table(c.frequent, c.script))
     # half-width katakana and rare signs speak against a charset, since they take any byte
-    return float(min(1.0, frequent / c.usual) * script.mean() ** 2)
+    return float(min(1.0, frequent / c.usual) * script**2)
 
 
 @cache
-def _letters(codec: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each byte: its code point, whether it is a letter, whether it is an upper-case one."""
-    points = np.full(256, 0xFFFD, np.int64)
-    for b in range(256):
-        try:
-            points[b] = ord(bytes([b]).decode(codec))
-        except UnicodeDecodeError:
-            pass
-    kinds = [unicodedata.category(chr(p)) for p in points.tolist()]
-    return points, np.array([k[0] in "LM" for k in kinds]), np.array([k == "Lu" for k in kinds])
-
-
-def narrow_score(raw: bytes, high: int, c: Narrow) -> float:
-    """As wide_score: the share of high bytes that are letters of the alphabet where such letters stand, or signs beside a space."""
-    data = np.frombuffer(raw, np.uint8)
-    points, letter, upper = _letters(c.codec)
-    top = data >= 128
-    unknown = top & (points[data] == 0xFFFD)
-    if unknown.sum() > MISFIT * high:
+def _letters(c: Narrow) -> tuple[np.ndarray, ...]:
+    """For each byte, whether it is unknown, a letter, an upper-case one, one of the alphabet, a frequent one."""
+    points = [bytes([b]).decode(c.codec, "replace") for b in range(256)]
+    kinds = [unicodedata.category(p) for p in points]
+    alphabet = _table("", c.alphabet)[1]
+    return tuple(np.array(x, bool) for x in ([p == "\ufffd" for p in points], [k[0] in "LM" for k in kinds], [k == "Lu" for k in kinds], [bool(alphabet[ord(p)]) for p in points], [p in c.frequent for p in points]))
+
+
+def _triples(raw: bytes) -> tuple[np.ndarray, ...]:
+    """(byte before, byte, byte after, how often) of the different places of bytes outside ASCII."""
+    data = np.frombuffer(b" " + raw + b" ", np.uint8).astype(np.int32)
+    at = np.flatnonzero(data >= 128)
+    key, n = np.unique(data[at - 1] << 16 | data[at] << 8 | data[at + 1], return_counts=True)
+    return key >> 16, key >> 8 & 255, key & 255, n
+
+
+def narrow_score(triples: tuple[np.ndarray, ...], letters: int, c: Narrow) -> float:
+    """As wide_score: the share of high bytes that are letters of the alphabet where such letters stand, or signs beside a space.
+
+    `letters` is the number of letters of ASCII.
+    """
+    before, byte, after, n = triples
+    unknown, letter, upper, alphabet, frequent = _letters(c)
+    high = n.sum()
+    if n[unknown[byte]].sum() > MISFIT * high:
         return 0.0
     latin = not c.frequent
-    own = top & letter[data] & _within(points[data], c.alphabet)
-    before, after = np.roll(data, 1), np.roll(data, -1)
-    before[0] = after[-1] = 32
-    side = lambda x: (x < 128) & letter[x] if latin else letter[x] & (x >= 128)
+    own = letter[byte] & alphabet[byte]
+    side = lambda x: letter[x] & ((x < 128) if latin else (x >= 128))
     # a capital inside a word of small letters isn't how text is written
-    odd = upper[data] & letter[before] & ~upper[before]
-    placed = own & ~odd & (side(before) | side(after) | (latin & own & letter[before] & letter[after]))
-    sign = top & ~letter[data] & ~(letter[before] & letter[after] & (before >= 128) & (after >= 128))
-    share = (placed.sum() + 0.6 * (sign & ~unknown).sum()) / high
+    odd = upper[byte] & letter[before] & ~upper[before]
+    placed = own & ~odd & (side(before) | side(after) | (latin & letter[before] & letter[after]))
+    sign = ~letter[byte] & ~unknown[byte] & ~(letter[before] & letter[after] & (before >= 128) & (after >= 128))
+    share = (n[placed].sum() + 0.6 * n[sign].sum()) / high
     if latin:
         # letters outside ASCII are few in Latin text
-        share *= min(1.0, 1.4 * (1 - high / max(1, int((letter[data] | top).sum()))) ** 0.5)
+        share *= min(1.0, 1.4 * (1 - high / max(1, letters + high)) ** 0.5)
     elif not own.any():
         return 0.0
     else:
-        share *= min(1.0, np.isin(points[data[own]], _set_of(c.frequent)).mean() / c.usual)
+        share *= min(1.0, n[own & frequent[byte]].sum() / n[own].sum() / c.usual)
     return float(c.weight * share**2)
 
 
@@ -169,18 +162,20 @@ ESCAPES = ((b"\x1b$B", "iso-2022-jp"), (b"\x1b$@", "iso-2022-jp"), (b"\x1b$)C",
 MARKED = ((codecs.BOM_UTF8, "utf-8-sig"), (codecs.BOM_UTF32_LE, "utf-32"), (codecs.BOM_UTF32_BE, "utf-32"), (codecs.BOM_UTF16_LE, "utf-16"), (codecs.BOM_UTF16_BE, "utf-16"))
 
 
+ASCII_LETTERS = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+NO_LETTERS = bytes(b for b in range(256) if b not in ASCII_LETTERS)
+
+
 def scores(raw: bytes) -> dict[str, float]:
     """The score of every candidate that could be meant; none for ASCII."""
     high = len(raw.translate(None, bytes(range(128))))
     if not high:
         return {}
-    out: dict[str, float] = {}
-    kinds: list[tuple[Callable, tuple]] = [(wide_score, WIDES), (narrow_score, NARROWS)]
-    for score, candidates in kinds:
-        for c in candidates:
-            if s := score(raw, high, c):
-                out[c.name] = s
-    return out
+    out = {c.name: wide_score(raw, high, c) for c in WIDES}
+    if max(out.values()) < max(c.weight for c in NARROWS):  # else none of these can win
+        triples, letters = _triples(raw), len(raw.translate(None, NO_LETTERS))
+        out |= {c.name: narrow_score(triples, letters, c) for c in NARROWS}
+    return {k: v for k, v in out.items() if v}
 
 
 def is_utf8(raw: bytes) -> bool:
