@@ -15,8 +15,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.functions import article, charsets, dates, text, urls
-from presswork.operators import crawl, dedup, numbering, quality, seen
+from presswork.functions import article, charsets, dates, dom, paths, text, urls
+from presswork.operators import crawl, dedup, numbering, quality, routes, seen
 from presswork.plans import crawl as plan
 from presswork.plans.builder import Query
 from presswork.sources import control, readers, sinks
@@ -131,6 +131,36 @@ def link_pattern(spark, d):
     return plan.links(table(spark, d, "pages"), pattern="/[a-z]{2,}")
 
 
+def _between(tag: str, attrs: str = "") -> str:
+    return f"replace(regexp_extract(html, '(?s)<{tag}{attrs}>(.*?)</{tag}>', 1), '&amp;', '&')"
+
+
+MENU = "regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1)"
+SITE = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)"
+
+
+@query(f"""SELECT page_id, 'title' AS name, CAST(1 AS INTEGER) AS place, {_between("title")} AS value FROM pages
+  UNION ALL SELECT page_id, 'heading', 1, {_between("h1")} FROM pages UNION ALL SELECT page_id, 'advert', 1, {_between("div", ' class="ad"')} FROM pages
+  UNION ALL SELECT page_id, 'menu', CAST(i AS INTEGER), regexp_extract_all({MENU}, '<a [^>]*>(.*?)</a>', 1)[i] FROM pages, range(1, 60) t(i) WHERE i <= len(regexp_extract_all({MENU}, '<a [^>]*>'))
+  UNION ALL SELECT page_id, 'link', CAST(i AS INTEGER), {SITE} || regexp_extract_all({MENU}, 'href="([^"]*)"', 1)[i] FROM pages, range(1, 60) t(i) WHERE i <= len(regexp_extract_all({MENU}, 'href="'))
+  UNION ALL SELECT page_id, 'second', 1, regexp_extract_all({MENU}, '<a [^>]*>(.*?)</a>', 1)[2] FROM pages WHERE len(regexp_extract_all({MENU}, '<a [^>]*>')) > 1""")
+def page_nodes(spark, d):
+    """XPath and CSS paths of a page on one parse, as a table function that is joined laterally."""
+    wanted = paths.wanted(title="//head/title", heading="css:article > h1", advert='//div[@class="ad"]', menu="css:nav li a", link="//nav//a[@href]/@href", second="//nav/ul/li[2]/a", none="//h9|][")
+    p = table(spark, d, "pages")
+    return p.lateralJoin(paths.html_paths(F.col("html").outer(), F.col("url").outer(), wanted)).select("page_id", "name", "place", "value")
+
+
+@query("""SELECT page_id, 0 AS lists, 0 AS scripts, 0 AS styles, CAST(len(regexp_extract_all(html, '<p>')) AS BIGINT) AS classes, CAST(len(regexp_extract_all(html, '<b>')) AS BIGINT) AS bold, TRUE AS footer FROM pages""")
+def page_rewritten(spark, d):
+    """Pages without menus, adverts, scripts and presentational attributes, which all paragraphs are given first."""
+    clean = paths.rewritten(paths.dropping("css:nav"), paths.dropping('//div[contains(@class, "ad")]', with_tail=False), paths.dropping("//script|//style"), dom.plain_attributes)
+    styled = F.replace("html", F.lit("<p>"), F.lit('<p style="color:red" bgcolor="#fff" class="k">'))
+    count = lambda pattern: F.regexp_count("clean", F.lit(pattern)).cast("long")
+    pages = table(spark, d, "pages").select("page_id", clean(styled).alias("clean"))
+    return pages.select("page_id", count("<li").alias("lists"), count("<script").alias("scripts"), count(r"style=|bgcolor=|class=\"ad").alias("styles"), count('class="k"').alias("classes"), count("<b>").alias("bold"), F.col("clean").contains("<footer>").alias("footer"))
+
+
 HOST = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1))"
 
 
@@ -336,6 +366,20 @@ def seen_partitions(spark, d):
     return store.rows(now).select("key", F.col("first_seen").cast("timestamp_ntz").alias("first_seen"))
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+@query(f"""WITH l AS (SELECT unnest(string_split('{LETTERS}', '')) AS c), p AS (SELECT a.c || b.c || x AS pat, row_number() OVER (ORDER BY s, a.c, b.c) AS k, 's' || s || '_' || a.c AS store
+    FROM l a, l b, (VALUES (0, '[a-z]*\\.example\\.com/(\\w)(\\w*)'), (1, '\\.example\\.com/[0-9]'), (2, '[a-z]\\.example\\.(?:com|org)/')) t(s, x)),
+  m AS (SELECT page_id, min(k) AS k FROM pages JOIN p ON regexp_matches(url, pat) GROUP BY 1)
+  SELECT page_id, coalesce(store, 'rest') AS store, CASE WHEN store LIKE 's0%' THEN regexp_extract(url, pat, 1) || regexp_extract(url, pat, 2) ELSE url END AS route_key FROM pages LEFT JOIN m USING (page_id) LEFT JOIN p USING (k)""")
+def many_routes(spark, d):
+    """Pages by the first of 2028 patterns: two letters before a domain, in three forms."""
+    forms = (r"[a-z]*\.example\.com/(\w)(\w*)", r"\.example\.com/[0-9]", r"[a-z]\.example\.(?:com|org)/")
+    table_of = [dedup.Route(a + b + form, f"s{s}_{a}") for s, form in enumerate(forms) for a in LETTERS for b in LETTERS]
+    return routes.routed_by_many(table(spark, d, "pages").select("page_id", "url"), table_of, "rest").select("page_id", "store", "route_key")
+
+
 NOW = "2024-01-31 12:00:00"
 RULES = [("view", 10 * dedup.DAY), ("click", 3 * dedup.DAY), ("error", 5 * dedup.DAY), ("signup", 3 * 3600)]
 RULES_SQL = "(VALUES " + ", ".join(f"('{s}', {n})" for s, n in RULES) + ") r(store, ttl)"
