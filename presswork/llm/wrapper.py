@@ -33,6 +33,7 @@ import zlib
 from collections.abc import Iterator
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,7 +79,11 @@ NOISE = _words(
 FRAME = _words(r"header|footer|foot|side|rail|widget\w*|aside|search\w*|copyright|legal|disclaimer|tags?")
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>])*+)>|</[^a-zA-Z][^>]*+>", re.S)
 _ATTR = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([^\s=/>"']+)""")
-#: Elements that are nested deeper are laid flat.
+#: Words that, as parts of a longer name inside an article, leave it noise; with any other word beside it (related-work) the element's
+#: own links decide, and so they do for a word that an article has, too.
+BESIDE = re.compile(r"(?:box|slot|wrap|wrapper|container|list|items?|section|block|area|inner|outer|content|bar|links?|buttons?|btn|icons?|posts?|articles?|stories|top|bottom|left|right|unit|widget\w*|form|text|title|\d+)$", re.I)
+SHARED = re.compile(r"discussion$|related$|social$|alert\w*$|notices?$", re.I)
+#: Elements that are nested deeper are laid flat, but for one around what names call noise, which keeps it together.
 DEPTH = 300
 #: A template node that holds the counts of twice so many texts goes back to so many; a text's count is then short by at most
 #: what is counted as SHORT, a part of TEXTS + 1 of the node's pages or less.
@@ -119,6 +124,7 @@ def parse(page: str) -> Node:
     end is closed."""
     root = Node("#")
     top, at, size, deep, flat = root, 0, len(page), 0, 0
+    held: tuple[Node, int] | None = None  # an element of noise below DEPTH, and what was laid flat around it
 
     def text(s: str) -> None:
         if s:
@@ -146,6 +152,8 @@ def parse(page: str) -> Node:
                 x = x.parent
             if x is not root and x.tag == tag:
                 top = x.parent
+                if held and x is held[0]:
+                    flat, held = held[1], None
             continue
         if tag in CLOSES_P:
             x = top
@@ -185,7 +193,9 @@ def parse(page: str) -> Node:
         while x is not root:
             deep, x = deep + 1, x.parent
         if deep < DEPTH:
-            top = node
+            top, held = node, None
+        elif held is None and tag not in INLINE and noisy(node, True):
+            top, held, flat = node, (node, flat), 0
         else:  # the element stays empty, and what it holds stands behind it
             flat += 1
     return root
@@ -226,15 +236,53 @@ def shape(node: Node) -> list:
     return node.form
 
 
+#: Bits that the programme for a common subsequence holds at once, 16 MB; longer lists are halved.
+TABLE_BITS = 1 << 27
+
+
+def _lengths(x: list, y: list) -> np.ndarray:
+    """Lengths of the longest common subsequences of y with the first 0, 1, ... of x."""
+    at: dict = {}
+    for i, k in enumerate(x):
+        at[k] = at.get(k, 0) | 1 << i
+    full = v = (1 << len(x)) - 1
+    for k in y:
+        u = v & at.get(k, 0)
+        v = ((v + u) | (v - u)) & full
+    bits = np.unpackbits(np.frombuffer(v.to_bytes(len(x) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(x)]
+    return np.concatenate([[0], np.cumsum(bits == 0)])
+
+
 def common(x: list, y: list) -> list[tuple[int, int]]:
-    """Places (i, j) of a longest common subsequence, by a programme over bits of a number; None equals nothing."""
+    """Places (i, j) of a longest common subsequence; None equals nothing.
+
+    Equal ends are taken first. What is between goes through a programme over
+    bits of a number, whose rows are kept; lists too long for that are cut where
+    the lengths of both halves add up to the most, which takes the memory of a row.
+    """
+    head = 0
+    while head < len(x) and head < len(y) and x[head] == y[head] and x[head] is not None:
+        head += 1
+    tail = 0
+    while tail < min(len(x), len(y)) - head and x[-1 - tail] == y[-1 - tail] and x[-1 - tail] is not None:
+        tail += 1
+    ends = [(i, i) for i in range(head)], [(len(x) - k, len(y) - k) for k in range(tail, 0, -1)]
+    x, y = x[head : len(x) - tail], y[head : len(y) - tail]
     both = set(x) & set(y) - {None}
     if not both:
-        return []
-    if len(both) < len(x):  # what has no equal is left out
-        p, q = ([i for i, k in enumerate(z) if k in both] for z in (x, y))
-        if len(p) < len(x) or len(q) < len(y):
-            return [(p[i], q[j]) for i, j in common([x[i] for i in p], [y[j] for j in q])]
+        return ends[0] + ends[1]
+    p, q = ([i for i, k in enumerate(z) if k in both] for z in (x, y))  # what has no equal is left out
+    x, y = [x[i] for i in p], [y[j] for j in q]
+    if (len(x) + 64) * len(y) <= TABLE_BITS or len(y) < 2:
+        found = _programme(x, y)
+    else:
+        half = len(y) // 2
+        cut = int(np.argmax(_lengths(x, y[:half]) + _lengths(x[::-1], y[half:][::-1])[::-1]))
+        found = common(x[:cut], y[:half]) + [(i + cut, j + half) for i, j in common(x[cut:], y[half:])]
+    return ends[0] + [(p[i] + head, q[j] + head) for i, j in found] + ends[1]
+
+
+def _programme(x: list, y: list) -> list[tuple[int, int]]:
     n = len(x)
     at: dict = {}
     for i, k in enumerate(x):
@@ -615,7 +663,32 @@ def noisy(node: Node, inside: bool) -> bool:
     if node.tag in ("html", "body", "main") or not ("class" in a or "id" in a):
         return False
     names = re.sub(r"(?:^|(?<=\s))(?:no|has|with|without)[-_]\S+", "", f"{a.get('class', '')} {a.get('id', '')}", flags=re.I)
-    return bool(NOISE.search(names) or (not inside and FRAME.search(names))) and not _holds(node, ("article", "main", "h1"))
+    if inside:
+        told = any(_plainly(x) for x in names.split()) or (bool(NOISE.search(names)) and _linked(node))
+    else:
+        told = bool(NOISE.search(names) or FRAME.search(names))
+    return told and not _holds(node, ("article", "main", "h1"))
+
+
+def _plainly(name: str) -> bool:
+    """Whether a class or id says noise by itself: all its parts do, or are such as stand beside such a part."""
+    parts = re.split(r"[-_]", name)
+    noise = [p for p in parts if NOISE.fullmatch(p) and not SHARED.match(p)]
+    return bool(NOISE.fullmatch(name) and not SHARED.match(name)) or (bool(noise) and all(p in noise or not p or BESIDE.match(p) or NOISE.fullmatch(p) for p in parts))
+
+
+def _linked(node: Node) -> bool:
+    """Whether half of an element's letters, or more, are in links, buttons and fields."""
+    inside = every = 0
+    todo: list[tuple[Node | str, bool]] = [(node, False)]
+    while todo:
+        x, link = todo.pop()
+        if isinstance(x, str):
+            n = len(x) - x.count(" ")
+            every, inside = every + n, inside + n * link
+        else:
+            todo.extend((c, link or x.tag in ("a", "button", "form", "option")) for c in x.children)
+    return 2 * inside >= every
 
 
 def constant(template: list | None, texts: dict) -> bool:
