@@ -747,6 +747,8 @@ def blocks(node: Node, repeated: bool = False) -> list[str]:
                     close()
                 else:
                     walk(c, own if c.tag in INLINE and not c.blocks else repeated or not c.same)
+            elif c.tag in BLOCK:
+                close()  # what stands before and behind it aren't one block
 
     walk(node, repeated or not node.same)
     close()
