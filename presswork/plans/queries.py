@@ -19,7 +19,7 @@ from presswork.functions import article, charsets, dates, dom, paths, text, urls
 from presswork.operators import crawl, dedup, numbering, quality, routes, seen
 from presswork.plans import crawl as plan
 from presswork.plans.builder import Query
-from presswork.sources import control, readers, sinks
+from presswork.sources import control, queues, readers, sinks
 from presswork.storage import cutter, dropped_at_exit, shared_folder
 from presswork.streaming import runs, streams
 
@@ -743,6 +743,20 @@ def retry_queue(spark, d):
     return streams.run_in_parts(parts, lambda s: runs.retries(s, 90 * 86_400, 3), "retries")
 
 
+@query("""WITH e AS (SELECT event_id, row_number() OVER (ORDER BY event_id DESC) AS down, row_number() OVER (ORDER BY event_id) AS up FROM events)
+  SELECT event_id, 'newest' AS popped FROM e WHERE down <= 1000 UNION ALL SELECT event_id, 'oldest' FROM e WHERE up <= 500 AND down > 1000 UNION ALL SELECT event_id, 'left' FROM e WHERE up > 500 AND down > 1000""")
+def queue_source(spark, d):
+    """Events in a durable queue, pushed in two commits: the newest thousand are popped, then the oldest five hundred."""
+    folder = f"{shared_folder(spark)}/presswork/queue-{uuid.uuid4().hex}"
+    e = table(spark, d, "events").select("event_id")
+    half = e.agg(F.expr("percentile_approx(event_id, 0.5)")).first()[0]
+    for part in (e.where(F.col("event_id") <= half), e.where(F.col("event_id") > half)):
+        queues.push(part.orderBy("event_id").select(F.col("event_id").cast("string").alias("value")), folder)
+    dropped_at_exit(spark, folder)
+    parts = {"newest": queues.pop(spark, folder, 1000), "oldest": queues.pop(spark, folder, 500, newest=False), "left": queues.messages(spark, folder)}
+    return reduce(DataFrame.unionByName, (p.select(F.col("value").cast("long").alias("event_id"), F.lit(k).alias("popped")) for k, p in parts.items()))
+
+
 # Text
 
 

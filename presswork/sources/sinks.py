@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presswork.operators.crawl import keep_latest
+from presswork.sources import queues
 
 Writer = Callable[[DataFrame, str, dict], None]
 
@@ -43,8 +44,8 @@ def _kafka(df: DataFrame, uri: str, options: dict) -> None:
 
 
 def _queue(df: DataFrame, uri: str, options: dict) -> None:
-    """A queue is a folder of JSON messages, in the order of their files."""
-    as_json(df).write.mode("append").text(options.get("path") or urlsplit(uri).path)
+    """A queue of JSON messages in the folder that the address or `path` names; one commit has all rows."""
+    queues.push(as_json(df), options.get("path") or urlsplit(uri).path)
 
 
 #: How posts are written, by scheme. A scheme that is None takes nothing.

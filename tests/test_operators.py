@@ -10,7 +10,7 @@ from presswork.functions import dates, text, urls
 from presswork.operators import crawl, dedup, quality
 from presswork.plans import crawl as plan
 from presswork.plans.builder import Query
-from presswork.sources import readers, sinks
+from presswork.sources import queues, readers, sinks
 from presswork.streaming import streams
 
 
@@ -141,7 +141,7 @@ def test_sources(spark, tmp_path):
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "é"), (2, None)], "id int, t string")
     assert sinks.send(df, f"parquet://{tmp_path}/p") and spark.read.parquet(f"{tmp_path}/p").count() == 2
-    assert sinks.send(df, f"redis://h{tmp_path}/q") and sorted(r.value for r in spark.read.text(f"{tmp_path}/q").collect()) == ['{"id":1,"t":"é"}', '{"id":2}']
+    assert sinks.send(df, f"redis://h{tmp_path}/q") and sorted(r.value for r in queues.messages(spark, f"{tmp_path}/q").collect()) == ['{"id":1,"t":"é"}', '{"id":2}']
     assert sinks.send(df, "zmq://x") is False and sinks.sink_for("rocket_mq://x")[0] == "rocketmq"
     with pytest.raises(ValueError):
         sinks.sink_for("smtp://x")
