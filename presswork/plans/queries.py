@@ -357,7 +357,7 @@ def seen_partitions(spark, d):
     """Addresses of the events in a store of days and buckets, added in three batches, of which it keeps ten days."""
     e = table(spark, d, "events").select(F.concat(F.lit("http://h/"), ((F.col("event_id") * 7 + F.col("user_id")) % 4000).cast("string")).alias("key"), F.col("ts").cast("timestamp").alias("first_seen"))
     now = dt.datetime(2024, 1, 31, 12, tzinfo=dt.timezone.utc)
-    store = seen.SeenStore(spark, f"{shared_folder(spark)}/presswork/seen-{uuid.uuid4().hex}", buckets=4, ttl_seconds=10 * dedup.DAY)
+    store = seen.SeenStore(spark, f"{shared_folder(spark)}/presswork/seen-{uuid.uuid4().hex}", buckets=2, ttl_seconds=10 * dedup.DAY)
     day = F.to_date("first_seen")
     for part in (e.where(day < "2024-01-11"), e.where(day.between("2024-01-11", "2024-01-20")), e.where(day > "2024-01-20")):
         store.add(part, "key")

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,16 +40,17 @@ class FirstSeen(StatefulProcessor):
         self.seen = handle.getValueState("first", StructType([StructField("us", LongType())]))
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        frames = list(rows)
-        df = pd.concat(frames).sort_values(self.ts, kind="stable")
+        df = pd.concat(list(rows)).sort_values(self.ts, kind="stable")
+        us = df[self.ts].astype("datetime64[us, UTC]" if df[self.ts].dt.tz is not None else "datetime64[us]").astype("int64").to_numpy()
         first = self.seen.get()[0] if self.seen.exists() else None
-        keep = []
-        for us in df[self.ts].astype("datetime64[us, UTC]" if df[self.ts].dt.tz is not None else "datetime64[us]").astype("int64"):
-            keep.append(first is None or us - first >= self.ttl)
-            if keep[-1]:
-                first = us
+        keep = np.zeros(len(us), bool)
+        # from one row that is let through to the next: those between aren't looked at
+        at = 0 if first is None else int(np.searchsorted(us, first + self.ttl))
+        while at < len(us):
+            keep[at], first = True, int(us[at])
+            at = max(at + 1, int(np.searchsorted(us, first + self.ttl)))
         if first is not None:
-            self.seen.update((int(first),))
+            self.seen.update((first,))
         yield df[keep]
 
     def close(self) -> None:
