@@ -5,7 +5,8 @@ sequence from its high end for queries with a positive component there and from
 its low end for those with a negative one. A candidate's score is bounded from
 below by the components read so far plus the least the unread lists can hold,
 and from above by those plus the lists' frontier values. Lists that weigh more
-for a query are read deeper. Reading stops for a query once at most RESOLVE
+for a query are read deeper; every entry that is read adds to its candidate's
+sum, and no other is touched. Reading stops for a query once at most RESOLVE
 candidates' upper bounds reach the k-th best lower bound; their scores are then
 resolved.
 
@@ -38,16 +39,16 @@ _GAIN = np.maximum.accumulate(((1 - _SHARE) / (np.exp(-_PLACES * _PLACES / 2) /
 
 
 class Lists:
-    """The sorted lists of a site's candidates x (a row each). Sums of whole numbers are exact in the type of x."""
+    """The sorted lists of a site's candidates x (a row each). Sums of whole numbers are exact in the type of x, and in double precision."""
 
     def __init__(self, x: np.ndarray):
         self.x, (self.n, self.dims) = x, x.shape
         order = np.argsort(x, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(x, order, axis=0)
-        self.places = np.uint16 if self.n < 1 << 16 else np.uint32
-        self.ranks = np.empty(x.shape, self.places)
-        np.put_along_axis(self.ranks, order, np.broadcast_to(np.arange(self.n, dtype=self.places)[:, None], x.shape), axis=0)
+        # a list stands in one piece: components in ascending order, and whose they are
+        self.sorted = np.ascontiguousarray(np.take_along_axis(x, order, axis=0).T)
+        self.order = np.ascontiguousarray(order.T.astype(np.int32))
         self.spread = x.std(axis=0, dtype=np.float64)
+        self.seen = np.zeros((self.n, self.dims))
 
     def depths(self, q: np.ndarray, gain: float) -> np.ndarray:
         """How far each list is read until an entry more tightens the bounds by less than gain; the bounds hold for any depths."""
@@ -56,34 +57,55 @@ class Lists:
         share = np.interp(-ratio, -_GAIN, _SHARE, left=0.0, right=1.0)
         return np.ceil(share * self.n).astype(np.int64)
 
-    def bounds(self, q: np.ndarray, depth: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lower and upper bounds of the scores of the candidates at rows, after depth entries of each list."""
-        last, d, high = self.n - 1, np.arange(self.dims), q > 0
-        front = np.where(high, last - depth, depth).clip(0, last)
-        frontier = np.where(depth > last, 0, q * self.sorted[front, d])
-        worst = q * np.where(high, self.sorted[0], self.sorted[last])
-        whole = len(rows) == self.n
-        ranks, x = (self.ranks, self.x) if whole else (self.ranks[rows], self.x[rows])
-        # entries read are those with a rank from first on, and differences below zero are large ones
-        first = np.where(high, self.n - depth, 0).astype(self.places)
-        seen = ((ranks - first) < depth.astype(self.places if self.n < np.iinfo(self.places).max else np.int64)).astype(x.dtype)
-        sums, unread = (x * seen) @ q, seen @ np.stack([worst, frontier], axis=1).astype(x.dtype)
-        return sums + worst.sum() - unread[:, 0], sums + frontier.sum() - unread[:, 1]
+    def reading(self, q: np.ndarray) -> Reading:
+        return Reading(self, q.astype(np.float64))
 
     def best(self, q: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
         """(rows, scores, entries read): all that may be among the k best but those marked as own."""
-        rows, floor, read = np.flatnonzero(~own), -np.inf, 0
+        rows, reading = np.flatnonzero(~own), self.reading(q)
         mean = float((np.abs(q) * self.spread).mean()) if self.dims else 0.0
         for gain in GAINS if mean else ():
             if len(rows) <= max(k, RESOLVE):
                 break
-            depth = self.depths(q, gain * mean)
-            read = int(depth.sum())
-            lower, upper = self.bounds(q, depth, rows)
-            floor = max(floor, float(np.partition(lower, len(rows) - k)[len(rows) - k]))
-            rows = rows[upper >= floor]
-        # the scores of those that are left are resolved; if they are many, all lists are read for that
-        return rows, self.x[rows] @ q, read if len(rows) <= max(k, RESOLVE) else self.x.size
+            lower, upper = reading.to(self.depths(q, gain * mean)).bounds(rows)
+            rows = rows[upper >= np.partition(lower, len(rows) - k)[len(rows) - k]]
+        if len(rows) > max(k, RESOLVE):  # all lists are read to their ends, and lower bounds are scores
+            return rows, reading.to(np.full(self.dims, self.n)).lower[rows], reading.read
+        return rows, self.x[rows] @ q, reading.read
+
+
+class Reading:
+    """A query's way through the lists: each is read on, entry after entry, from its end that is worth most."""
+
+    def __init__(self, lists: Lists, q: np.ndarray):
+        self.lists, self.q, self.read = lists, q, 0
+        self.depth = np.zeros(lists.dims, np.int64)
+        ends = lists.sorted[:, [0, -1]].astype(np.float64) if lists.n else np.zeros((lists.dims, 2))
+        #: The least that each list can give a candidate that hasn't been met in it.
+        self.worst = np.minimum(q * ends[:, 0], q * ends[:, 1])
+        self.lower = np.full(lists.n, self.worst.sum())
+        self.seen = lists.seen
+        self.seen[:] = 0
+
+    def to(self, depth: np.ndarray) -> Reading:
+        """Reads each list on to at least this depth; the only entries touched are those read, and each once."""
+        lists, n = self.lists, self.lists.n
+        for d in np.flatnonzero((depth > self.depth) & (self.q != 0)).tolist():
+            a, b = int(self.depth[d]), min(int(depth[d]), n)
+            part = slice(n - b, n - a) if self.q[d] > 0 else slice(a, b)
+            ids = lists.order[d, part]
+            self.lower[ids] += self.q[d] * lists.sorted[d, part] - self.worst[d]
+            self.seen[ids, d] = 1
+            self.depth[d], self.read = b, self.read + b - a
+        return self
+
+    def bounds(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bounds of the scores of the candidates at rows: what is unread gives the least, or what stands at the frontier."""
+        lists, last, d = self.lists, self.lists.n - 1, np.arange(self.lists.dims)
+        front = np.where(self.q > 0, last - self.depth, self.depth).clip(0, last)
+        gap = np.where(self.depth > last, 0.0, self.q * lists.sorted[d, front] - self.worst)
+        seen = self.seen if len(rows) == lists.n else self.seen[rows]
+        return self.lower[rows], self.lower[rows] + gap.sum() - seen @ gap
 
 
 def exact_scores(q: list[int], x: list[list[int]]) -> list[int]:

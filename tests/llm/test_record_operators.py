@@ -201,10 +201,12 @@ def test_bounds_hold_and_reading_stops_early(kind, resolve, monkeypatch):
         for q in np.floor(rng.normal(0, 20, (20, 6))).astype(kind):
             for depth in (np.zeros(6, int), np.full(6, n), rng.integers(0, n + 1, 6), np.full(6, n // 2)):
                 for rows in (np.arange(n), np.arange(0, n, 3)):
-                    lower, upper = lists.bounds(q, depth, rows)
+                    lower, upper = lists.reading(q).to(depth).bounds(rows)
                     assert (lower <= x[rows] @ q).all() and (x[rows] @ q <= upper).all()
                     if depth.min() == n:
                         assert (lower == upper).all()
+                reading = lists.reading(q).to(depth // 2).to(depth)
+                assert reading.read == lists.seen.sum() == sum(int(d) for d, x in zip(depth, q) if x)  # each entry once
             rows, scores, entries = lists.best(q, none, 5)
             assert sorted(scores)[-5:] == sorted(x @ q)[-5:] and entries <= x.size
             assert set(np.flatnonzero(x @ q >= sorted(x @ q)[-min(5, n)])) <= set(rows)
