@@ -41,6 +41,8 @@ LEAST, LONGEST, TOP = 30, 4, 2000
 #: Dropped if a longer phrase has so many of a hundred of the occurrences.
 SHARE = 80
 CHUNK_BYTES = 16 << 20
+#: Parts of a lang that are ranked by themselves before the whole is.
+PARTS = 32
 #: Bits of an id: the task, its chunk, and the number in the chunk.
 CHUNK_BITS, CODE_BITS = 12, 27
 
@@ -268,8 +270,11 @@ def collocations(spark: SparkSession, docs: DataFrame, least: int = LEAST, longe
     scratch = Scratch(spark, "collocations")
     totals, names = named(spark, docs, scratch, least, longest, chunk_bytes)
     found = [scratch.cut(f, "phrases") for f in phrases(names)]
-    order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = outstanding(found, share).withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # first in parts of a lang, so that its last task has no more than so many parts' rows, whatever the number of phrases
+    part = W.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order)
+    first = outstanding(found, share).withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= top)
+    ranked = first.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
