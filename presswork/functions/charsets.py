@@ -7,9 +7,9 @@ the characters that running text of its languages mostly consists of, and
 against how such text is built: letters of one alphabet, in lower case after
 lower case. The candidate with the highest score is the charset.
 
-Nothing is said of a page with fewer than ten characters besides markup, of
-ASCII alone, or where no candidate reaches LEAST: it is utf-8, as a reader
-must take something.
+A page with fewer than ten characters besides markup, or of ASCII alone, is
+utf-8. Where no candidate reaches LEAST it is, too, unless a few bytes only are
+outside ASCII: such is taken for windows-1252, as a reader must take something.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ from presswork.functions.arrow import arrow_function
 ALIASES = {"big5": "big5hkscs", "gb2312": "gbk", "gbk2312": "gbk", "ascii": "utf-8"}
 #: Characters besides markup below which nothing is guessed, the share of bytes outside ASCII that may not fit, the least score.
 SHORT, MISFIT, LEAST = 10, 0.03, 0.15
+#: The share of bytes outside ASCII up to which bytes that no candidate explains are Western.
+FEW = 0.05
 
 #: The most frequent characters of running text, by language: lists of this library's own, of fewer than 200 each.
 HANS = "的一是不了在人有我他这个们中来上大为和国地到以说时要就出会可也你对生能而子那得于着下自之年过发后作里用道行所然家种事成方多经么去法学如都同现当没动面起看定天分还进好小部其些主样理心她本前开但因只从想实日军者意无力它与长把机十民第公此已工使情明性知全三又关点正业外将两高间由问很最重并物手应战向头文体政美相见被利什二等产或新己制身果加西斯月话合回特代内信表化老给"
@@ -146,6 +148,8 @@ def narrow_score(triples: tuple[np.ndarray, ...], letters: int, c: Narrow) -> fl
     # a capital inside a word of small letters isn't how text is written
     odd = upper[byte] & letter[before] & ~upper[before]
     placed = own & ~odd & (side(before) | side(after) | (latin & letter[before] & letter[after]))
+    if not latin:  # words of another alphabet have no letters of ASCII in them
+        placed &= ~(letter[before] & (before < 128)) & ~(letter[after] & (after < 128))
     sign = ~letter[byte] & ~unknown[byte] & ~(letter[before] & letter[after] & (before >= 128) & (after >= 128))
     share = (n[placed].sum() + 0.6 * n[sign].sum()) / high
     if latin:
@@ -154,7 +158,8 @@ def narrow_score(triples: tuple[np.ndarray, ...], letters: int, c: Narrow) -> fl
     elif not own.any():
         return 0.0
     else:
-        share *= min(1.0, n[own & frequent[byte]].sum() / n[own].sum() / c.usual)
+        # and most letters of such text are of it
+        share *= min(1.0, n[own & frequent[byte]].sum() / n[own].sum() / c.usual) * min(1.0, 3 * high / (letters + high))
     return float(c.weight * share**2)
 
 
@@ -201,7 +206,9 @@ def detected(raw: bytes) -> str:
                 return name
         return "utf-8"
     best = max(scores(text).items(), key=lambda kv: kv[1], default=("utf-8", 0.0))
-    return best[0] if best[1] >= LEAST else "utf-8"
+    if best[1] >= LEAST:
+        return best[0]
+    return "windows-1252" if len(text.translate(None, bytes(range(128)))) <= FEW * len(text) else "utf-8"
 
 
 DECLARED = (re.compile(r"""(?i)<meta[^>]*?charset=["']*([^"'>\s/;]+)"""), re.compile(r"""^<\?xml.*?encoding=["']*([^"'>\s]+)"""))

@@ -450,10 +450,10 @@ def circular_lines(spark, d):
     return rows.select("place", "idx", "l_orderkey", "l_linenumber")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, sum(CAST(l_quantity AS BIGINT)) OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING)::BIGINT AS so_far FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, sum(CAST(l_quantity AS BIGINT)) OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity ROWS UNBOUNDED PRECEDING)::BIGINT AS so_far FROM lineitem")
 def running_quantity(spark, d):
     lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    rows = numbering.running(lines, F.col("l_quantity").cast("long"), "so_far", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    rows = numbering.running(lines, F.col("l_quantity").cast("long"), "so_far", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "so_far")
 
 
