@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from presswork.operators.quality import DOWNLOAD_FAILED, OK, PARSE_FAILED
 
@@ -124,66 +124,105 @@ RETRIES = StructType([StructField("id", LongType()), StructField("due", LongType
 RETRY, DROPPED = "retry", "dropped"
 
 
+#: Groups of ids that share a state: so many calls a batch, however many ids there are.
+GROUPS = 1024
+WAITING = StructType([StructField("ids", ArrayType(LongType())), StructField("us", ArrayType(LongType())), StructField("tries", ArrayType(IntegerType())), StructField("due", ArrayType(BooleanType()))])
+
+
 class Retries(StatefulProcessor):
-    """Keeps the times of an id's failures since it last succeeded; emits it when it is due, and drops it after its tries."""
+    """Keeps the last failure of every id of a group that hasn't succeeded since, and how many there were; emits an id when it is due, and drops it after its tries.
+
+    All ids of a group are handled at once, in numpy: a call and a round trip to
+    the state for each id would take longer than its rows do. A group has one
+    timer, for what is due next.
+    """
 
     def __init__(self, wait_seconds: int, most: int):
         self.wait, self.most = wait_seconds * 1_000_000, most
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.failures = handle.getListState("failures", StructType([StructField("us", LongType())]))
-        self.due = handle.getValueState("due", ONE)
+        self.waiting = handle.getValueState("waiting", WAITING)
 
-    def _out(self, key: Any, rows: list[tuple[int, int, str]]) -> pd.DataFrame:
-        return pd.DataFrame([(int(key[0]), due // 1_000_000, tries, fate) for due, tries, fate in rows], columns=RETRIES.fieldNames())
+    def _kept(self) -> list[np.ndarray]:
+        """(ids, time of the last failure, tries, whether it is still to be emitted), ids ascending."""
+        columns = self.waiting.get() if self.waiting.exists() else ([], [], [], [])
+        return [np.array(c, t) for c, t in zip(columns, (np.int64, np.int64, np.int64, bool))]
+
+    def _timer(self, us: np.ndarray, due: np.ndarray) -> int | None:
+        return (int(us[due].min()) + self.wait) // 1000 + 1 if due.any() else None
+
+    def _keep(self, kept: list[np.ndarray]) -> None:
+        self.waiting.update(tuple(c.tolist() for c in kept)) if len(kept[0]) else self.waiting.clear()
+
+    def _out(self, ids: np.ndarray, us: np.ndarray, tries: np.ndarray, fate: str) -> pd.DataFrame:
+        return pd.DataFrame({"id": ids, "due": us // 1_000_000, "tries": tries.astype(np.int32), "fate": fate})
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        df = _sorted_rows(rows, ["ts", "seq"])
-        failures = [r[0] for r in self.failures.get()]
-        due = self.due.get()[0] if self.due.exists() else None
-        old, out = due, []
-        for us, good in zip(_micros(df["ts"]).tolist(), df["good"].tolist()):
-            if due is not None and due < us:
-                out.append((due, len(failures), RETRY))
-                due = None
-            if good:
-                failures, due = [], None
-                continue
-            failures.append(us)
-            if len(failures) == self.most:
-                out.append((us, self.most, DROPPED))
-                failures, due = [], None
-            else:
-                due = us + self.wait
-        self.failures.put([(us,) for us in failures]) if failures else self.failures.clear()
-        if due != old:
-            if old is not None:
-                self.handle.deleteTimer(old // 1000 + 1)
-            if due is None:
-                self.due.clear()
-            else:
-                self.due.update((due,))
-                self.handle.registerTimer(due // 1000 + 1)
-        if out:
-            yield self._out(key, out)
+        df = _sorted_rows(rows, ["id", "ts", "seq"])
+        ids, us, bad = df["id"].to_numpy(np.int64), _micros(df["ts"]), ~df["good"].to_numpy(bool)
+        old = self._kept()
+        first = np.append(True, ids[1:] != ids[:-1])
+        last = np.append(first[1:], True)
+        # what is kept of each id of the batch
+        at = np.minimum(np.searchsorted(old[0], ids[first]), max(0, len(old[0]) - 1))
+        known = old[0][at] == ids[first] if len(old[0]) else np.zeros(len(at), bool)
+        before = np.zeros(len(ids), np.int64)
+        before[np.flatnonzero(first)[known]] = old[2][at[known]]
+        # failures since the id's last success, and which try of those that lead to a drop each is
+        failures = np.cumsum(bad)
+        start = np.maximum.accumulate(np.where(first | np.append(False, ~bad[:-1]), np.arange(len(ids)), 0))
+        tries = (failures - (failures - bad - before)[start] - 1) % self.most + 1
+        dropped, open_ = bad & (tries == self.most), bad & (tries < self.most)
+        retried = open_ & ~last & (us + self.wait < np.append(us[1:], 0))
+        overdue = known.copy()
+        overdue[known] = old[3][at[known]] & (old[1][at[known]] + self.wait < us[first][known])
+        of_old = at[overdue]
+        # an id's last row says what is kept of it
+        stays, new = np.ones(len(old[0]), bool), open_ & last
+        stays[at[known]] = False
+        kept = [np.append(o[stays], n) for o, n in zip(old, (ids[new], us[new], tries[new], np.ones(new.sum(), bool)))]
+        order = np.argsort(kept[0])
+        kept = [c[order] for c in kept]
+        was, now = self._timer(old[1], old[3]), self._timer(kept[1], kept[3])
+        self._keep(kept)
+        if was != now:
+            if was is not None:
+                self.handle.deleteTimer(was)
+            if now is not None:
+                self.handle.registerTimer(now)
+        out = [
+            self._out(ids[dropped], us[dropped], tries[dropped], DROPPED),
+            self._out(ids[retried], us[retried] + self.wait, tries[retried], RETRY),
+            self._out(old[0][of_old], old[1][of_old] + self.wait, old[2][of_old], RETRY),
+        ]
+        if any(len(o) for o in out):
+            yield pd.concat(out, ignore_index=True)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        if self.due.exists():
-            due = self.due.get()[0]
-            self.due.clear()
-            yield self._out(key, [(due, sum(1 for _ in self.failures.get()), RETRY)])
+        ids, us, tries, due = self._kept()
+        by = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1)
+        over = due & ((us + self.wait) // 1000 + 1 <= by)
+        due = due & ~over
+        self._keep([ids, us, tries, due])
+        if (later := self._timer(us, due)) is not None:
+            self.handle.registerTimer(later)
+        if over.any():
+            yield self._out(ids[over], us[over] + self.wait, tries[over], RETRY)
 
     def close(self) -> None:
         pass
 
 
-def retries(attempts: DataFrame, wait_seconds: int, most: int, late: str = "1 second") -> DataFrame:
+def retries(attempts: DataFrame, wait_seconds: int, most: int, late: str = "1 second", groups: int = GROUPS) -> DataFrame:
     """(id, due, tries, fate) of the stream attempts(id, seq, ts, good).
 
     An id that failed is due `wait_seconds` later, unless another attempt comes
     by then; one that succeeded is forgotten; after `most` failures in a row it
-    is dropped, and begins anew. Rows without an id are left out.
+    is dropped, and begins anew. Rows without an id or a time are left out.
+    State is kept by groups of ids, a batch reads and writes that of the groups
+    that it has ids of; a stream keeps the number that it began with.
     """
-    rows = attempts.where("id is not null").select(F.col("id").cast("long").alias("id"), F.col("seq").cast("long").alias("seq"), F.col("ts").cast("timestamp").alias("ts"), F.coalesce("good", F.lit(False)).alias("good"))
-    return rows.withWatermark("ts", late).groupBy("id").transformWithStateInPandas(Retries(wait_seconds, most), outputStructType=RETRIES, outputMode="Append", timeMode="EventTime")
+    rows = attempts.where("id is not null and ts is not null").select(F.col("id").cast("long").alias("id"), F.col("seq").cast("long").alias("seq"), F.col("ts").cast("timestamp").alias("ts"), F.coalesce("good", F.lit(False)).alias("good"))
+    grouped = rows.withColumn("id_group", F.pmod(F.xxhash64("id"), F.lit(groups)))
+    return grouped.withWatermark("ts", late).groupBy("id_group").transformWithStateInPandas(Retries(wait_seconds, most), outputStructType=RETRIES, outputMode="Append", timeMode="EventTime")

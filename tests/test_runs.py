@@ -111,6 +111,18 @@ def test_ids_are_tried_again_when_due(spark, rocksdb, tmp_path):
         assert sorted(map(tuple, got)) == want, name
 
 
+def test_ids_of_a_group_share_a_state(spark, rocksdb, tmp_path):
+    """Many ids are few groups: state and its calls are counted by group, not by id."""
+    rng = random.Random(6)
+    attempts = [(rng.randrange(700), k, at(k), rng.random() < 0.3) for k in range(4000)] + [(9999, 5000, at(4400), True)]
+    want = sorted(retries_by_hand(attempts, 60_000, 3, at(4400)))
+    assert {(w[2], w[3]) for w in want} == {(1, runs.RETRY), (2, runs.RETRY), (3, runs.DROPPED)}
+    got = through(spark, tmp_path, ATTEMPTS, [attempts[k : k + 1500] for k in range(0, len(attempts), 1500)], lambda s: runs.retries(s, 60_000, 3, groups=5), "groups")
+    assert sorted(map(tuple, got)) == want
+    kept = spark.read.format("statestore").option("stateVarName", "waiting").load(f"{tmp_path}/groups-state")
+    assert 0 < kept.count() <= 5
+
+
 def test_streams_without_rows_give_none(spark, rocksdb, tmp_path):
     assert through(spark, tmp_path, EVENTS, [[]], lambda s: runs.completed(s, 60), "a") == []
     assert through(spark, tmp_path, ATTEMPTS, [[]], lambda s: runs.retries(s, 60, 2), "b") == []
