@@ -42,6 +42,11 @@ def test_short_marked_and_cut_bytes(raw, name):
     assert charsets.detected(raw) == name
 
 
+@pytest.mark.parametrize("text", ["Dans mentierment de ierpation eauen éê éch des.", "La é le de de.", "Re chellement éç ééê, èêoi reoi.", "Et éçen éè eux de ou de releè " * 30, "DER!! ÖÜER!! DEN!! AUST!! PFÖÖ!! SICH!! " * 9])
+def test_words_without_ascii_letters_are_latin_among_latin_ones(text):
+    assert charsets.detected(text.encode("cp1252")) == "windows-1252"
+
+
 def test_noise_is_taken_as_utf8():
     rng = random.Random(1)
     for n in (20, 400):
