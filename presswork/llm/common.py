@@ -3,7 +3,6 @@ vectorised work on UTF-8 bytes."""
 
 from __future__ import annotations
 
-import ctypes
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -13,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presswork.functions.arrow import release
 from presswork.storage import dropped_at_exit, shared_folder
 
 #: Text bytes handled at once by the numpy kernels; a longer text is a block of its own.
@@ -47,15 +47,6 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def release() -> None:
-    """Gives freed memory back to the system; a Python worker lives on for tasks of other operators."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (OSError, AttributeError):  # not the GNU library
-        pass
-
-
 def tidy(run):
     """run for mapInArrow, that leaves its worker without unused memory."""
 

@@ -3,10 +3,12 @@
 import datetime as dt
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from presswork.functions import article, dates, dom, text, urls
+from presswork.functions.arrow import SLICE_BYTES, arrow_function
 
 
 def one(spark, col, *values):
@@ -243,3 +245,24 @@ def test_dom_paths(spark):
     assert "bold" not in one(spark, dom.without("//b")(F.col("a")), page)
     assert one(spark, dom.absolute_links(F.col("a"), F.col("b")), "<a href='/x'>1</a><a href='/x'>2</a><iframe src='http://o/'></iframe>", "http://h/p") == ["http://h/x", "http://o/"]
     assert "<script" not in one(spark, dom.cleaned_html(F.col("a")), page)
+
+
+def test_batches_are_handled_in_pieces(spark):
+    """A batch of pages isn't Python objects all at once; rows, nulls and local times are those of the whole."""
+
+    @arrow_function("n int, at timestamp")
+    def seen(page: pd.Series) -> pd.DataFrame:
+        at = [None if p is None else pd.Timestamp("2024-07-01 12:00") for p in page]
+        return pd.DataFrame({"n": [len(page)] * len(page), "at": pd.to_datetime(pd.Series(at, dtype="datetime64[ns]"))})
+
+    pages = spark.range(3000).repartition(1).select("id", F.when(F.col("id") != 7, F.repeat(F.lit("p"), 4000)).alias("page"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        rows = pages.select("id", seen("page").alias("x")).select("id", "x.n", F.col("x.at").cast("timestamp_ntz").cast("string").alias("at")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert sorted(r.id for r in rows) == list(range(3000))
+    assert max(r.n for r in rows) * 4000 < 2 * SLICE_BYTES
+    assert {r.at for r in rows if r.id != 7} == {"2024-07-01 12:00:00"} and [r.at for r in rows if r.id == 7] == [None]
+    assert spark.range(0).select(seen(F.lit("p"))).count() == 0
