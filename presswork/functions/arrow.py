@@ -43,8 +43,11 @@ def _array(out: pd.Series | pd.DataFrame, kind: pa.DataType, zone: str) -> pa.Ar
     return pa.array(out, kind, from_pandas=True)
 
 
-def arrow_function(kind: str):
-    """A function of pandas Series, as a column function; Series are pieces of Spark's batches."""
+def arrow_function(kind: str, once: bool = False):
+    """A function of pandas Series, as a column function; Series are pieces of Spark's batches.
+
+    With `once` the optimizer can't call it again where a filter or another column needs what came of it.
+    """
 
     def made(f):
         @wraps(f)
@@ -59,7 +62,8 @@ def arrow_function(kind: str):
                 release()
                 return out
 
-            return F.arrow_udf(run, spark_type)(*columns)
+            made_of = F.arrow_udf(run, spark_type)
+            return (made_of.asNondeterministic() if once else made_of)(*columns)
 
         call.plain = f
         return call

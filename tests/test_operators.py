@@ -164,6 +164,12 @@ def test_pages_to_posts(spark):
     assert [r.detail_url for r in plan.new_work(plan.links(linked), seen).collect()] == ["http://a/1"]
 
 
+def test_pages_are_parsed_once(spark, sf, capsys):
+    """The filters after the extraction take what it gave; they don't run it again in Python workers of their own."""
+    plan.posts(spark.read.parquet(f"{sf}/pages.parquet"), F.lit(day(3)).cast("timestamp"), {"k": "v"}, max_days=20, info_flag="01").explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+
+
 def test_frontier(spark):
     graph = {"a": ["b", "c"], "b": ["c", "d"], "d": ["a", "e"]}
     edges = spark.createDataFrame([(x, y) for x, ys in graph.items() for y in ys], "url string, nxt string")
